@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from quarry.operators import relational, stats
+from quarry.operators import matrix, relational, stats
 from quarry.plans.tables import round_doubles, table
 
 
@@ -72,6 +72,52 @@ def q_gaussian_nb(spark, sf_dir):
     return round_doubles(stats.gaussian_nb_train(e, "label", "embedding"))
 
 
+# -- matrices -----------------------------------------------------------------
+
+def _embedding_cells(spark, sf_dir, shift=0):
+    """embeddings as a matrix: row ``vec_id + shift``, column 1..64."""
+    e = table(spark, sf_dir, "embeddings")
+    return matrix.to_cells(e.select((F.col("vec_id") + shift).alias("i"), "embedding"),
+                           "i", "embedding")
+
+
+def q_to_cells(spark, sf_dir):
+    return round_doubles(_embedding_cells(spark, sf_dir))
+
+
+def q_to_rows(spark, sf_dir):
+    rows = matrix.to_rows(_embedding_cells(spark, sf_dir))
+    return round_doubles(rows.select(
+        "i", F.size("row").alias("n"), F.get("row", 0).alias("first"),
+        F.element_at("row", -1).alias("last")))
+
+
+def q_transpose(spark, sf_dir):
+    return round_doubles(matrix.transpose(_embedding_cells(spark, sf_dir)))
+
+
+def q_scale(spark, sf_dir):
+    return round_doubles(matrix.scale(_embedding_cells(spark, sf_dir), 2.5))
+
+
+def q_add(spark, sf_dir):
+    a = _embedding_cells(spark, sf_dir)
+    b = _embedding_cells(spark, sf_dir, shift=1)
+    return round_doubles(matrix.add(a, b))
+
+
+def q_subtract(spark, sf_dir):
+    a = _embedding_cells(spark, sf_dir)
+    b = _embedding_cells(spark, sf_dir, shift=1)
+    return round_doubles(matrix.subtract(a, b))
+
+
+def q_matmul(spark, sf_dir):
+    cells = _embedding_cells(spark, sf_dir)
+    gram = matrix.matmul(matrix.transpose(cells), cells)
+    return round_doubles(gram.select("i", F.col("j").alias("k"), "v"))
+
+
 QUERIES = {
     "equi_join": q_equi_join,
     "distinct_count": q_distinct_count,
@@ -82,4 +128,11 @@ QUERIES = {
     "variance_from_moments": q_variance_from_moments,
     "class_prior": q_class_prior,
     "gaussian_nb": q_gaussian_nb,
+    "to_cells": q_to_cells,
+    "to_rows": q_to_rows,
+    "transpose": q_transpose,
+    "scale": q_scale,
+    "add": q_add,
+    "subtract": q_subtract,
+    "matmul": q_matmul,
 }

@@ -10,6 +10,14 @@ _EV = """(SELECT vec_id, label,
                  CAST(unnest(embedding) AS DOUBLE) AS x
           FROM embeddings)"""
 
+# embeddings as matrix cells (i = vec_id + shift, j 1-based, v double)
+def _cells(shift: int = 0) -> str:
+    return f"""(SELECT vec_id + {shift} AS i,
+                  generate_subscripts(embedding, 1) AS j,
+                  CAST(unnest(embedding) AS DOUBLE) AS v
+           FROM embeddings)"""
+
+
 ORACLE = {
     "equi_join": """
         SELECT s.s_name, c.c_name
@@ -42,4 +50,27 @@ ORACLE = {
                count(x) AS count,
                round(count(*) / (SELECT count(*) FROM embeddings), 6) AS prior
         FROM {_EV} GROUP BY label, pos""",
+    "to_cells": f"""
+        SELECT i, j, round(v, 6) AS v FROM {_cells()}""",
+    "to_rows": """
+        SELECT vec_id AS i, len(embedding) AS n,
+               round(CAST(embedding[1] AS DOUBLE), 6) AS first,
+               round(CAST(embedding[len(embedding)] AS DOUBLE), 6) AS last
+        FROM embeddings""",
+    "transpose": f"""
+        SELECT j AS i, i AS j, round(v, 6) AS v FROM {_cells()}""",
+    "scale": f"""
+        SELECT i, j, round(2.5 * v, 6) AS v FROM {_cells()}""",
+    "add": f"""
+        SELECT coalesce(a.i, b.i) AS i, coalesce(a.j, b.j) AS j,
+               round(coalesce(a.v, 0.0) + coalesce(b.v, 0.0), 6) AS v
+        FROM {_cells()} a FULL JOIN {_cells(1)} b ON a.i = b.i AND a.j = b.j""",
+    "subtract": f"""
+        SELECT coalesce(a.i, b.i) AS i, coalesce(a.j, b.j) AS j,
+               round(coalesce(a.v, 0.0) - coalesce(b.v, 0.0), 6) AS v
+        FROM {_cells()} a FULL JOIN {_cells(1)} b ON a.i = b.i AND a.j = b.j""",
+    "matmul": f"""
+        SELECT a.j AS i, b.j AS k, round(sum(a.v * b.v), 6) AS v
+        FROM {_cells()} a JOIN {_cells()} b ON a.i = b.i
+        GROUP BY a.j, b.j""",
 }
