@@ -10,7 +10,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from quarry.operators import matrix, relational, stats
+from quarry import sources
 from quarry.plans.tables import round_doubles, table
+from quarry.session import scratch_path
 
 
 def _embedding_values(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -118,6 +120,48 @@ def q_matmul(spark, sf_dir):
     return round_doubles(gram.select("i", F.col("j").alias("k"), "v"))
 
 
+# -- sources and sinks -------------------------------------------------------
+
+def q_read_tsv(spark, sf_dir):
+    cust = table(spark, sf_dir, "customer")
+    path = scratch_path(spark, "read_tsv")
+    sources.write_tsv(cust, path)
+    return round_doubles(sources.read_tsv(spark, path, cust.schema))
+
+
+def q_read_tagged(spark, sf_dir):
+    s = table(spark, sf_dir, "supplier")
+    n = table(spark, sf_dir, "nation")
+    path = scratch_path(spark, "read_tagged")
+    tagged = s.select(F.lit("a").alias("t"), "s_nationkey", "s_name").unionByName(
+        n.select(F.lit("b").alias("t"), F.col("n_nationkey").alias("s_nationkey"),
+                 F.col("n_name").alias("s_name")))
+    sources.write_tsv(tagged, path)
+    frames = sources.read_tagged(spark, path, {"a": "key int, s_name string",
+                                               "b": "key int, n_name string"})
+    return relational.equi_join(frames["a"], frames["b"], "key", ["s_name"], ["n_name"])
+
+
+def q_read_matrix(spark, sf_dir):
+    e = table(spark, sf_dir, "embeddings")
+    path = scratch_path(spark, "read_matrix")
+    rows = e.select(F.concat(F.lit("E"), F.col("vec_id").cast("string")).alias("h"),
+                    F.col("embedding").cast("array<double>").alias("row"))
+    sources.write_tsv(rows, path)
+    return round_doubles(sources.read_matrix(spark, path))
+
+
+def q_write_by_value(spark, sf_dir):
+    o = table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_custkey", "o_totalprice", "o_orderpriority")
+    path = scratch_path(spark, "write_by_value")
+    sources.write_by_value(o, path, "o_orderpriority")
+    back = sources.read_tsv(spark, path,
+                            "o_orderkey bigint, o_custkey bigint, o_totalprice double")
+    return round_doubles(back.groupBy("o_orderpriority").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("o_totalprice").alias("total")))
+
+
 QUERIES = {
     "equi_join": q_equi_join,
     "distinct_count": q_distinct_count,
@@ -135,4 +179,8 @@ QUERIES = {
     "add": q_add,
     "subtract": q_subtract,
     "matmul": q_matmul,
+    "read_tsv": q_read_tsv,
+    "read_tagged": q_read_tagged,
+    "read_matrix": q_read_matrix,
+    "write_by_value": q_write_by_value,
 }

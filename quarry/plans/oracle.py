@@ -73,4 +73,16 @@ ORACLE = {
         SELECT a.j AS i, b.j AS k, round(sum(a.v * b.v), 6) AS v
         FROM {_cells()} a JOIN {_cells()} b ON a.i = b.i
         GROUP BY a.j, b.j""",
+    "read_tsv": """
+        SELECT c_custkey, c_name, c_nationkey, round(c_acctbal, 6) AS c_acctbal,
+               c_mktsegment
+        FROM customer""",
+    "read_tagged": """
+        SELECT s.s_name, n.n_name
+        FROM supplier s JOIN nation n ON s.s_nationkey = n.n_nationkey""",
+    "read_matrix": f"""
+        SELECT 'E' AS matrix, i, j, round(v, 6) AS v FROM {_cells()}""",
+    "write_by_value": """
+        SELECT o_orderpriority, count(*) AS n, round(sum(o_totalprice), 6) AS total
+        FROM orders GROUP BY o_orderpriority""",
 }

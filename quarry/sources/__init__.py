@@ -1,0 +1,7 @@
+"""Tab-separated sources and sinks."""
+
+from quarry.sources.tsv import (read_matrix, read_tagged, read_tsv, to_tsv_line,
+                                write_by_value, write_tsv)
+
+__all__ = ["read_tsv", "read_tagged", "read_matrix", "write_tsv", "write_by_value",
+           "to_tsv_line"]
