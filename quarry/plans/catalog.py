@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from quarry.operators import matrix, relational, stats
+from quarry.operators import graph, matrix, relational, stats
 from quarry import sources
 from quarry.plans.tables import round_doubles, table
 from quarry.session import scratch_path
@@ -162,6 +162,31 @@ def q_write_by_value(spark, sf_dir):
         F.count(F.lit(1)).alias("n"), F.sum("o_totalprice").alias("total")))
 
 
+# -- graphs -------------------------------------------------------------------
+
+BFS_SOURCE = "p0"
+
+
+def _order_part_edges(spark, sf_dir):
+    """Graph of the whole lineitem table: order node -- part node."""
+    li = table(spark, sf_dir, "lineitem")
+    return li.select(F.concat(F.lit("o"), F.col("l_orderkey").cast("string")).alias("src"),
+                     F.concat(F.lit("p"), F.col("l_partkey").cast("string")).alias("dst"))
+
+
+def q_symmetrize(spark, sf_dir):
+    return graph.symmetrize(_order_part_edges(spark, sf_dir))
+
+
+def q_adjacency(spark, sf_dir):
+    adj = graph.adjacency(graph.symmetrize(_order_part_edges(spark, sf_dir)))
+    return adj.select("node", "part", F.array_join("neighbours", ",").alias("neighbours"))
+
+
+def q_bfs(spark, sf_dir):
+    return graph.bfs(_order_part_edges(spark, sf_dir), BFS_SOURCE)
+
+
 QUERIES = {
     "equi_join": q_equi_join,
     "distinct_count": q_distinct_count,
@@ -183,4 +208,7 @@ QUERIES = {
     "read_tagged": q_read_tagged,
     "read_matrix": q_read_matrix,
     "write_by_value": q_write_by_value,
+    "symmetrize": q_symmetrize,
+    "adjacency": q_adjacency,
+    "bfs": q_bfs,
 }

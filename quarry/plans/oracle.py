@@ -18,6 +18,12 @@ def _cells(shift: int = 0) -> str:
            FROM embeddings)"""
 
 
+# order -- part graph of the whole lineitem table, both directions, distinct
+_EDGES = """(SELECT 'o' || l_orderkey AS src, 'p' || l_partkey AS dst FROM lineitem
+            UNION
+            SELECT 'p' || l_partkey, 'o' || l_orderkey FROM lineitem)"""
+
+
 ORACLE = {
     "equi_join": """
         SELECT s.s_name, c.c_name
@@ -85,4 +91,19 @@ ORACLE = {
     "write_by_value": """
         SELECT o_orderpriority, count(*) AS n, round(sum(o_totalprice), 6) AS total
         FROM orders GROUP BY o_orderpriority""",
+    "symmetrize": f"""
+        SELECT src, dst FROM {_EDGES}""",
+    "adjacency": f"""
+        SELECT src AS node, 0 AS part, string_agg(dst, ',' ORDER BY dst) AS neighbours
+        FROM {_EDGES} GROUP BY src""",
+    "bfs": f"""
+        WITH RECURSIVE e AS {_EDGES},
+        reach(node, dist) USING KEY (node) AS (
+            SELECT src, 0 FROM (SELECT DISTINCT src FROM e WHERE src = 'p0')
+            UNION
+            SELECT e.dst, min(r.dist) + 1
+            FROM reach r JOIN e ON e.src = r.node
+            WHERE NOT EXISTS (SELECT 1 FROM recurring.reach v WHERE v.node = e.dst)
+            GROUP BY e.dst)
+        SELECT node, dist FROM reach""",
 }
