@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from quarry.operators import graph, matrix, relational, stats
+from quarry.operators import cluster, graph, matrix, regression, relational, stats
 from quarry import sources
 from quarry.plans.tables import round_doubles, table
 from quarry.session import scratch_path
@@ -187,6 +187,64 @@ def q_bfs(spark, sf_dir):
     return graph.bfs(_order_part_edges(spark, sf_dir), BFS_SOURCE)
 
 
+# -- k-means ------------------------------------------------------------------
+
+def _observations(spark, sf_dir):
+    """embeddings as observations, initial cluster = vec_id mod 4."""
+    e = table(spark, sf_dir, "embeddings")
+    return e.select(F.col("vec_id").alias("id"), (F.col("vec_id") % 4).alias("cluster"),
+                    F.col("embedding").alias("features"))
+
+
+def q_kmeans_update(spark, sf_dir):
+    centers = cluster.kmeans_update(_observations(spark, sf_dir))
+    return round_doubles(centers.select(
+        "cluster", F.posexplode("center").alias("j", "mean"))
+        .withColumn("j", F.col("j") + 1))
+
+
+def q_kmeans_assign(spark, sf_dir):
+    obs = _observations(spark, sf_dir)
+    return cluster.kmeans_assign(obs, cluster.kmeans_update(obs)).select("id", "cluster")
+
+
+def q_kmeans(spark, sf_dir):
+    assignments, _ = cluster.kmeans(_observations(spark, sf_dir), max_rounds=2)
+    return assignments.select("id", "cluster")
+
+
+# -- linear regression --------------------------------------------------------
+
+def _regression_rows(spark, sf_dir):
+    """embeddings as regression rows: x = embedding, y = label."""
+    e = table(spark, sf_dir, "embeddings")
+    return e.select(F.col("vec_id").alias("id"), F.col("embedding").alias("x"),
+                    F.col("label").cast("double").alias("y"))
+
+
+def _ramp_weights(spark, sf_dir):
+    """w_j = 0.01 * j for every feature position j found in the data."""
+    cells = _embedding_cells(spark, sf_dir)
+    return cells.select("j").distinct().select("j", (F.col("j") * 0.01).alias("w"))
+
+
+def q_residuals(spark, sf_dir):
+    rows = _regression_rows(spark, sf_dir)
+    return round_doubles(regression.residuals(rows, _ramp_weights(spark, sf_dir)))
+
+
+def q_gradient(spark, sf_dir):
+    rows = _regression_rows(spark, sf_dir)
+    e = regression._with_residual(rows, _ramp_weights(spark, sf_dir), "x", "y", 1_000_000)
+    return round_doubles(regression.gradient(e))
+
+
+def q_linreg_gd(spark, sf_dir):
+    rows = _regression_rows(spark, sf_dir)
+    w0 = spark.createDataFrame([], "j int, w double")
+    return round_doubles(regression.linreg_gd(rows, w0, rate=0.01, iterations=2))
+
+
 QUERIES = {
     "equi_join": q_equi_join,
     "distinct_count": q_distinct_count,
@@ -211,4 +269,10 @@ QUERIES = {
     "symmetrize": q_symmetrize,
     "adjacency": q_adjacency,
     "bfs": q_bfs,
+    "kmeans_update": q_kmeans_update,
+    "kmeans_assign": q_kmeans_assign,
+    "kmeans": q_kmeans,
+    "residuals": q_residuals,
+    "gradient": q_gradient,
+    "linreg_gd": q_linreg_gd,
 }

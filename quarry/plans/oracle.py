@@ -24,6 +24,35 @@ _EDGES = """(SELECT 'o' || l_orderkey AS src, 'p' || l_partkey AS dst FROM linei
             SELECT 'p' || l_partkey, 'o' || l_orderkey FROM lineitem)"""
 
 
+# k-means: observations (id, cluster = vec_id % 4) and their cells
+_KM_CELLS = """(SELECT vec_id AS id, generate_subscripts(embedding, 1) AS j,
+                      CAST(unnest(embedding) AS DOUBLE) AS x
+               FROM embeddings)"""
+
+
+def _km_centres(assign: str) -> str:
+    return f"""(SELECT a.cluster, c.j, avg(c.x) AS m
+               FROM {assign} a JOIN {_KM_CELLS} c ON a.id = c.id
+               GROUP BY a.cluster, c.j)"""
+
+
+def _km_assign(centres: str) -> str:
+    return f"""(SELECT id, first(cluster ORDER BY d, cluster) AS cluster FROM (
+                   SELECT c.id, m.cluster, sum((c.x - m.m) * (c.x - m.m)) AS d
+                   FROM {_KM_CELLS} c JOIN {centres} m ON c.j = m.j
+                   GROUP BY c.id, m.cluster)
+               GROUP BY id)"""
+
+
+_KM_START = "(SELECT vec_id AS id, vec_id % 4 AS cluster FROM embeddings)"
+
+# regression rows: (vec_id, y, j 1-based, x double)
+_RG = """(SELECT vec_id, CAST(label AS DOUBLE) AS y,
+                 generate_subscripts(embedding, 1) AS j,
+                 CAST(unnest(embedding) AS DOUBLE) AS x
+          FROM embeddings)"""
+
+
 ORACLE = {
     "equi_join": """
         SELECT s.s_name, c.c_name
@@ -106,4 +135,30 @@ ORACLE = {
             WHERE NOT EXISTS (SELECT 1 FROM recurring.reach v WHERE v.node = e.dst)
             GROUP BY e.dst)
         SELECT node, dist FROM reach""",
+    "kmeans_update": f"""
+        SELECT cluster, j, round(m, 6) AS mean FROM {_km_centres(_KM_START)}""",
+    "kmeans_assign": f"""
+        SELECT id, cluster FROM {_km_assign(_km_centres(_KM_START))}""",
+    "kmeans": f"""
+        WITH a0 AS {_km_assign(_km_centres(_KM_START))},
+             a1 AS {_km_assign(_km_centres('a0'))},
+             a2 AS {_km_assign(_km_centres('a1'))}
+        SELECT id, cluster FROM a2""",
+    "residuals": f"""
+        SELECT vec_id AS id, round(any_value(y) - sum(x * 0.01 * j), 6) AS e
+        FROM {_RG} GROUP BY vec_id""",
+    "gradient": f"""
+        WITH e AS (SELECT vec_id, any_value(y) - sum(x * 0.01 * j) AS e
+                   FROM {_RG} GROUP BY vec_id)
+        SELECT r.j, round(sum(r.x * e.e), 6) AS g
+        FROM {_RG} r JOIN e USING (vec_id) GROUP BY r.j""",
+    "linreg_gd": f"""
+        WITH r AS {_RG},
+             w1 AS (SELECT j, 0.01 * sum(x * y) AS w FROM r GROUP BY j),
+             e1 AS (SELECT r.vec_id, any_value(r.y) - sum(r.x * w1.w) AS e
+                    FROM r JOIN w1 USING (j) GROUP BY r.vec_id),
+             g2 AS (SELECT r.j, sum(r.x * e1.e) AS g
+                    FROM r JOIN e1 USING (vec_id) GROUP BY r.j)
+        SELECT w1.j, round(w1.w + 0.01 * g2.g, 6) AS w
+        FROM w1 JOIN g2 USING (j)""",
 }
