@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from quarry.operators import cluster, graph, matrix, regression, relational, stats
+from quarry.operators import cluster, graph, matrix, regression, relational, stats, text
 from quarry import sources
 from quarry.plans.tables import round_doubles, table
 from quarry.session import scratch_path
@@ -245,6 +245,24 @@ def q_linreg_gd(spark, sf_dir):
     return round_doubles(regression.linreg_gd(rows, w0, rate=0.01, iterations=2))
 
 
+# -- palindromes --------------------------------------------------------------
+
+def q_palindromes_by_center(spark, sf_dir):
+    return text.palindromes_by_center(table(spark, sf_dir, "part"), "p_partkey", "p_name")
+
+
+def q_longest_palindrome(spark, sf_dir):
+    return text.longest_palindrome(table(spark, sf_dir, "part"), "p_partkey", "p_name")
+
+
+def q_longest_palindrome_all(spark, sf_dir):
+    return text.longest_palindrome_all(table(spark, sf_dir, "part"), "p_partkey", "p_name")
+
+
+def q_longest_palindrome_docs(spark, sf_dir):
+    return text.longest_palindrome(table(spark, sf_dir, "documents"), "doc_id", "text")
+
+
 QUERIES = {
     "equi_join": q_equi_join,
     "distinct_count": q_distinct_count,
@@ -275,4 +293,8 @@ QUERIES = {
     "residuals": q_residuals,
     "gradient": q_gradient,
     "linreg_gd": q_linreg_gd,
+    "palindromes_by_center": q_palindromes_by_center,
+    "longest_palindrome": q_longest_palindrome,
+    "longest_palindrome_all": q_longest_palindrome_all,
+    "longest_palindrome_docs": q_longest_palindrome_docs,
 }

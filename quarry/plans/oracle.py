@@ -53,6 +53,53 @@ _RG = """(SELECT vec_id, CAST(label AS DOUBLE) AS y,
           FROM embeddings)"""
 
 
+# palindromes of short names: every radius at every centre is tried; the
+# valid radii at a centre are 0..R, so R is their maximum
+_NAME_RADII = """
+    WITH t AS (SELECT p_partkey AS id, p_name AS s, length(p_name) AS n
+               FROM part WHERE length(p_name) > 0),
+    cs AS (SELECT id, s, n, unnest(range(0, n)) AS ctr FROM t),
+    o AS (SELECT id, ctr, max(r) AS r FROM (
+              SELECT id, s, ctr, unnest(range(0, least(ctr, n - 1 - ctr) + 1)) AS r FROM cs)
+          WHERE substr(s, ctr - r + 1, 2 * r + 1) = reverse(substr(s, ctr - r + 1, 2 * r + 1))
+          GROUP BY id, ctr),
+    e AS (SELECT id, ctr, max(r) AS r FROM (
+              SELECT id, s, ctr, unnest(range(0, least(ctr + 1, n - 1 - ctr) + 1)) AS r
+              FROM cs WHERE ctr < n - 1)
+          WHERE substr(s, ctr - r + 2, 2 * r) = reverse(substr(s, ctr - r + 2, 2 * r))
+          GROUP BY id, ctr),
+    spans AS (SELECT id, ctr - r + 1 AS start, 2 * r + 1 AS len FROM o
+              UNION ALL
+              SELECT id, ctr - r + 2, 2 * r FROM e),
+    best AS (SELECT id, start, len FROM (
+                 SELECT *, row_number() OVER (PARTITION BY id ORDER BY len DESC, start) AS rk
+                 FROM spans) WHERE rk = 1)"""
+
+# palindromes of whole documents: centres grow one step per recursion round
+# over a table of (global position, character); only growing centres recur.
+_DOC_BEST = """
+    WITH RECURSIVE
+    ch AS MATERIALIZED (
+        SELECT doc_id * 10000000 + generate_subscripts(string_split(text, ''), 1) AS g,
+               unnest(string_split(text, '')) AS c
+        FROM documents WHERE length(text) > 0),
+    seed AS MATERIALIZED (
+        SELECT a.g AS lo, a.g AS hi FROM ch a
+        UNION ALL
+        SELECT a.g, b.g FROM ch a JOIN ch b ON b.g = a.g + 1 WHERE a.c = b.c),
+    grow(lo, hi) AS (
+        SELECT * FROM seed
+        UNION ALL
+        SELECT g.lo - 1, g.hi + 1
+        FROM grow g JOIN ch a ON a.g = g.lo - 1 JOIN ch b ON b.g = g.hi + 1
+        WHERE a.c = b.c),
+    best AS (SELECT doc_id, start, len FROM (
+                 SELECT lo // 10000000 AS doc_id, lo % 10000000 AS start, hi - lo + 1 AS len,
+                        row_number() OVER (PARTITION BY lo // 10000000
+                                           ORDER BY hi - lo + 1 DESC, lo) AS rk
+                 FROM grow) WHERE rk = 1)"""
+
+
 ORACLE = {
     "equi_join": """
         SELECT s.s_name, c.c_name
@@ -161,4 +208,23 @@ ORACLE = {
                     FROM r JOIN e1 USING (vec_id) GROUP BY r.j)
         SELECT w1.j, round(w1.w + 0.01 * g2.g, 6) AS w
         FROM w1 JOIN g2 USING (j)""",
+    "palindromes_by_center": _NAME_RADII + """
+        SELECT cs.id, CAST(cs.ctr AS INTEGER) AS center,
+               substr(cs.s, cs.ctr - o.r + 1, 2 * o.r + 1) AS odd,
+               CASE WHEN cs.ctr < cs.n - 1 THEN substr(cs.s, cs.ctr - e.r + 2, 2 * e.r) END AS even
+        FROM cs JOIN o USING (id, ctr) LEFT JOIN e USING (id, ctr)""",
+    "longest_palindrome": _NAME_RADII + """
+        SELECT p.p_partkey AS id,
+               CAST(CASE WHEN p.p_name IS NOT NULL THEN coalesce(b.len, 0) END AS INTEGER) AS len,
+               CASE WHEN p.p_name IS NOT NULL THEN coalesce(substr(p.p_name, b.start, b.len), '') END AS pal
+        FROM part p LEFT JOIN best b ON b.id = p.p_partkey""",
+    "longest_palindrome_all": _NAME_RADII + """
+        SELECT b.id, CAST(b.len AS INTEGER) AS len, substr(p.p_name, b.start, b.len) AS pal
+        FROM best b JOIN part p ON p.p_partkey = b.id
+        ORDER BY b.len DESC, b.id LIMIT 1""",
+    "longest_palindrome_docs": _DOC_BEST + """
+        SELECT d.doc_id AS id,
+               CAST(CASE WHEN d.text IS NOT NULL THEN coalesce(b.len, 0) END AS INTEGER) AS len,
+               CASE WHEN d.text IS NOT NULL THEN coalesce(substr(d.text, b.start, b.len), '') END AS pal
+        FROM documents d LEFT JOIN best b ON b.doc_id = d.doc_id""",
 }

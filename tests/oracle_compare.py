@@ -40,6 +40,11 @@ def _rows(names, rows):
     return sorted(out, key=lambda r: tuple((x is None, str(x)) for x in r))
 
 
+_SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE",
+                  "string": "VARCHAR", "smallint": "SMALLINT", "float": "FLOAT",
+                  "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP"}
+
+
 def compare(spark, sf_dir: str, key: str, query, sql: str | None, con=None):
     t0 = time.time()
     df = query(spark, sf_dir)
@@ -52,12 +57,17 @@ def compare(spark, sf_dir: str, key: str, query, sql: str | None, con=None):
     t0 = time.time()
     res = con.execute(sql)
     dnames = [d[0] for d in res.description]
+    dtypes = dict(zip(dnames, [str(d[1]) for d in res.description]))
     drows = res.fetchall()
     t_duck = time.time() - t0
     ok_names = sorted(snames) == sorted(dnames)
+    stypes = {f.name: _SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString())
+              for f in df.schema.fields}
+    type_diff = {k: (stypes[k], dtypes.get(k)) for k in stypes if stypes[k] != dtypes.get(k)}
     a, b = _rows(snames, srows), _rows(dnames, drows)
     same = ok_names and a == b
     info = {"key": key, "rows": len(srows), "oracle_rows": len(drows), "names": ok_names,
+            "types": type_diff or "same",
             "match": same, "spark_s": round(t_spark, 2), "duck_s": round(t_duck, 2)}
     if not same:
         info["spark_cols"] = snames
