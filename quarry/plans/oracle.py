@@ -6,14 +6,14 @@ to 6 places, integer sums cast to BIGINT, as in the Spark results.
 
 # embeddings as (vec_id, label, pos, x double), positions 0-based
 _EV = """(SELECT vec_id, label,
-                 generate_subscripts(embedding, 1) - 1 AS pos,
+                 CAST(generate_subscripts(embedding, 1) - 1 AS INTEGER) AS pos,
                  CAST(unnest(embedding) AS DOUBLE) AS x
           FROM embeddings)"""
 
 # embeddings as matrix cells (i = vec_id + shift, j 1-based, v double)
 def _cells(shift: int = 0) -> str:
     return f"""(SELECT vec_id + {shift} AS i,
-                  generate_subscripts(embedding, 1) AS j,
+                  CAST(generate_subscripts(embedding, 1) AS INTEGER) AS j,
                   CAST(unnest(embedding) AS DOUBLE) AS v
            FROM embeddings)"""
 
@@ -25,7 +25,7 @@ _EDGES = """(SELECT 'o' || l_orderkey AS src, 'p' || l_partkey AS dst FROM linei
 
 
 # k-means: observations (id, cluster = vec_id % 4) and their cells
-_KM_CELLS = """(SELECT vec_id AS id, generate_subscripts(embedding, 1) AS j,
+_KM_CELLS = """(SELECT vec_id AS id, CAST(generate_subscripts(embedding, 1) AS INTEGER) AS j,
                       CAST(unnest(embedding) AS DOUBLE) AS x
                FROM embeddings)"""
 
@@ -48,7 +48,7 @@ _KM_START = "(SELECT vec_id AS id, vec_id % 4 AS cluster FROM embeddings)"
 
 # regression rows: (vec_id, y, j 1-based, x double)
 _RG = """(SELECT vec_id, CAST(label AS DOUBLE) AS y,
-                 generate_subscripts(embedding, 1) AS j,
+                 CAST(generate_subscripts(embedding, 1) AS INTEGER) AS j,
                  CAST(unnest(embedding) AS DOUBLE) AS x
           FROM embeddings)"""
 
@@ -135,7 +135,7 @@ ORACLE = {
     "to_cells": f"""
         SELECT i, j, round(v, 6) AS v FROM {_cells()}""",
     "to_rows": """
-        SELECT vec_id AS i, len(embedding) AS n,
+        SELECT vec_id AS i, CAST(len(embedding) AS INTEGER) AS n,
                round(CAST(embedding[1] AS DOUBLE), 6) AS first,
                round(CAST(embedding[len(embedding)] AS DOUBLE), 6) AS last
         FROM embeddings""",
@@ -163,7 +163,7 @@ ORACLE = {
         SELECT s.s_name, n.n_name
         FROM supplier s JOIN nation n ON s.s_nationkey = n.n_nationkey""",
     "read_matrix": f"""
-        SELECT 'E' AS matrix, i, j, round(v, 6) AS v FROM {_cells()}""",
+        SELECT 'E' AS matrix, CAST(i AS INTEGER) AS i, j, round(v, 6) AS v FROM {_cells()}""",
     "write_by_value": """
         SELECT o_orderpriority, count(*) AS n, round(sum(o_totalprice), 6) AS total
         FROM orders GROUP BY o_orderpriority""",

@@ -1,0 +1,218 @@
+"""Golden tests on the small programs' own inputs and outputs.
+
+Inputs and expected outputs are the committed fixture values, stated here as
+literal data (blank-separated fixtures re-written with tabs).
+"""
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from quarry import sources
+from quarry.operators import cluster, graph, matrix, regression, relational, stats, text
+
+# -- fixed fixture values -----------------------------------------------------
+ORDERS = ["a\tSmith\t1", "a\tDavid\t2", "a\tMichael\t2", "a\tDavid\t3", "a\tJim\t6"]
+ITEMS = ["b\t1\tItemA", "b\t2\tItemB", "b\t3\tItemC", "b\t6\tItemD"]
+JOINED = {("Smith", "ItemA"), ("Michael", "ItemB"), ("David", "ItemB"),
+          ("David", "ItemC"), ("Jim", "ItemD")}
+
+EDGES = ["r\ts", "r\tv", "s\tw", "w\tt", "t\tx", "w\tx", "t\tu", "x\tu", "x\ty", "u\ty"]
+DISTANCES = [("s", 0), ("r", 1), ("w", 1), ("t", 2), ("v", 2), ("x", 2), ("u", 3), ("y", 3)]
+ADJACENCY = {"s": "r,w", "u": "t,x,y", "w": "s,t,x", "y": "u,x", "r": "s,v",
+             "t": "u,w,x", "v": "r", "x": "t,u,w,y"}
+
+OBSERVATIONS = ["0\t0\t1.0\t1.0", "1\t1\t1.5\t2.0", "2\t0\t3.0\t4.0", "3\t1\t5.0\t7.0",
+                "4\t0\t3.5\t5.0", "5\t1\t4.5\t5.0", "6\t0\t3.5\t4.5"]
+ASSIGNED = {0: 0, 1: 0, 2: 1, 3: 1, 4: 1, 5: 1, 6: 1}
+CENTRES = {0: [1.8333333333333333, 2.3333333333333335], 1: [4.125, 5.375]}
+
+NB_MEANS = {(0, 0): (3.028259755199995, 5000), (0, 1): (0.00854252660000002, 5000),
+            (1, 0): (4.995530689000024, 5000), (1, 1): (-0.08422629199999988, 5000)}
+NB_SUMSQ = {(0, 0): 85162.79235369904, (0, 1): 5010.412121984959,
+            (1, 0): 174747.31382242302, (1, 1): 26087.278195769894}
+NB_VAR = {(0, 0): 7.863774080591995, (0, 1): 1.0022098916146032,
+          (1, 0): 9.996135126768905, (1, 1): 5.211403851660242}
+
+SCALAR_A = ["A1\t1\t3\t5\t7", "A2\t2\t4\t6\t8"]
+SCALAR_2A = {1: [2.0, 6.0, 10.0, 14.0], 2: [4.0, 8.0, 12.0, 16.0]}
+MUL_A = ["A1:4\t1\t2", "A2:4\t3\t4", "A3:4\t5\t6"]
+MUL_B = ["B1:3\t1\t2\t3\t4", "B2:3\t5\t6\t7\t8"]
+MUL_C = {1: [11.0, 14.0, 17.0, 20.0], 2: [23.0, 30.0, 37.0, 44.0], 3: [35.0, 46.0, 57.0, 68.0]}
+ADD_A = ["A:1\t1\t3\t1", "A:2\t1\t0\t0"]
+ADD_B = ["B:1\t0\t0\t5", "B:2\t7\t5\t0"]
+A_MINUS_B = {1: [1.0, 3.0, -4.0], 2: [-6.0, -5.0, 0.0]}
+LETTERS = ["A1\ta\tb", "A2\tc\td", "A3\te\tf"]
+LETTERS_T = {1: ["a", "c", "e"], 2: ["b", "d", "f"]}
+
+PAL_TEXT = "yxzyxyzyxzyxyyxyzyxyyxyyxyzxyz"
+PAL_LONGEST = "yxyyxyzyxyyxy"
+
+ALPHA = [-0.991267118413, -0.398317327925, 0.407039822839, -0.294169033987,
+         -0.443723605766, 0.486663772751, -0.118241433171, -0.547496809343,
+         -0.180759091948, 0.224260018741]
+# -----------------------------------------------------------------------------
+
+
+def _rows(cells):
+    out = {}
+    for r in cells.collect():
+        out.setdefault(r["i"], {})[r["j"]] = r["v"]
+    return {i: [row[j] for j in sorted(row)] for i, row in out.items()}
+
+
+def test_tagged_join(spark, tsv):
+    path = tsv(ORDERS + ITEMS)
+    frames = sources.read_tagged(spark, path, {"a": "customer string, item string",
+                                               "b": "item string, name string"})
+    out = relational.equi_join(frames["a"], frames["b"], "item", ["customer"], ["name"])
+    assert {tuple(r) for r in out.collect()} == JOINED
+    assert out.count() == len(JOINED)
+
+
+def test_bfs_and_adjacency(spark, tsv):
+    edges = sources.read_tsv(spark, tsv(EDGES), "src string, dst string")
+    dist = graph.bfs(edges, "s").collect()
+    assert [tuple(r) for r in dist] == DISTANCES
+    adj = graph.adjacency(graph.symmetrize(edges)).collect()
+    assert {r["node"]: ",".join(r["neighbours"]) for r in adj} == ADJACENCY
+    assert all(r["part"] == 0 for r in adj)
+
+
+def test_bfs_unreachable_and_depth(spark, tsv):
+    edges = sources.read_tsv(spark, tsv(EDGES + ["p\tq"]), "src string, dst string")
+    assert {r["node"] for r in graph.bfs(edges, "s").collect()} == {n for n, _ in DISTANCES}
+    assert [tuple(r) for r in graph.bfs(edges, "s", max_depth=1).collect()] == DISTANCES[:3]
+    assert graph.bfs(edges, "nowhere").count() == 0
+
+
+def test_adjacency_splits_hubs(spark):
+    e = spark.range(1000).select(F.lit("hub").alias("src"), F.col("id").cast("string").alias("dst"))
+    adj = graph.adjacency(e, max_list=100).collect()
+    assert len(adj) == 10 and {r["part"] for r in adj} == set(range(10))
+    got = sorted(x for r in adj for x in r["neighbours"])
+    assert got == sorted(str(i) for i in range(1000))
+    assert max(len(r["neighbours"]) for r in adj) < 200
+
+
+def test_write_by_value(spark, tsv, tmp_path):
+    df = sources.read_tsv(spark, tsv([f"{n}\t{d}" for n, d in DISTANCES]), "node string, dist int")
+    out = str(tmp_path / "by_value")
+    sources.write_by_value(df, out, "dist")
+    back = sources.read_tsv(spark, out, "node string")
+    groups = {}
+    for r in back.collect():
+        groups.setdefault(r["dist"], set()).add(r["node"])
+    assert groups == {0: {"s"}, 1: {"r", "w"}, 2: {"t", "v", "x"}, 3: {"u", "y"}}
+    assert relational.distinct_count(df, "dist").first()["n"] == 4
+
+
+def test_kmeans_small(spark, tsv):
+    raw = sources.read_tsv(spark, tsv(OBSERVATIONS), "id string, cluster int, x1 double, x2 double")
+    obs = raw.select("id", "cluster", F.array("x1", "x2").alias("features"))
+    assigned, centres = cluster.kmeans(obs, max_rounds=1)
+    assert {int(r["id"]): r["cluster"] for r in assigned.collect()} == ASSIGNED
+    got = {r["cluster"]: list(r["center"]) for r in centres.collect()}
+    assert got.keys() == CENTRES.keys()
+    for k, v in CENTRES.items():
+        assert got[k] == pytest.approx(v, rel=1e-12)
+
+
+def test_kmeans_fixpoint_stops(spark, tsv):
+    raw = sources.read_tsv(spark, tsv(OBSERVATIONS), "id string, cluster int, x1 double, x2 double")
+    obs = raw.select("id", "cluster", F.array("x1", "x2").alias("features"))
+    a1, _ = cluster.kmeans(obs, max_rounds=1)
+    a50, _ = cluster.kmeans(obs, max_rounds=50)
+    again, _ = cluster.kmeans(a50, max_rounds=0)
+    assert {r["id"]: r["cluster"] for r in again.collect()} == \
+           {r["id"]: r["cluster"] for r in a50.collect()}
+    assert a1.count() == 7
+
+
+def test_naive_bayes_variance(spark):
+    means = spark.createDataFrame([(f, c, m, n) for (f, c), (m, n) in NB_MEANS.items()],
+                                  "feature int, cls int, mean double, count bigint")
+    ss = spark.createDataFrame([(f, c, v) for (f, c), v in NB_SUMSQ.items()],
+                               "feature int, cls int, sumsq double")
+    var = stats.variance_from_moments(means, ss, ["feature", "cls"]).collect()
+    assert {(r["feature"], r["cls"]): r["var"] for r in var} == pytest.approx(NB_VAR, rel=1e-12)
+
+
+def test_class_prior_and_nb_train(spark):
+    df = spark.range(10_000).select((F.col("id") % 2).alias("label"),
+                                    F.array((F.col("id") % 7).cast("double"),
+                                            (F.col("id") % 5).cast("double")).alias("x"))
+    prior = {r["label"]: r["prior"] for r in stats.class_prior(df, "label").collect()}
+    assert prior == {0: 0.5, 1: 0.5}
+    nb = stats.gaussian_nb_train(df, "label", "x").collect()
+    assert len(nb) == 4 and all(r["prior"] == 0.5 and r["count"] == 5000 for r in nb)
+
+
+def test_mean_count_merge(spark):
+    df = spark.range(1, 5001).select((F.col("id") % 13).alias("g"), (F.col("id") / 1000.0).alias("v"))
+    whole = stats.mean_count(df, "v").first()
+    merged = stats.merge_mean_count(stats.mean_count(df, "v", by="g")).first()
+    assert merged["count"] == whole["count"] == 5000
+    assert merged["mean"] == pytest.approx(whole["mean"], rel=1e-12)
+
+
+def test_matrix_scale(spark, tsv):
+    cells = sources.read_matrix(spark, tsv(SCALAR_A)).drop("matrix")
+    assert _rows(matrix.scale(cells, 2)) == SCALAR_2A
+
+
+def test_matrix_multiply(spark, tsv):
+    m = sources.read_matrix(spark, [tsv(MUL_A), tsv(MUL_B)])
+    a = m.where("matrix = 'A'").drop("matrix")
+    b = m.where("matrix = 'B'").drop("matrix")
+    assert _rows(matrix.matmul(a, b)) == MUL_C
+    rows = matrix.to_rows(matrix.matmul(a, b)).collect()
+    assert {r["i"]: list(r["row"]) for r in rows} == MUL_C
+
+
+def test_matrix_subtract(spark, tsv):
+    m = sources.read_matrix(spark, [tsv(ADD_A), tsv(ADD_B + ["B:3\t1\t1\t1\t"])])
+    a = m.where("matrix = 'A'").drop("matrix")
+    b = m.where("matrix = 'B' AND i < 3").drop("matrix")
+    assert _rows(matrix.subtract(a, b)) == A_MINUS_B
+    b3 = m.where("matrix = 'B'").drop("matrix")
+    assert _rows(matrix.add(a, b3))[3] == [1.0, 1.0, 1.0]
+
+
+def test_transpose_letters(spark, tsv):
+    cells = sources.read_matrix(spark, tsv(LETTERS), value_type="string").drop("matrix")
+    assert _rows(matrix.transpose(cells)) == LETTERS_T
+
+
+def test_bad_input_fails_or_nulls(spark, tsv):
+    path = tsv(["1\tx", "2\t3"])
+    with pytest.raises(Exception):
+        sources.read_tsv(spark, path, "a int, b int").collect()
+    got = sorted(tuple(r) for r in sources.read_tsv(spark, path, "a int, b int", on_error="null").collect())
+    assert got == [(1, None), (2, 3)]
+
+
+def test_palindrome_golden(spark):
+    df = spark.createDataFrame([(1, PAL_TEXT)], "id int, text string")
+    row = text.longest_palindrome(df, "id", "text").first()
+    assert (row["len"], row["pal"]) == (13, PAL_LONGEST)
+    centres = text.palindromes_by_center(df, "id", "text").orderBy("center").collect()
+    assert len(centres) == 30 and centres[-1]["even"] is None
+    longest = max((c for r in centres for c in (r["odd"], r["even"] or "")), key=len)
+    assert longest == PAL_LONGEST
+
+
+def test_gradient_descent_vs_numpy(spark):
+    rng = np.random.default_rng(7)
+    x = rng.normal(size=(200, len(ALPHA)))
+    y = x @ np.arange(1, len(ALPHA) + 1) * 0.1 + rng.normal(scale=0.01, size=200)
+    data = spark.createDataFrame([(f"D{i}", x[i].tolist(), float(y[i])) for i in range(200)],
+                                 "id string, x array<double>, y double")
+    w0 = spark.createDataFrame([(j + 1, a) for j, a in enumerate(ALPHA)], "j int, w double")
+    got = {r["j"]: r["w"] for r in regression.linreg_gd(data, w0, rate=0.001, iterations=3).collect()}
+    w = np.array(ALPHA)
+    for _ in range(3):
+        w = w + 0.001 * x.T @ (y - x @ w)
+    assert [got[j + 1] for j in range(len(ALPHA))] == pytest.approx(w.tolist(), rel=1e-9)
+    e = {r["id"]: r["e"] for r in regression.residuals(data, w0).collect()}
+    assert e["D3"] == pytest.approx(float(y[3] - x[3] @ np.array(ALPHA)))
