@@ -21,6 +21,9 @@ from pyspark.sql import types as T
 from pyspark.sql.functions import pandas_udf
 
 _BUDGET_PER_CHAR = 64
+# texts up to this length are expanded with plain Python (cheaper than
+# setting up numpy arrays for a handful of centres)
+_SHORT = 48
 
 
 def _codes(text: str) -> np.ndarray:
@@ -68,8 +71,26 @@ def _manacher(a: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return odd, even
 
 
+def _radii_short(text: str) -> tuple[list[int], list[int]]:
+    n = len(text)
+    odd, even = [0] * n, [0] * n
+    for c in range(n):
+        k = 1
+        while c - k >= 0 and c + k < n and text[c - k] == text[c + k]:
+            k += 1
+        odd[c] = k - 1
+        k = 1
+        while c - k + 1 >= 0 and c + k < n and text[c - k + 1] == text[c + k]:
+            k += 1
+        even[c] = k - 1
+    return odd, even
+
+
 def radii(text: str) -> tuple[np.ndarray, np.ndarray]:
     """``(odd, even)`` radius arrays of ``text`` (see module doc)."""
+    if len(text) <= _SHORT:
+        odd, even = _radii_short(text)
+        return np.array(odd, dtype=np.int32), np.array(even, dtype=np.int32)
     a = _codes(text)
     if a.size == 0:
         return np.zeros(0, np.int32), np.zeros(0, np.int32)
@@ -84,6 +105,15 @@ def radii(text: str) -> tuple[np.ndarray, np.ndarray]:
 def longest_span(text: str) -> tuple[int, int]:
     """``(start, length)`` of the longest palindromic substring, 0-based
     start; among equally long ones the earliest."""
+    if len(text) <= _SHORT:
+        odd, even = _radii_short(text)
+        best_start, best = 0, 0
+        for c in range(len(text)):
+            if 2 * odd[c] + 1 > best:
+                best, best_start = 2 * odd[c] + 1, c - odd[c]
+            if 2 * even[c] > best:
+                best, best_start = 2 * even[c], c - even[c] + 1
+        return best_start, best
     odd, even = radii(text)
     if odd.size == 0:
         return 0, 0

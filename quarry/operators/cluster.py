@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from quarry.functions.vector import as_double_vector, squared_distance
-from quarry.plans.materialize import drop_path, materialize, row_count_at_most
+from quarry.plans.materialize import drop_path, materialize_observed, row_count_at_most
 
 
 def kmeans_update(obs: DataFrame, cluster: str = "cluster",
@@ -33,10 +33,14 @@ def kmeans_update(obs: DataFrame, cluster: str = "cluster",
 
 
 def kmeans_assign(obs: DataFrame, centers: DataFrame, cluster: str = "cluster",
-                  features: str = "features", max_centers: int = 100_000) -> DataFrame:
+                  features: str = "features", max_centers: int | None = 100_000) -> DataFrame:
     """Set ``cluster`` of every observation to its nearest centre (squared
-    Euclidean distance; ties go to the lowest cluster)."""
-    row_count_at_most(centers, max_centers)
+    Euclidean distance; ties go to the lowest cluster).
+
+    ``max_centers`` bounds the centre table before it is inlined (``None``:
+    the caller has checked it)."""
+    if max_centers is not None:
+        row_count_at_most(centers, max_centers)
     packed = centers.agg(F.collect_list(F.struct(
         F.col("cluster").alias("c"), F.col("center").alias("v")))).scalar()
     x = as_double_vector(features)
@@ -55,24 +59,29 @@ def kmeans(obs: DataFrame, max_rounds: int, id_col: str = "id",
     further rounds while some observation still moves.
 
     Returns ``(assignments, centers)``: the final ``(id, cluster, features)``
-    and the centres used by the last assignment.  Each round is written to the
-    checkpoint folder; the driver sees one number per round (observations
-    that kept their cluster).
+    and the centres used by the last assignment.  A round is one job: the
+    centres of the previous assignment are computed as a subquery, the new
+    assignment is written to the checkpoint folder, and the number of
+    observations that kept their cluster is observed during that write.  The
+    number of clusters can only shrink from round to round, so its bound is
+    checked once, up front.
     """
     current = obs.select(id_col, cluster, features)
-    n = current.count()
-    path = None
+    row_count_at_most(current.select(cluster).distinct(), max_centers)
+    spark = obs.sparkSession
+    older = previous = None
     rounds = 0
     while True:
-        centers, _ = materialize(kmeans_update(current, cluster, features), "kmeans-centers")
+        centers = kmeans_update(current, cluster, features)
         moved = kmeans_assign(current.withColumn("_prev", F.col(cluster)), centers,
-                              cluster, features, max_centers)
-        nxt, nxt_path = materialize(moved, "kmeans-assign")
-        drop_path(obs.sparkSession, path)
-        current, path = nxt, nxt_path
-        unmoved = current.agg(F.sum((F.col(cluster) == F.col("_prev")).cast("long"))).first()[0]
-        current = current.drop("_prev")
-        if rounds >= max_rounds or (unmoved or 0) >= n:
+                              cluster, features, max_centers=None)
+        nxt, path, m = materialize_observed(
+            moved.select(id_col, cluster, features, "_prev"), "kmeans-assign",
+            unmoved=F.sum((F.col(cluster) == F.col("_prev")).cast("long")))
+        drop_path(spark, older)
+        older, previous = previous, path
+        current = nxt.drop("_prev")
+        if rounds >= max_rounds or (m["unmoved"] or 0) >= m["rows"]:
             break
         rounds += 1
     return current, centers

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, functions as F
 
-from quarry.plans.materialize import materialize
+from quarry.plans.materialize import materialize, materialize_observed
 
 
 def symmetrize(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
@@ -24,62 +24,77 @@ def adjacency(edges: DataFrame, src: str = "src", dst: str = "dst",
     ``ceil(degree / max_list)`` parts by a hash of the neighbour, so no single
     list (and no single task) has to hold a hub's whole neighbourhood; the
     parts of a node together hold all its neighbours.  Other nodes have one
-    part, number 0.  The table of hub nodes is at most
-    ``edges / max_list`` rows; it is broadcast only when its counted size is
-    below ``broadcast_rows``, joined by a shuffle otherwise.
+    part, number 0.  The table of hub nodes has at most
+    ``edges / max_list`` rows; it is broadcast only when its observed size is
+    at most ``broadcast_rows``, joined by a shuffle otherwise.
+
+    The input is kept (memory, spilling to disk) for the degree pass and the
+    list pass, and the result is written to the checkpoint folder, so the
+    input plan runs once.
     """
-    e = edges.select(F.col(src).alias("node"), F.col(dst).alias("nb"))
-    degree = e.groupBy("node").agg(F.count(F.lit(1)).alias("_deg"))
-    hubs, _ = materialize(
-        degree.where(F.col("_deg") > max_list)
-              .select("node", F.ceil(F.col("_deg") / max_list).alias("_parts")),
-        "adjacency-hubs")
-    n_hubs = hubs.count()
-    if n_hubs == 0:
-        tagged = e.withColumn("part", F.lit(0))
-    else:
-        side = F.broadcast(hubs) if n_hubs <= broadcast_rows else hubs
-        tagged = e.join(side, "node", "left").withColumn(
-            "part", F.when(F.col("_parts").isNull(), F.lit(0))
-                     .otherwise(F.pmod(F.xxhash64("nb"), F.col("_parts"))))
-    return tagged.groupBy("node", "part") \
-                 .agg(F.sort_array(F.collect_list("nb")).alias("neighbours"))
+    e = edges.select(F.col(src).alias("node"), F.col(dst).alias("nb")) \
+             .persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        degree = e.groupBy("node").agg(F.count(F.lit(1)).alias("_deg"))
+        hubs, _, seen = materialize_observed(
+            degree.where(F.col("_deg") > max_list)
+                  .select("node", F.ceil(F.col("_deg") / max_list).cast("int").alias("_parts")),
+            "adjacency-hubs")
+        if seen["rows"] == 0:
+            tagged = e.withColumn("part", F.lit(0))
+        else:
+            side = F.broadcast(hubs) if seen["rows"] <= broadcast_rows else hubs
+            tagged = e.join(side, "node", "left").withColumn(
+                "part", F.when(F.col("_parts").isNull(), F.lit(0))
+                         .otherwise(F.pmod(F.xxhash64("nb"), F.col("_parts")).cast("int")))
+        lists = tagged.groupBy("node", "part") \
+                      .agg(F.sort_array(F.collect_list("nb")).alias("neighbours"))
+        result, _ = materialize(lists, "adjacency")
+    finally:
+        e.unpersist()
+    return result
 
 
 def bfs(edges: DataFrame, source, src: str = "src", dst: str = "dst",
-        max_depth: int | None = None, symmetric: bool = False) -> DataFrame:
+        max_depth: int | None = None) -> DataFrame:
     """Hop distance from ``source`` in an undirected, unweighted graph:
     ``(node, dist)`` for every reachable node, ordered by ``dist, node``.
 
     Frontier expansion, one round per distance.  Because edges go both ways,
     the neighbours of frontier ``F_d`` lie in ``F_{d-1}``, ``F_d`` or
-    ``F_{d+1}``; a round therefore only anti-joins the candidates with the
-    last two frontiers, never with everything visited so far.  Each frontier
-    is written to the checkpoint folder (lineage stays one round deep, a lost
-    executor costs one round).  The edge table is hash-partitioned by
-    ``src`` once and kept, so a round shuffles only the frontier.  The loop
-    ends at an empty frontier (unreachable nodes are absent from the result)
-    or after ``max_depth`` rounds.  Pass ``symmetric=True`` if ``edges``
-    already holds both directions without duplicates.
+    ``F_{d+1}``, so a round only has to look at the last two frontiers, never
+    at everything visited so far.  A round is one join and one aggregation:
+    the frontier's neighbours (marked new) and the last two frontiers
+    (marked old) are grouped by node, and nodes with no old mark form the
+    next frontier.  The grouping de-duplicates inside each task first, so a
+    hub reached from many frontier nodes is shuffled once per task.
+
+    Each frontier is written to the checkpoint folder (lineage stays one
+    round deep; a lost executor costs one round).  The edge table is
+    hash-partitioned by ``src`` once and kept, so a round shuffles only the
+    frontier (or broadcasts it while it is small).  The loop ends at an
+    empty frontier -- unreachable nodes are absent from the result -- or
+    after ``max_depth`` rounds.
     """
     e = edges.select(F.col(src).alias("src"), F.col(dst).alias("dst"))
-    if not symmetric:
-        e = symmetrize(e)
+    e = e.unionByName(e.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
     e = e.repartition("src").persist(StorageLevel.MEMORY_AND_DISK)
     try:
         start = e.where(F.col("src") == F.lit(source)).select(F.col("src").alias("node"))
-        frontier, _ = materialize(start.distinct(), "bfs-frontier-0")
+        frontier, _ = materialize(start.limit(1), "bfs-frontier-0")
         frontiers = [frontier]
         previous = None
         depth = 0
         while max_depth is None or depth < max_depth:
-            cand = frontier.join(e, frontier["node"] == e["src"]) \
-                           .select(F.col("dst").alias("node")).distinct()
-            new = cand.join(frontier, "node", "left_anti")
+            reached = frontier.join(e, frontier["node"] == e["src"]) \
+                              .select(F.col("dst").alias("node"), F.lit(True).alias("_new"))
+            seen = frontier.select("node", F.lit(False).alias("_new"))
             if previous is not None:
-                new = new.join(previous, "node", "left_anti")
-            nxt, _ = materialize(new, f"bfs-frontier-{depth + 1}")
-            if nxt.count() == 0:
+                seen = seen.unionByName(previous.select("node", F.lit(False).alias("_new")))
+            new = reached.unionByName(seen).groupBy("node") \
+                         .agg(F.min("_new").alias("_new")).where("_new").select("node")
+            nxt, _, seen_now = materialize_observed(new, f"bfs-frontier-{depth + 1}")
+            if seen_now["rows"] == 0:
                 break
             previous, frontier = frontier, nxt
             frontiers.append(nxt)

@@ -12,12 +12,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from quarry.functions.vector import as_double_vector, dot_with_map
-from quarry.plans.materialize import materialize, row_count_at_most
+from quarry.plans.materialize import materialize_observed, row_count_at_most
 
 
 def _with_residual(data: DataFrame, w: DataFrame, x: str, y: str,
-                   max_features: int) -> DataFrame:
-    row_count_at_most(w, max_features)
+                   max_features: int | None) -> DataFrame:
+    if max_features is not None:
+        row_count_at_most(w, max_features)
     wmap = w.agg(F.map_from_entries(F.collect_list(
         F.struct(F.col("j").cast("int"), F.col("w").cast("double"))))).scalar()
     return data.withColumn("_w", wmap).withColumn(
@@ -50,11 +51,14 @@ def linreg_gd(data: DataFrame, w0: DataFrame, rate: float = 0.01,
     weight table is written to the checkpoint folder.
     """
     w = w0.select(F.col("j").cast("int").alias("j"), F.col("w").cast("double").alias("w"))
+    row_count_at_most(w, max_features)
     rows = data.select(x, y)
     for _ in range(iterations):
-        g = gradient(_with_residual(rows, w, x, y, max_features), x, "e")
+        g = gradient(_with_residual(rows, w, x, y, None), x, "e")
         step = w.join(g, "j", "full").select(
             "j", (F.coalesce(F.col("w"), F.lit(0.0))
                   + F.lit(float(rate)) * F.coalesce(F.col("g"), F.lit(0.0))).alias("w"))
-        w, _ = materialize(step, "linreg-weights")
+        w, _, seen = materialize_observed(step, "linreg-weights")
+        if seen["rows"] > max_features:
+            raise ValueError(f"{seen['rows']} weights exceed the bound of {max_features}")
     return w

@@ -8,7 +8,7 @@ current round, and AQE sees real file sizes when it chooses join strategies.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from quarry.session import scratch_path
 
@@ -19,7 +19,25 @@ def materialize(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path), path
+    return _read_back(spark, df, path), path
+
+
+def _read_back(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:
+    # the schema is known: no footer-reading job to infer it again
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def materialize_observed(df: DataFrame, name: str,
+                         **metrics: Column) -> tuple[DataFrame, str, dict]:
+    """Like ``materialize``, and also return aggregate metrics computed while
+    the rows are written (``rows`` always, plus the given named aggregate
+    expressions) -- no second pass over the data."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    obs = Observation(name)
+    exprs = [F.count(F.lit(1)).alias("rows")] + [c.alias(k) for k, c in metrics.items()]
+    df.observe(obs, *exprs).write.mode("overwrite").parquet(path)
+    return _read_back(spark, df, path), path, obs.get
 
 
 def drop_path(spark: SparkSession, path: str | None) -> None:
