@@ -13,7 +13,6 @@ from pyspark.sql import DataFrame, functions as F
 from quarry.functions.palindrome import longest_span_udf, radii_udf
 
 
-
 def palindromes_by_center(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """One row per centre of every text: ``(id, center, odd, even)`` where
     ``odd`` is the longest palindrome centred on character ``center``
