@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from quarry.functions.palindrome import longest_span_udf, radii_udf
+from quarry.session import ship_package
 
 
 def palindromes_by_center(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -18,6 +19,7 @@ def palindromes_by_center(df: DataFrame, id_col: str, text_col: str) -> DataFram
     ``odd`` is the longest palindrome centred on character ``center``
     (0-based) and ``even`` the longest one centred between ``center`` and
     ``center + 1`` (empty if those differ, NULL at the last character)."""
+    ship_package(df.sparkSession)
     r = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("_t"),
                   radii_udf(F.col(text_col)).alias("_r"))
     per = r.select("id", "_t", F.posexplode(F.arrays_zip(
@@ -32,6 +34,7 @@ def palindromes_by_center(df: DataFrame, id_col: str, text_col: str) -> DataFram
 def longest_palindrome(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Longest palindromic substring per row: ``(id, len, pal)``; ties go to
     the earliest start.  An empty text gives ``(0, '')``, NULL gives NULL."""
+    ship_package(df.sparkSession)
     r = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("_t"),
                   longest_span_udf(F.col(text_col)).alias("_s"))
     return r.select("id", F.col("_s.len").alias("len"),

@@ -120,6 +120,13 @@ def q_matmul(spark, sf_dir):
     return round_doubles(gram.select("i", F.col("j").alias("k"), "v"))
 
 
+def q_matmul_blocked(spark, sf_dir):
+    cells = _embedding_cells(spark, sf_dir)
+    gram = matrix.matmul_blocked(matrix.transpose(cells), cells, block=128)
+    return round_doubles(gram.select(F.col("i").cast("int").alias("i"),
+                                     F.col("j").cast("int").alias("k"), "v"))
+
+
 # -- sources and sinks -------------------------------------------------------
 
 def q_read_tsv(spark, sf_dir):
@@ -280,6 +287,7 @@ QUERIES = {
     "add": q_add,
     "subtract": q_subtract,
     "matmul": q_matmul,
+    "matmul_blocked": q_matmul_blocked,
     "read_tsv": q_read_tsv,
     "read_tagged": q_read_tagged,
     "read_matrix": q_read_matrix,

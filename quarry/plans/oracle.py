@@ -155,6 +155,10 @@ ORACLE = {
         SELECT a.j AS i, b.j AS k, round(sum(a.v * b.v), 6) AS v
         FROM {_cells()} a JOIN {_cells()} b ON a.i = b.i
         GROUP BY a.j, b.j""",
+    "matmul_blocked": f"""
+        SELECT a.j AS i, b.j AS k, round(sum(a.v * b.v), 6) AS v
+        FROM {_cells()} a JOIN {_cells()} b ON a.i = b.i
+        GROUP BY a.j, b.j""",
     "read_tsv": """
         SELECT c_custkey, c_name, c_nationkey, round(c_acctbal, 6) AS c_acctbal,
                c_mktsegment

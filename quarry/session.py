@@ -73,3 +73,33 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path below the checkpoint folder."""
     return f"{checkpoint_dir(spark).rstrip('/')}/quarry/{name}-{uuid.uuid4().hex}"
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``quarry`` importable in the Python workers of this application.
+
+    Operators that run Python on the executors (pandas UDFs, mapInPandas)
+    call this; the package is zipped once per application and distributed
+    with ``addPyFile`` (Spark's own file distribution), so it works whatever
+    the driver's working directory or the executors' environment.
+    """
+    import os
+    import zipfile
+
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    archive = os.path.join(tempfile.mkdtemp(prefix="quarry-pyfiles-"), "quarry.zip")
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as zf:
+        for root, _, files in os.walk(pkg_dir):
+            for name in files:
+                if name.endswith(".py"):
+                    full = os.path.join(root, name)
+                    zf.write(full, os.path.relpath(full, os.path.dirname(pkg_dir)))
+    sc.addPyFile(archive)
+    _SHIPPED.add(app)

@@ -79,7 +79,8 @@ def compare(spark, sf_dir: str, key: str, query, sql: str | None, con=None):
 
 
 if __name__ == "__main__":
-    sys.path.insert(0, ".")
+    import os
+    sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     import __spark_entry__ as entry
     from quarry.session import build_session
 

@@ -33,6 +33,14 @@ def test_matrix_algebra(spark):
     assert np.allclose(_dense(matrix.scale(ca, -1.5), (6, 5)), -1.5 * a)
 
 
+def test_blocked_matmul_matches_numpy(spark):
+    rng = np.random.default_rng(4)
+    a, b = rng.normal(size=(9, 7)), rng.normal(size=(7, 11))
+    a[2, :] = 0.0
+    got = _dense(matrix.matmul_blocked(_cells(spark, a), _cells(spark, b), block=4), (9, 11))
+    assert np.allclose(got, a @ b)
+
+
 def test_to_rows_dense_width(spark):
     cells = spark.createDataFrame([(1, 1, 1.0), (1, 3, 3.0)], "i int, j int, v double")
     assert matrix.to_rows(cells, width=4).first()["row"] == [1.0, 0.0, 3.0, 0.0]
