@@ -1,0 +1,12 @@
+"""Streaming.
+
+The programs this library re-expresses are all one-shot batch jobs: each
+reads a directory once and ends; none has a watermark, event-time window,
+state store or late-data rule.  So there is no streaming operator here.
+
+The stateless operators (``to_cells``, ``transpose``, ``scale``, the
+palindrome search) and the grouped aggregates (``mean_count``,
+``sum_squares``, ``merge_mean_count``) are ordinary DataFrame plans and also
+accept a streaming DataFrame from ``spark.readStream``; the iterative ones
+(BFS, k-means, gradient descent) need whole-table rounds and are batch only.
+"""
