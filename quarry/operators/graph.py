@@ -9,11 +9,21 @@ from pyspark.sql import DataFrame, functions as F
 from quarry.plans.materialize import materialize, materialize_observed
 
 
+def _both_directions(edges: DataFrame, src: str, dst: str) -> DataFrame:
+    # One scan of the input emits each edge both ways (no union of two scans).
+    pair = F.explode(F.array(
+        F.struct(F.col(src).alias("src"), F.col(dst).alias("dst")),
+        F.struct(F.col(dst).alias("src"), F.col(src).alias("dst"))))
+    return edges.select(pair.alias("_e")).select("_e.src", "_e.dst")
+
+
 def symmetrize(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
-    """Every edge in both directions, once: ``(src, dst)``."""
-    e = edges.select(F.col(src).alias("src"), F.col(dst).alias("dst"))
-    return e.unionByName(e.select(F.col("dst").alias("src"), F.col("src").alias("dst"))) \
-            .distinct()
+    """Every edge in both directions, once: ``(src, dst)``.
+
+    Both directions come from one scan of the input; duplicates are removed
+    by an aggregation that first de-duplicates inside each task.
+    """
+    return _both_directions(edges, src, dst).distinct()
 
 
 def adjacency(edges: DataFrame, src: str = "src", dst: str = "dst",
@@ -76,9 +86,8 @@ def bfs(edges: DataFrame, source, src: str = "src", dst: str = "dst",
     empty frontier -- unreachable nodes are absent from the result -- or
     after ``max_depth`` rounds.
     """
-    e = edges.select(F.col(src).alias("src"), F.col(dst).alias("dst"))
-    e = e.unionByName(e.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
-    e = e.repartition("src").persist(StorageLevel.MEMORY_AND_DISK)
+    e = _both_directions(edges, src, dst).repartition("src") \
+        .persist(StorageLevel.MEMORY_AND_DISK)
     try:
         start = e.where(F.col("src") == F.lit(source)).select(F.col("src").alias("node"))
         frontier, _ = materialize(start.limit(1), "bfs-frontier-0")

@@ -49,6 +49,10 @@ def scale(cells: DataFrame, s: float) -> DataFrame:
     return cells.select("i", "j", (F.lit(float(s)) * F.col("v")).alias("v"))
 
 
+def _named(cells: DataFrame, name: str | None) -> DataFrame:
+    return cells if name is None else cells.select(F.lit(name).alias("matrix"), "i", "j", "v")
+
+
 def _combine(a: DataFrame, b: DataFrame, sign: float) -> DataFrame:
     # A union followed by a grouped sum: one shuffle with map-side combining,
     # cheaper than a full outer join, and a cell missing on one side counts 0.
@@ -57,31 +61,35 @@ def _combine(a: DataFrame, b: DataFrame, sign: float) -> DataFrame:
     return both.groupBy("i", "j").agg(F.sum("v").alias("v"))
 
 
-def add(a: DataFrame, b: DataFrame) -> DataFrame:
-    """Cell-wise ``A + B``; absent cells are 0."""
-    return _combine(a, b, 1.0)
+def add(a: DataFrame, b: DataFrame, name: str | None = None) -> DataFrame:
+    """Cell-wise ``A + B``; absent cells are 0.  With ``name``, the result
+    carries a ``matrix`` column holding it."""
+    return _named(_combine(a, b, 1.0), name)
 
 
-def subtract(a: DataFrame, b: DataFrame) -> DataFrame:
-    """Cell-wise ``A - B``; absent cells are 0."""
-    return _combine(a, b, -1.0)
+def subtract(a: DataFrame, b: DataFrame, name: str | None = None) -> DataFrame:
+    """Cell-wise ``A - B``; absent cells are 0.  With ``name``, the result
+    carries a ``matrix`` column holding it."""
+    return _named(_combine(a, b, -1.0), name)
 
 
-def matmul(a: DataFrame, b: DataFrame) -> DataFrame:
+def matmul(a: DataFrame, b: DataFrame, name: str | None = None) -> DataFrame:
     """Matrix product ``A * B`` of two cell tables.
 
     Joins A's column index with B's row index and sums the products per
     ``(i, k)``.  The products stream from the join straight into a partial
     aggregate, so they are never shuffled; AQE splits an inner index that
-    holds a large share of both sides.  Result cells are ``(i, j, v)``.
+    holds a large share of both sides.  Result cells are ``(i, j, v)``
+    (plus ``matrix`` = ``name`` if given).
     """
     left = a.select(F.col("i").alias("_i"), F.col("j").alias("_m"),
                     F.col("v").cast("double").alias("_a"))
     right = b.select(F.col("i").alias("_m"), F.col("j").alias("_k"),
                      F.col("v").cast("double").alias("_b"))
-    return left.join(right, "_m").groupBy("_i", "_k") \
-               .agg(F.sum(F.col("_a") * F.col("_b")).alias("v")) \
-               .select(F.col("_i").alias("i"), F.col("_k").alias("j"), "v")
+    product = left.join(right, "_m").groupBy("_i", "_k") \
+                  .agg(F.sum(F.col("_a") * F.col("_b")).alias("v")) \
+                  .select(F.col("_i").alias("i"), F.col("_k").alias("j"), "v")
+    return _named(product, name)
 
 
 _BLOCK_PRODUCT_SCHEMA = "i long, j long, v double"
@@ -129,7 +137,8 @@ def _blocks(cells: DataFrame, size: int, base: int) -> DataFrame:
                                          F.collect_list("v").alias("vv"))
 
 
-def matmul_blocked(a: DataFrame, b: DataFrame, block: int = 256, base: int = 1) -> DataFrame:
+def matmul_blocked(a: DataFrame, b: DataFrame, block: int = 256, base: int = 1,
+                   name: str | None = None) -> DataFrame:
     """Matrix product for large dense inputs: ``(i, j, v)`` like ``matmul``.
 
     Cells are grouped into ``block x block`` blocks (a group never exceeds
@@ -152,4 +161,4 @@ def matmul_blocked(a: DataFrame, b: DataFrame, block: int = 256, base: int = 1)
                 "b_r", "b_c", "b_v", F.lit(block).alias("size"),
                 F.lit(base).alias("base_i"), F.lit(base).alias("base_j"))
     products = pairs.mapInPandas(_block_products, _BLOCK_PRODUCT_SCHEMA)
-    return products.groupBy("i", "j").agg(F.sum("v").alias("v"))
+    return _named(products.groupBy("i", "j").agg(F.sum("v").alias("v")), name)

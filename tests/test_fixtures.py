@@ -177,6 +177,7 @@ def test_matrix_subtract(spark, tsv):
     a = m.where("matrix = 'A'").drop("matrix")
     b = m.where("matrix = 'B' AND i < 3").drop("matrix")
     assert _rows(matrix.subtract(a, b)) == A_MINUS_B
+    assert {r["matrix"] for r in matrix.subtract(a, b, name="C").collect()} == {"C"}
     b3 = m.where("matrix = 'B'").drop("matrix")
     assert _rows(matrix.add(a, b3))[3] == [1.0, 1.0, 1.0]
 
