@@ -80,14 +80,16 @@ def bfs(edges: DataFrame, source, src: str = "src", dst: str = "dst",
     hub reached from many frontier nodes is shuffled once per task.
 
     Each frontier is written to the checkpoint folder (lineage stays one
-    round deep; a lost executor costs one round).  The edge table is
-    hash-partitioned by ``src`` once and kept, so a round shuffles only the
-    frontier (or broadcasts it while it is small).  The loop ends at an
-    empty frontier -- unreachable nodes are absent from the result -- or
-    after ``max_depth`` rounds.
+    round deep; a lost executor costs one round).  The symmetric edge table
+    is de-duplicated once (copies of an edge collapse inside each task
+    first) and kept, hash-partitioned by the whole edge, so its partitions
+    stay balanced even when one node holds a large share of all edges: a
+    small frontier is broadcast against evenly sized scans, and a large one
+    goes through a shuffle join whose skewed partitions AQE splits.  The
+    loop ends at an empty frontier -- unreachable nodes are absent from the
+    result -- or after ``max_depth`` rounds.
     """
-    e = _both_directions(edges, src, dst).repartition("src") \
-        .persist(StorageLevel.MEMORY_AND_DISK)
+    e = symmetrize(edges, src, dst).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         start = e.where(F.col("src") == F.lit(source)).select(F.col("src").alias("node"))
         frontier, _ = materialize(start.limit(1), "bfs-frontier-0")
