@@ -12,7 +12,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from quarry.functions.vector import as_double_vector, squared_distance
-from quarry.plans.materialize import drop_path, materialize_observed, row_count_at_most
+from quarry.plans.materialize import materialize_observed, row_count_at_most
+from quarry.session import scratch_path
 
 
 def kmeans_update(obs: DataFrame, cluster: str = "cluster",
@@ -68,18 +69,18 @@ def kmeans(obs: DataFrame, max_rounds: int, id_col: str = "id",
     """
     current = obs.select(id_col, cluster, features)
     row_count_at_most(current.select(cluster).distinct(), max_centers)
-    spark = obs.sparkSession
-    older = previous = None
+    # Rounds alternate between two paths: round r overwrites round r-2,
+    # which nothing reads any more, so storage stays at two rounds.
+    base = scratch_path(obs.sparkSession, "kmeans")
     rounds = 0
     while True:
         centers = kmeans_update(current, cluster, features)
         moved = kmeans_assign(current.withColumn("_prev", F.col(cluster)), centers,
                               cluster, features, max_centers=None)
-        nxt, path, m = materialize_observed(
+        nxt, _, m = materialize_observed(
             moved.select(id_col, cluster, features, "_prev"), "kmeans-assign",
+            path=f"{base}/round-{rounds % 2}",
             unmoved=F.sum((F.col(cluster) == F.col("_prev")).cast("long")))
-        drop_path(spark, older)
-        older, previous = previous, path
         current = nxt.drop("_prev")
         if rounds >= max_rounds or (m["unmoved"] or 0) >= m["rows"]:
             break

@@ -27,29 +27,20 @@ def _read_back(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def materialize_observed(df: DataFrame, name: str,
+def materialize_observed(df: DataFrame, name: str, path: str | None = None,
                          **metrics: Column) -> tuple[DataFrame, str, dict]:
     """Like ``materialize``, and also return aggregate metrics computed while
     the rows are written (``rows`` always, plus the given named aggregate
-    expressions) -- no second pass over the data."""
+    expressions) -- no second pass over the data.  An explicit ``path`` is
+    overwritten (loops alternate between two paths this way)."""
     spark = df.sparkSession
-    path = scratch_path(spark, name)
+    path = path or scratch_path(spark, name)
     obs = Observation(name)
     exprs = [F.count(F.lit(1)).alias("rows")] + [c.alias(k) for k, c in metrics.items()]
     df.observe(obs, *exprs).write.mode("overwrite").parquet(path)
     return _read_back(spark, df, path), path, obs.get
 
 
-def drop_path(spark: SparkSession, path: str | None) -> None:
-    """Delete a round that no later plan reads any more (best effort)."""
-    if not path:
-        return
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    fs.delete(hpath, True)
-
-
 def row_count_at_most(df: DataFrame, limit: int) -> int:
     """Count ``df`` (expected small: an aggregate or a materialised round) and
     fail if it exceeds ``limit``; used before data is broadcast or inlined."""
