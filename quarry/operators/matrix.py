@@ -132,9 +132,12 @@ def _blocks(cells: DataFrame, size: int, base: int) -> DataFrame:
         F.pmod(F.col("i") - base, F.lit(size)).cast("int").alias("r"),
         F.pmod(F.col("j") - base, F.lit(size)).cast("int").alias("c"),
         F.col("v").cast("double").alias("v"))
-    return local.groupBy("br", "bc").agg(F.collect_list("r").alias("rr"),
-                                         F.collect_list("c").alias("cc"),
-                                         F.collect_list("v").alias("vv"))
+    grouped = local.groupBy("br", "bc").agg(
+        F.collect_list(F.struct("r", "c", "v")).alias("_cells"))
+    return grouped.select("br", "bc",
+                          F.transform("_cells", lambda x: x["r"]).alias("rr"),
+                          F.transform("_cells", lambda x: x["c"]).alias("cc"),
+                          F.transform("_cells", lambda x: x["v"]).alias("vv"))
 
 
 def matmul_blocked(a: DataFrame, b: DataFrame, block: int = 256, base: int = 1,
