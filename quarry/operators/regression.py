@@ -15,8 +15,11 @@ from quarry.functions.vector import as_double_vector, dot_with_map
 from quarry.plans.materialize import materialize_observed, row_count_at_most
 
 
-def _with_residual(data: DataFrame, w: DataFrame, x: str, y: str,
-                   max_features: int | None) -> DataFrame:
+def with_residual(data: DataFrame, w: DataFrame, x: str = "x", y: str = "y",
+                  max_features: int | None = 1_000_000) -> DataFrame:
+    """``data`` plus a column ``e = y - x . w``; a position without weight
+    counts 0.  ``max_features`` bounds the weight table before it is inlined
+    (``None``: the caller has checked it)."""
     if max_features is not None:
         row_count_at_most(w, max_features)
     wmap = w.agg(F.map_from_entries(F.collect_list(
@@ -30,11 +33,18 @@ def residuals(data: DataFrame, w: DataFrame, id_col: str = "id", x: str = "x",
               y: str = "y", max_features: int = 1_000_000) -> DataFrame:
     """``e = y - x . w`` per row: ``(id, e)``; a position without weight
     counts 0."""
-    return _with_residual(data, w, x, y, max_features).select(id_col, "e")
+    return with_residual(data, w, x, y, max_features).select(id_col, "e")
 
 
-def gradient(data: DataFrame, x: str = "x", e: str = "e") -> DataFrame:
-    """``g_j = sum over rows of x_j * e``: ``(j, g)``, 1-based ``j``."""
+def gradient(data: DataFrame, residuals: DataFrame | None = None, x: str = "x",
+             e: str = "e", id_col: str = "id") -> DataFrame:
+    """``g_j = sum over rows of x_j * e``: ``(j, g)``, 1-based ``j``.
+
+    ``e`` is a column of ``data`` (as left by ``with_residual``, no join), or
+    comes from a separate ``(id, e)`` table joined on ``id``.
+    """
+    if residuals is not None:
+        data = data.select(id_col, x).join(residuals.select(id_col, e), id_col)
     terms = data.select(F.col(e).alias("_e"),
                         F.posexplode(as_double_vector(x)).alias("_p", "_x"))
     return terms.groupBy("_p").agg(F.sum(F.col("_x") * F.col("_e")).alias("g")) \
@@ -54,7 +64,7 @@ def linreg_gd(data: DataFrame, w0: DataFrame, rate: float = 0.01,
     row_count_at_most(w, max_features)
     rows = data.select(x, y)
     for _ in range(iterations):
-        g = gradient(_with_residual(rows, w, x, y, None), x, "e")
+        g = gradient(with_residual(rows, w, x, y, None), x=x, e="e")
         step = w.join(g, "j", "full").select(
             "j", (F.coalesce(F.col("w"), F.lit(0.0))
                   + F.lit(float(rate)) * F.coalesce(F.col("g"), F.lit(0.0))).alias("w"))

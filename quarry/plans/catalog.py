@@ -242,8 +242,8 @@ def q_residuals(spark, sf_dir):
 
 def q_gradient(spark, sf_dir):
     rows = _regression_rows(spark, sf_dir)
-    e = regression._with_residual(rows, _ramp_weights(spark, sf_dir), "x", "y", 1_000_000)
-    return round_doubles(regression.gradient(e))
+    return round_doubles(regression.gradient(
+        regression.with_residual(rows, _ramp_weights(spark, sf_dir))))
 
 
 def q_linreg_gd(spark, sf_dir):
