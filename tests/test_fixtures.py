@@ -239,3 +239,30 @@ def test_kmeans_100_points(spark):
     golden = {r["id"]: r["cluster"] for r in sources.read_tsv(spark, KMEANS_100_GOLDEN, schema).collect()}
     got = {r["id"]: r["cluster"] for r in assigned.collect()}
     assert len(golden) == 100 and got == golden
+
+
+def test_reader_error_modes(spark, tsv):
+    path = tsv(["a\t1\tx", "a\tzz\ty", "b\t2", "c\t9"])
+    frames = sources.read_tagged(spark, path, {"a": "n int, s string", "b": "n int, s string"},
+                                 on_error="null")
+    assert sorted((tuple(r) for r in frames["a"].collect()), key=lambda t: t[1]) == \
+        [(1, "x"), (None, "y")]
+    assert [tuple(r) for r in frames["b"].collect()] == [(2, None)]
+    with pytest.raises(Exception):
+        sources.read_tagged(spark, path, {"a": "n int, s string"})["a"].collect()
+    bad = tsv(["A1\t1\t2", "??\t3\t4", "A2\tq\t5"])
+    cells = sources.read_matrix(spark, bad, on_error="null").collect()
+    assert sorted(((r["i"], r["j"], r["v"]) for r in cells), key=lambda t: t[:2]) == \
+        [(1, 1, 1.0), (1, 2, 2.0), (2, 1, None), (2, 2, 5.0)]
+    with pytest.raises(Exception):
+        sources.read_matrix(spark, bad).collect()
+
+
+def test_tsv_round_trip_nulls_and_arrays(spark, tmp_path):
+    df = spark.createDataFrame([(1, None, [1.5, 2.0]), (2, "b", [3.0, 4.25])],
+                               "k int, s string, v array<double>")
+    out = str(tmp_path / "rt")
+    sources.write_tsv(df, out, single_file=True)
+    back = sources.read_tsv(spark, out, "k int, s string, v1 double, v2 double")
+    assert sorted((tuple(r) for r in back.collect()), key=lambda t: t[0]) == \
+        [(1, None, 1.5, 2.0), (2, "b", 3.0, 4.25)]
