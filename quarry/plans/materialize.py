@@ -32,7 +32,12 @@ def materialize_observed(df: DataFrame, name: str, path: str | None = None,
     """Like ``materialize``, and also return aggregate metrics computed while
     the rows are written (``rows`` always, plus the given named aggregate
     expressions) -- no second pass over the data.  An explicit ``path`` is
-    overwritten (loops alternate between two paths this way)."""
+    overwritten (loops alternate between two paths this way).
+
+    A task re-run after an executor loss may be counted twice, so callers
+    only use these numbers where that cannot change the decision: emptiness
+    tests, upper-bound checks, and ratios of counts taken from the same rows
+    (``unmoved >= rows``)."""
     spark = df.sparkSession
     path = path or scratch_path(spark, name)
     obs = Observation(name)
