@@ -27,6 +27,10 @@ def equi_join(a: DataFrame, b: DataFrame, on, a_cols: Sequence[str],
     or sort-merge, with skew splitting) is left to AQE, which knows the real
     sizes of both sides at run time.
     """
+    clash = set(a_cols) & set(b_cols)
+    if clash:
+        raise ValueError(f"output columns taken from both sides: {sorted(clash)}; "
+                         "rename them on one side first")
     pairs = _key_pairs(on)
     left = a.select(*[F.col(x).alias(f"_k{i}") for i, (x, _) in enumerate(pairs)],
                     *a_cols)

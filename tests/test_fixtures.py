@@ -266,3 +266,23 @@ def test_tsv_round_trip_nulls_and_arrays(spark, tmp_path):
     back = sources.read_tsv(spark, out, "k int, s string, v1 double, v2 double")
     assert sorted((tuple(r) for r in back.collect()), key=lambda t: t[0]) == \
         [(1, None, 1.5, 2.0), (2, "b", 3.0, 4.25)]
+
+
+def test_join_rejects_ambiguous_outputs(spark):
+    a = spark.createDataFrame([(1, "x")], "k int, name string")
+    with pytest.raises(ValueError):
+        relational.equi_join(a, a, "k", ["name"], ["name"])
+
+
+def test_rounds_live_in_checkpoint_folder(spark, tsv):
+    import glob
+
+    from quarry.session import checkpoint_dir
+
+    folder = checkpoint_dir(spark)
+    root = folder.replace("file:", "")
+    before = set(glob.glob(f"{root}/quarry/bfs-frontier-*"))
+    edges = sources.read_tsv(spark, tsv(EDGES), "src string, dst string")
+    assert graph.bfs(edges, "s").count() == len(DISTANCES)
+    after = set(glob.glob(f"{root}/quarry/bfs-frontier-*"))
+    assert len(after - before) == 5  # frontiers 0..3 and the empty fifth one
