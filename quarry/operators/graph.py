@@ -66,9 +66,11 @@ def adjacency(edges: DataFrame, src: str = "src", dst: str = "dst",
 
 
 def bfs(edges: DataFrame, source, src: str = "src", dst: str = "dst",
-        max_depth: int | None = None) -> DataFrame:
+        max_depth: int | None = None, include_unreached: bool = False) -> DataFrame:
     """Hop distance from ``source`` in an undirected, unweighted graph:
     ``(node, dist)`` for every reachable node, ordered by ``dist, node``.
+    With ``include_unreached`` every node of the graph is listed and those
+    not reached (or beyond ``max_depth``) have a NULL ``dist``, sorted last.
 
     Frontier expansion, one round per distance.  Because edges go both ways,
     the neighbours of frontier ``F_d`` lie in ``F_{d-1}``, ``F_d`` or
@@ -115,4 +117,7 @@ def bfs(edges: DataFrame, source, src: str = "src", dst: str = "dst",
     result = frontiers[0].select("node", F.lit(0).alias("dist"))
     for d, fr in enumerate(frontiers[1:], start=1):
         result = result.unionByName(fr.select("node", F.lit(d).alias("dist")))
-    return result.orderBy("dist", "node")
+    if include_unreached:
+        nodes = _both_directions(edges, src, dst).select(F.col("src").alias("node")).distinct()
+        result = nodes.join(result, "node", "left")
+    return result.orderBy(F.col("dist").asc_nulls_last(), "node")

@@ -109,10 +109,11 @@ def _block_products(batches):
             br, bc, bv = np.asarray(r.b_r), np.asarray(r.b_c), np.asarray(r.b_v, dtype=float)
             rows, inner = int(ar.max()) + 1, max(int(ac.max()), int(br.max())) + 1
             cols = int(bc.max()) + 1
-            da = np.zeros((rows, inner))
-            np.add.at(da, (ar, ac), av)
-            db = np.zeros((inner, cols))
-            np.add.at(db, (br, bc), bv)
+            # dense blocks; repeated cells add up, as in the cell-join product
+            da = np.bincount(ar * inner + ac, weights=av,
+                             minlength=rows * inner).reshape(rows, inner)
+            db = np.bincount(br * cols + bc, weights=bv,
+                             minlength=inner * cols).reshape(inner, cols)
             prod = da @ db
             ii, kk = np.nonzero(prod)
             out_i.append(ii + r.bi * r.size + r.base_i)

@@ -86,6 +86,8 @@ def test_bfs_unreachable_and_depth(spark, tsv):
     assert {r["node"] for r in graph.bfs(edges, "s").collect()} == {n for n, _ in DISTANCES}
     assert [tuple(r) for r in graph.bfs(edges, "s", max_depth=1).collect()] == DISTANCES[:3]
     assert graph.bfs(edges, "nowhere").count() == 0
+    full = [tuple(r) for r in graph.bfs(edges, "s", include_unreached=True).collect()]
+    assert full == DISTANCES + [("p", None), ("q", None)]
 
 
 def test_adjacency_splits_hubs(spark):
