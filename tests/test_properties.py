@@ -55,7 +55,7 @@ def test_bfs_edge_ends_differ_by_at_most_one(spark):
     for a, b in pairs:
         if a in dist or b in dist:
             assert a in dist and b in dist and abs(dist[a] - dist[b]) <= 1
-    # reference: plain Python BFS
+    # expected: plain Python BFS
     adj = {}
     for a, b in pairs:
         adj.setdefault(a, set()).add(b)
