@@ -290,3 +290,17 @@ def test_rounds_live_in_checkpoint_folder(spark, tsv):
     assert graph.bfs(edges, "s").count() == len(DISTANCES)
     after = set(glob.glob(f"{root}/quarry/bfs-frontier-*"))
     assert len(after - before) == 5  # frontiers 0..3 and the empty fifth one
+
+
+def test_kmeans_emptied_cluster_disappears(spark):
+    # cluster 2 starts with one point of each group, so its centre sits
+    # between the groups; the first assignment gives both points to the
+    # nearer clusters 0 and 1, cluster 2 is left empty and gets no centre
+    pts = [(0, 0, [0.0]), (1, 0, [0.1]), (2, 2, [0.2]), (3, 1, [10.0]), (4, 1, [10.1]),
+           (5, 2, [9.9])]
+    obs = spark.createDataFrame(pts, "id int, cluster int, features array<double>")
+    assigned, centres = cluster.kmeans(obs, max_rounds=3)
+    got = {r["id"]: r["cluster"] for r in assigned.collect()}
+    assert got[0] == got[1] == got[2] and got[3] == got[4] == got[5] and got[0] != got[3]
+    assert len(set(got.values())) == 2
+    assert sorted(r["cluster"] for r in centres.collect()) == [0, 1]
