@@ -45,10 +45,11 @@ def longest_palindrome_all(df: DataFrame, id_col: str, text_col: str) -> DataFra
     """The longest palindrome over the whole table: one row ``(id, len, pal)``;
     ties go to the lowest id (then the earliest start within that row).
 
-    ``max_by`` is a mergeable aggregate: each task keeps its own best row and
-    only those cross the shuffle.
+    ``min_by`` over ``(-len, id)`` is a mergeable aggregate (any orderable
+    id type): each task keeps its own best row and only those cross the
+    shuffle.
     """
     per = longest_palindrome(df, id_col, text_col).where(F.col("len").isNotNull())
-    key = F.struct(F.col("len"), (-F.col("id")).alias("_neg_id"))
-    best = per.agg(F.max_by(F.struct("id", "len", "pal"), key).alias("_b"))
+    key = F.struct((-F.col("len")).alias("_neg_len"), F.col("id"))
+    best = per.agg(F.min_by(F.struct("id", "len", "pal"), key).alias("_b"))
     return best.where(F.col("_b").isNotNull()).select("_b.id", "_b.len", "_b.pal")

@@ -139,3 +139,9 @@ def test_palindrome_docs_vs_brute_force(spark):
             assert got[i] == (n, t[s:s + n])
     best = text.longest_palindrome_all(df, "id", "text").first()
     assert (best["id"], best["len"], best["pal"]) == (4, 7, "racecar")
+
+
+def test_longest_palindrome_all_string_ids(spark):
+    df = spark.createDataFrame([("b", "xabay"), ("a", "zcdcz"), ("c", "qq")], "id string, text string")
+    best = text.longest_palindrome_all(df, "id", "text").first()
+    assert (best["id"], best["len"], best["pal"]) == ("a", 5, "zcdcz")
