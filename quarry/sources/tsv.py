@@ -46,9 +46,11 @@ def read_tsv(spark: SparkSession, paths, schema, on_error: str = "fail") -> Data
 
 
 def _fields(spark: SparkSession, paths) -> DataFrame:
-    # Trailing tabs are dropped, as a plain field split does.
+    # Trailing tabs are dropped, as a plain field split does; blank lines
+    # carry no record and are skipped.
     line = F.regexp_replace(F.col("value"), r"[\t\r]+$", "")
-    return spark.read.text(_paths(paths)).select(F.split(line, "\t").alias("f"))
+    return spark.read.text(_paths(paths)).select(line.alias("_l")) \
+                .where(F.length("_l") > 0).select(F.split("_l", "\t").alias("f"))
 
 
 def read_tagged(spark: SparkSession, paths, schemas: Mapping[str, object],

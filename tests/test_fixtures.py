@@ -184,6 +184,12 @@ def test_matrix_subtract(spark, tsv):
     assert _rows(matrix.add(a, b3))[3] == [1.0, 1.0, 1.0]
 
 
+def test_blank_lines_are_skipped(spark, tsv):
+    cells = sources.read_matrix(spark, tsv(["A1\t1\t2", "", "A2\t3\t4", "\t"])).collect()
+    assert sorted((r["i"], r["j"], r["v"]) for r in cells) == \
+        [(1, 1, 1.0), (1, 2, 2.0), (2, 1, 3.0), (2, 2, 4.0)]
+
+
 def test_transpose_letters(spark, tsv):
     cells = sources.read_matrix(spark, tsv(LETTERS), value_type="string").drop("matrix")
     assert _rows(matrix.transpose(cells)) == LETTERS_T
