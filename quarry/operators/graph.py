@@ -34,9 +34,11 @@ def adjacency(edges: DataFrame, src: str = "src", dst: str = "dst",
     ``ceil(degree / max_list)`` parts by a hash of the neighbour, so no single
     list (and no single task) has to hold a hub's whole neighbourhood; the
     parts of a node together hold all its neighbours.  Other nodes have one
-    part, number 0.  The table of hub nodes has at most
-    ``edges / max_list`` rows; it is broadcast only when its observed size is
-    at most ``broadcast_rows``, joined by a shuffle otherwise.
+    part, number 0.  The hub nodes are counted first (usually there are
+    none and nothing more is done); their table has at most
+    ``edges / max_list`` rows, is written to the checkpoint folder, and is
+    broadcast only when its count is at most ``broadcast_rows``, joined by a
+    shuffle otherwise.
 
     The input is kept (memory, spilling to disk) for the degree pass and the
     list pass, and the result is written to the checkpoint folder, so the
@@ -46,14 +48,14 @@ def adjacency(edges: DataFrame, src: str = "src", dst: str = "dst",
              .persist(StorageLevel.MEMORY_AND_DISK)
     try:
         degree = e.groupBy("node").agg(F.count(F.lit(1)).alias("_deg"))
-        hubs, _, seen = materialize_observed(
-            degree.where(F.col("_deg") > max_list)
-                  .select("node", F.ceil(F.col("_deg") / max_list).cast("int").alias("_parts")),
-            "adjacency-hubs")
-        if seen["rows"] == 0:
+        hub_rows = degree.where(F.col("_deg") > max_list) \
+                         .select("node", F.ceil(F.col("_deg") / max_list).cast("int").alias("_parts"))
+        n_hubs = hub_rows.count()
+        if n_hubs == 0:
             tagged = e.withColumn("part", F.lit(0))
         else:
-            side = F.broadcast(hubs) if seen["rows"] <= broadcast_rows else hubs
+            hubs, _ = materialize(hub_rows, "adjacency-hubs")
+            side = F.broadcast(hubs) if n_hubs <= broadcast_rows else hubs
             tagged = e.join(side, "node", "left").withColumn(
                 "part", F.when(F.col("_parts").isNull(), F.lit(0))
                          .otherwise(F.pmod(F.xxhash64("nb"), F.col("_parts")).cast("int")))
