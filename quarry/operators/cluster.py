@@ -2,18 +2,23 @@
 
 Observations are ``(id, cluster, features array)``; centres are
 ``(cluster, center array<double>)``.  Centres are model parameters of bounded
-size (clusters x dimension, checked): they reach the observations as an
-uncorrelated scalar subquery, i.e. computed once and inlined, so assignment is
-a narrow projection over the observations with no join and no shuffle.
+size (clusters x dimension, checked).  Small models reach the observations
+as an uncorrelated scalar subquery evaluated with built-in array functions;
+large ones are broadcast to an Arrow-batched numpy distance computation.
+Either way assignment is a narrow projection over the observations, with no
+join and no shuffle.
 """
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.functions import pandas_udf
 
 from quarry.functions.vector import as_double_vector, squared_distance
-from quarry.plans.materialize import materialize_observed, row_count_at_most
-from quarry.session import scratch_path
+from quarry.plans.materialize import materialize_observed
+from quarry.session import scratch_path, ship_package
 
 
 def kmeans_update(obs: DataFrame, cluster: str = "cluster",
@@ -33,29 +38,78 @@ def kmeans_update(obs: DataFrame, cluster: str = "cluster",
                     lambda s: s["_m"]).alias("center"))
 
 
+# Models with at least this many centre coordinates (clusters x dimension)
+# are assigned with numpy in Arrow batches; smaller ones with built-in array
+# functions in the JVM.
+VECTORIZE_FROM = 1024
+
+
+def _centre_shape(centers: DataFrame) -> tuple[int, int]:
+    row = centers.agg(F.count(F.lit(1)).alias("k"),
+                      F.max(F.size("center")).alias("d")).first()
+    return row["k"], row["d"] or 0
+
+
+def _nearest_numpy(centers: DataFrame, spark):
+    """A pandas UDF ``features -> nearest cluster`` closing over a broadcast
+    of the (size-checked) centres."""
+    rows = sorted(centers.select("cluster", "center").collect(), key=lambda r: r["cluster"])
+    ids = np.array([r["cluster"] for r in rows])
+    shared = spark.sparkContext.broadcast(
+        (ids, np.array([r["center"] for r in rows], dtype=float)))
+
+    @pandas_udf(centers.schema["cluster"].dataType)
+    def nearest(feats: pd.Series) -> pd.Series:
+        ids, mat = shared.value
+        out = pd.Series([None] * len(feats), dtype=object)
+        valid = [i for i, f in enumerate(feats) if f is not None]
+        for lo in range(0, len(valid), 2048):
+            part = valid[lo:lo + 2048]
+            x = np.stack([np.asarray(feats.iloc[i], dtype=float) for i in part])
+            dist = ((x[:, None, :] - mat[None, :, :]) ** 2).sum(axis=2)
+            out.iloc[part] = ids[np.argmin(dist, axis=1)]  # first minimum
+        return out
+
+    return nearest
+
+
 def kmeans_assign(obs: DataFrame, centers: DataFrame, cluster: str = "cluster",
-                  features: str = "features", max_centers: int | None = 100_000) -> DataFrame:
+                  features: str = "features", max_centers: int | None = 100_000,
+                  shape: tuple[int, int] | None = None,
+                  vectorize_from: int | None = VECTORIZE_FROM) -> DataFrame:
     """Set ``cluster`` of every observation to its nearest centre (squared
     Euclidean distance; ties go to the lowest cluster).
 
-    ``max_centers`` bounds the centre table before it is inlined (``None``:
-    the caller has checked it)."""
-    if max_centers is not None:
-        row_count_at_most(centers, max_centers)
+    The number of centres ``k`` and their dimension ``d`` are read from the
+    (small) centre table, or given as ``shape``; ``k`` is checked against
+    ``max_centers`` before the centres are inlined.  Below ``vectorize_from``
+    coordinates the centres reach the rows as a scalar subquery and the
+    distances are built-in array functions (no Python).  From there on the
+    interpreted lambdas get slow, and the centres are broadcast to a pandas
+    UDF that computes all distances of an Arrow batch with numpy.  Either way
+    the observations are only scanned and projected, never shuffled.
+    """
+    k, d = shape if shape is not None else _centre_shape(centers)
+    if max_centers is not None and k > max_centers:
+        raise ValueError(f"{k} centres exceed the bound of {max_centers}")
+    others = [c for c in obs.columns if c != cluster]
+    if vectorize_from is not None and k * d >= vectorize_from:
+        ship_package(obs.sparkSession)
+        nearest = _nearest_numpy(centers, obs.sparkSession)
+        return obs.select(*others, nearest(as_double_vector(features)).alias(cluster))
     packed = centers.agg(F.collect_list(F.struct(
         F.col("cluster").alias("c"), F.col("center").alias("v")))).scalar()
     x = as_double_vector(features)
     nearest = F.array_min(F.transform(
         "_centers", lambda c: F.struct(squared_distance(x, c["v"]).alias("d"),
                                        c["c"].alias("c"))))["c"]
-    others = [c for c in obs.columns if c != cluster]
-    return obs.withColumn("_centers", packed).select(
-        *others, nearest.alias(cluster))
+    return obs.withColumn("_centers", packed).select(*others, nearest.alias(cluster))
 
 
 def kmeans(obs: DataFrame, max_rounds: int, id_col: str = "id",
            cluster: str = "cluster", features: str = "features",
-           max_centers: int = 100_000) -> tuple[DataFrame, DataFrame]:
+           max_centers: int = 100_000,
+           vectorize_from: int | None = VECTORIZE_FROM) -> tuple[DataFrame, DataFrame]:
     """Update and assign from the given assignments, then up to ``max_rounds``
     further rounds while some observation still moves.
 
@@ -68,7 +122,13 @@ def kmeans(obs: DataFrame, max_rounds: int, id_col: str = "id",
     checked once, up front.
     """
     current = obs.select(id_col, cluster, features)
-    row_count_at_most(current.select(cluster).distinct(), max_centers)
+    # centres never outnumber the clusters of the first assignment and keep
+    # their dimension, so one up-front pass bounds every round
+    bound = current.agg(F.count_distinct(cluster).alias("k"),
+                        F.max(F.size(features)).alias("d")).first()
+    if bound["k"] > max_centers:
+        raise ValueError(f"{bound['k']} clusters exceed the bound of {max_centers}")
+    shape = (bound["k"], bound["d"] or 0)
     # Rounds alternate between two paths: round r overwrites round r-2,
     # which nothing reads any more, so storage stays at two rounds.
     base = scratch_path(obs.sparkSession, "kmeans")
@@ -76,7 +136,8 @@ def kmeans(obs: DataFrame, max_rounds: int, id_col: str = "id",
     while True:
         centers = kmeans_update(current, cluster, features)
         moved = kmeans_assign(current.withColumn("_prev", F.col(cluster)), centers,
-                              cluster, features, max_centers=None)
+                              cluster, features, max_centers=None, shape=shape,
+                              vectorize_from=vectorize_from)
         nxt, _, m = materialize_observed(
             moved.select(id_col, cluster, features, "_prev"), "kmeans-assign",
             path=f"{base}/round-{rounds % 2}",

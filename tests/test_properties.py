@@ -145,3 +145,21 @@ def test_longest_palindrome_all_string_ids(spark):
     df = spark.createDataFrame([("b", "xabay"), ("a", "zcdcz"), ("c", "qq")], "id string, text string")
     best = text.longest_palindrome_all(df, "id", "text").first()
     assert (best["id"], best["len"], best["pal"]) == ("a", 5, "zcdcz")
+
+
+def test_kmeans_numpy_and_jvm_paths_agree(spark):
+    rng = np.random.default_rng(21)
+    k, d = 20, 64
+    centres = rng.normal(scale=3.0, size=(k, d))
+    pts = centres[rng.integers(0, k, size=600)] + rng.normal(size=(600, d))
+    obs = spark.createDataFrame([(i, i % k, p.tolist()) for i, p in enumerate(pts)],
+                                "id int, cluster int, features array<double>")
+    cent = cluster.kmeans_update(obs)
+    fast = cluster.kmeans_assign(obs, cent, vectorize_from=1)
+    slow = cluster.kmeans_assign(obs, cent, vectorize_from=None)
+    assert {r["id"]: r["cluster"] for r in fast.collect()} == \
+           {r["id"]: r["cluster"] for r in slow.collect()}
+    a, _ = cluster.kmeans(obs, max_rounds=3, vectorize_from=1)
+    b, _ = cluster.kmeans(obs, max_rounds=3, vectorize_from=None)
+    assert {r["id"]: r["cluster"] for r in a.collect()} == \
+           {r["id"]: r["cluster"] for r in b.collect()}
