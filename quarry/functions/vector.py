@@ -19,9 +19,9 @@ def squared_distance(a: Column, b: Column) -> Column:
                        F.lit(0.0), lambda acc, t: acc + t)
 
 
-def dot_with_map(x: Column, weights: Column, base: int = 1) -> Column:
-    """sum_k x_k * w[k + base] where ``weights`` is a map position -> weight;
-    an absent position weighs 0."""
-    terms = F.transform(x, lambda v, k: v * F.coalesce(
-        F.element_at(weights, (k + base).cast("int")), F.lit(0.0)))
+def dot_dense(x: Column, weights: Column) -> Column:
+    """sum_k x_k * w_k for a dense weight array; positions of ``x`` beyond
+    the weights count 0, weights beyond ``x`` are ignored."""
+    w = F.slice(weights, 1, F.size(x))
+    terms = F.zip_with(x, w, lambda v, c: v * F.coalesce(c, F.lit(0.0)))
     return F.aggregate(terms, F.lit(0.0), lambda acc, t: acc + t)

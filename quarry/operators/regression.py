@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from quarry.functions.vector import as_double_vector, dot_with_map
+from quarry.functions.vector import as_double_vector, dot_dense
 from quarry.plans.materialize import materialize_observed, row_count_at_most
 
 
@@ -22,11 +22,27 @@ def with_residual(data: DataFrame, w: DataFrame, x: str = "x", y: str = "y",
     (``None``: the caller has checked it)."""
     if max_features is not None:
         row_count_at_most(w, max_features)
-    wmap = w.agg(F.map_from_entries(F.collect_list(
-        F.struct(F.col("j").cast("int"), F.col("w").cast("double"))))).scalar()
-    return data.withColumn("_w", wmap).withColumn(
-        "e", F.col(y).cast("double") - dot_with_map(as_double_vector(x), F.col("_w"))) \
-        .drop("_w")
+    dense = w.agg(_dense_weights().alias("_w")).scalar()
+    xs = as_double_vector(x)
+    return data.withColumn("_w", dense).withColumn(
+        "e", F.col(y).cast("double") - dot_dense(xs, F.col("_w"))).drop("_w")
+
+
+def _dense_weights():
+    """Aggregate over the weight table ``(j, w)`` giving ``[w_1 .. w_m]``
+    (m = largest position, absent positions 0).  Built once per iteration on
+    the small weight table, so every row does a plain positional dot
+    product."""
+    entries = F.sort_array(F.collect_list(
+        F.struct(F.col("j").cast("int").alias("j"), F.col("w").cast("double").alias("w"))))
+    top = F.max(F.col("j").cast("int"))
+    by_position = F.map_from_entries(entries)
+    gaps = F.transform(F.sequence(F.lit(1), top),
+                       lambda i: F.coalesce(F.element_at(by_position, i), F.lit(0.0)))
+    dense = F.when(top < 1, F.array().cast("array<double>")) \
+             .when(F.size(entries) == top, F.transform(entries, lambda e: e["w"])) \
+             .otherwise(gaps)
+    return F.coalesce(dense, F.array().cast("array<double>"))
 
 
 def residuals(data: DataFrame, w: DataFrame, id_col: str = "id", x: str = "x",

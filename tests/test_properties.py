@@ -163,3 +163,16 @@ def test_kmeans_numpy_and_jvm_paths_agree(spark):
     b, _ = cluster.kmeans(obs, max_rounds=3, vectorize_from=None)
     assert {r["id"]: r["cluster"] for r in a.collect()} == \
            {r["id"]: r["cluster"] for r in b.collect()}
+
+
+def test_residuals_with_gaps_and_empty_weights(spark):
+    from quarry.operators import regression
+
+    data = spark.createDataFrame([(1, [1.0, 10.0, 100.0], 1000.0), (2, [2.0], 5.0)],
+                                 "id int, x array<double>, y double")
+    gaps = spark.createDataFrame([(1, 0.5), (3, 2.0)], "j int, w double")
+    e = {r["id"]: r["e"] for r in regression.residuals(data, gaps).collect()}
+    assert e == {1: 1000.0 - 200.5, 2: 5.0 - 1.0}
+    empty = spark.createDataFrame([], "j int, w double")
+    e0 = {r["id"]: r["e"] for r in regression.residuals(data, empty).collect()}
+    assert e0 == {1: 1000.0, 2: 5.0}
