@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from quarry.llm import exact_dedup, near_dedup
+from quarry.llm import exact_dedup, near_dedup, substring_dedup
 from quarry.plans.tables import table
 
 
@@ -19,9 +19,14 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.copy_groups(table(spark, sf_dir, "documents"))
 
 
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.cut_repeats(table(spark, sf_dir, "documents"), with_text=False)
+
+
 QUERIES = {
     "op1_near_dedup": op1_near_dedup,
     "op5_exact_dedup": op5_exact_dedup,
+    "op10_substring_dedup": op10_substring_dedup,
 }
 
 ORACLE = {
