@@ -7,11 +7,12 @@ filled ones by a fixed probe order.  Bands of four compressed registers give
 candidates, the collision-corrected Jaccard estimate drops those six standard
 errors below the threshold, and every link is then confirmed on full sets.
 
-No group is ever paired out.  Texts with equal sets share one representative;
-a band bucket first links its members to its smallest one, and only members
-that are still in other components than the bucket's largest are compared with
-the rest of the bucket.  So every candidate pair is either confirmed or
-already joined by confirmed links.
+No group is ever paired out.  Texts with equal sets share one representative.
+A band bucket first links its members to its smallest one.  In buckets that
+still hold several components, documents outside the largest are compared with
+the rest in blocks of 64 documents: what is shuffled and paired is blocks, and a
+block pair emits its confirmed links only.  So every candidate pair is
+confirmed, refused, or already joined by confirmed links.
 
 Null and empty texts have empty sets and link with nothing.  Rows with a null
 id are returned with a null component and ``kept`` true.  Ids should be unique:
@@ -29,8 +30,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from quarry.llm.bitmap import rows_with_ids
 from quarry.llm.components import components
+from quarry.llm.runtime import prepare
 from quarry.plans.materialize import materialize
-from quarry.session import ship_package
 
 REGISTERS = 128
 BAND = 4
@@ -39,6 +40,7 @@ MANTISSA = 10
 _BUCKET_BITS = 7
 _VALUE_BITS = 52
 _EMPTY = np.uint64(1 << 53)
+BLOCK = 64
 
 
 def registers(hashes: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -143,6 +145,64 @@ def _verify_fn(width: int, percent: int):
     return run
 
 
+def _compare_fn(width: int, percent: int):
+    """Links between the documents of two blocks that have different labels."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from quarry.llm.words import shingle_sets, text_blocks
+
+        def sets_of(block):
+            own, hashes, base = [], [], 0
+            for _, texts in text_blocks(block.field("text")):
+                h, off = shingle_sets(texts, width)
+                own.append(base + np.repeat(np.arange(len(texts)), np.diff(off)))
+                hashes.append(h)
+                base += len(texts)
+            return np.concatenate(own), np.concatenate(hashes)
+
+        for batch in batches:
+            for i in range(batch.num_rows):
+                xs, ys = batch.column(0)[i].values, batch.column(1)[i].values
+                (ox, hx), (oy, hy) = sets_of(xs), sets_of(ys)
+                nx, ny = np.bincount(ox, minlength=len(xs)), np.bincount(oy, minlength=len(ys))
+                common = np.intersect1d(hx, hy)
+                keep_x, keep_y = np.isin(hx, common), np.isin(hy, common)
+                ox, cx = ox[keep_x], np.searchsorted(common, hx[keep_x])
+                oy, cy = oy[keep_y], np.searchsorted(common, hy[keep_y])
+                both = np.zeros((len(xs), len(ys)))
+                for lo in range(0, len(common), 4096):  # columns of the incidence matrices
+                    m, n = np.zeros((len(xs), 4096), np.float32), np.zeros((len(ys), 4096), np.float32)
+                    px, py = (cx >= lo) & (cx < lo + 4096), (cy >= lo) & (cy < lo + 4096)
+                    m[ox[px], cx[px] - lo] = 1
+                    n[oy[py], cy[py] - lo] = 1
+                    both += m @ n.T
+                union = nx[:, None] + ny[None, :] - both
+                lx, ly = (z.field("label").to_numpy() for z in (xs, ys))
+                px, py = np.nonzero((both > 0) & (100 * both >= percent * union) & (lx[:, None] != ly[None, :]))
+                dx, dy = (z.field("doc_id").to_numpy() for z in (xs, ys))
+                yield pa.RecordBatch.from_arrays([pa.array(dx[px]), pa.array(dy[py])], names=["a", "b"])
+    return run
+
+
+def _with_label(rows: DataFrame, label: DataFrame, col: str, out: str) -> DataFrame:
+    named = label.select(F.col("node").alias(col), F.col("label").alias("__q_label"))
+    return (rows.join(named, col, "left").withColumn(out, F.coalesce("__q_label", col)).drop("__q_label"))
+
+
+def _apart(pairs: DataFrame, label: DataFrame) -> DataFrame:
+    """The (a, b) rows whose ends have different labels."""
+    return (_with_label(_with_label(pairs, label, "a", "la"), label, "b", "lb")
+            .filter("la != lb").select("a", "b"))
+
+
+def _torn(buckets: DataFrame, label: DataFrame) -> DataFrame:
+    """(bucket, doc_id, label) of the buckets of three members or more with two
+    labels or more."""
+    named = _with_label(buckets.select("bucket", "doc_id"), label, "doc_id", "label")
+    split = (named.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count(F.lit(1)).alias("n"))
+             .filter("lo != hi and n > 2").select("bucket"))
+    return named.join(split, "bucket", "left_semi")
+
+
 def _estimated(pairs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
     """(a, b, est) of the pairs whose estimate may reach the threshold."""
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -178,7 +238,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """One row per document: doc_id, n_shingles, component_id, kept,
     class_id (smallest id with the same set) and n_links (confirmed links of
     its representative)."""
-    ship_package(docs.sparkSession)
+    prepare(docs.sparkSession)
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     sketch, _ = materialize(source.mapInArrow(
         _sketch_fn(width, "doc_id", "text"),
@@ -212,25 +272,40 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     best = (star.groupBy("b").agg(F.max(F.struct("est", (-F.col("a")).alias("neg"))).alias("top"))
             .select((-F.col("top.neg")).alias("a"), "b"))
     first, _ = materialize(_confirmed(best, texts, width, percent), "links")
-    label = components(first, "a", "b")
 
-    # what is left: pairs of one bucket in different components
-    def labelled(pairs: DataFrame, end: str) -> DataFrame:
-        return (pairs.join(label.select(F.col("node").alias(end), F.col("label").alias("__l")), end, "left")
-                .withColumn("l" + end, F.coalesce("__l", end)).drop("__l"))
-    parts = labelled(buckets.select("bucket", F.col("doc_id").alias("x")), "x")
-    sizes = parts.groupBy("bucket", "lx").agg(F.count(F.lit(1)).alias("n"))
-    split = (sizes.groupBy("bucket").agg(F.max(F.struct("n", "lx")).alias("most"), F.count(F.lit(1)).alias("parts"))
-             .filter("parts > 1").select("bucket", F.col("most.lx").alias("main")))
-    torn, _ = materialize(parts.join(split, "bucket"), "torn")
-    # a pair within the main part is joined already: one end is always outside it
-    other = torn.select("bucket", F.col("x").alias("y"), F.col("lx").alias("ly"))
-    cross = (torn.filter("lx != main").join(other, "bucket")
-             .filter("lx != ly and (ly = main or x < y)")
-             .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct())
-    later = _estimated(cross.join(best, ["a", "b"], "left_anti"), reps, percent)
-    second, _ = materialize(_confirmed(later, texts, width, percent), "links")
-    links = first.union(second).distinct()
+    # the other links to bucket minima that still join two components
+    label = components(first, "a", "b")
+    rest = _apart(star.join(best, ["a", "b"], "left_anti").select("a", "b"), label)
+    second, _ = materialize(_confirmed(rest, texts, width, percent), "links")
+
+    # buckets of three or more that still hold two components or more (the one
+    # pair of a smaller bucket is settled): compared in blocks of documents
+    label = components(first.union(second), "a", "b")
+    torn, _ = materialize(_torn(buckets, label), "torn")
+    main = (torn.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("k"))
+            .groupBy("bucket").agg(F.max(F.struct("k", "label")).alias("most"), F.sum("k").alias("crowd")))
+    home = (torn.join(main, "bucket").groupBy("doc_id", "label")
+            .agg(F.max(F.struct("crowd", F.col("most.label").alias("home"))).alias("top"))
+            .select("doc_id", "label", F.col("top.home").alias("home"))
+            .withColumn("inner", F.col("label") == F.col("home")))
+    counts = home.groupBy("home", "inner").agg(F.count(F.lit(1)).alias("k"))
+    placed, _ = materialize(
+        home.join(counts, ["home", "inner"])
+        .withColumn("block", F.expr(f"""struct(home, inner,
+            pmod(xxhash64(doc_id), cast(ceil(k / {BLOCK}) AS bigint)) AS piece)"""))
+        .select("doc_id", "label", "block"), "placed")
+    blocks, _ = materialize(
+        texts.join(placed, "doc_id").groupBy("block")
+        .agg(F.collect_list(F.struct("doc_id", "label", "text")).alias("docs")), "blocks")
+    per_bucket = torn.select("bucket", "doc_id").join(placed.select("doc_id", "block"), "doc_id").select("bucket", "block").distinct()
+    mates = (per_bucket.withColumnRenamed("block", "x")
+             .join(per_bucket.withColumnRenamed("block", "y"), "bucket")
+             .filter("x <= y and not (x.inner and y.inner and x.home = y.home)").select("x", "y").distinct())
+    third, _ = materialize(
+        mates.join(blocks.select(F.col("block").alias("y"), F.col("docs").alias("ys")), "y")
+        .join(blocks.select(F.col("block").alias("x"), F.col("docs").alias("xs")), "x")
+        .select("xs", "ys").mapInArrow(_compare_fn(width, percent), "a long, b long"), "links")
+    links = first.union(second).union(third).distinct()
     final = components(links, "a", "b")
     degree = (links.select("a").union(links.select(F.col("b").alias("a")))
               .groupBy("a").agg(F.count(F.lit(1)).alias("n_links")))
