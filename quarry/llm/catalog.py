@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from quarry.llm import exact_dedup, near_dedup, substring_dedup
+from quarry.llm import exact_dedup, near_dedup, substring_dedup, toxicity
 from quarry.plans.tables import table
 
 
@@ -23,9 +23,19 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.cut_repeats(table(spark, sf_dir, "documents"), with_text=False)
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(toxicity.labelled_sample(
+        docs, table(spark, sf_dir, "labels"), lambda c: F.expr(f"crc32(cast({c} AS string)) % 4 != 2")))
+    return toxicity.score(docs, model).select(
+        "doc_id", F.expr("coalesce(crc32(cast(doc_id AS string)) % 4 = 2, false)").alias("held_out"), "score",
+        F.expr(f"cast(score >= {toxicity.THRESHOLD} AS int)").alias("predicted"), "quoted_weight")
+
+
 QUERIES = {
     "op1_near_dedup": op1_near_dedup,
     "op5_exact_dedup": op5_exact_dedup,
+    "op9_toxicity": op9_toxicity,
     "op10_substring_dedup": op10_substring_dedup,
 }
 
