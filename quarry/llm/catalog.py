@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from quarry.llm import exact_dedup, near_dedup, substring_dedup, toxicity
+from quarry.llm import exact_dedup, near_dedup, packing, substring_dedup, toxicity
 from quarry.plans.tables import table
 
 
@@ -23,6 +23,10 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.cut_repeats(table(spark, sf_dir, "documents"), with_text=False)
 
 
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = toxicity.fit(toxicity.labelled_sample(
@@ -35,6 +39,7 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_near_dedup": op1_near_dedup,
     "op5_exact_dedup": op5_exact_dedup,
+    "op6_packing": op6_packing,
     "op9_toxicity": op9_toxicity,
     "op10_substring_dedup": op10_substring_dedup,
 }
