@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from quarry.llm import exact_dedup, near_dedup, packing, substring_dedup, toxicity
+from quarry.llm import exact_dedup, fingerprint, near_dedup, packing, substring_dedup, toxicity
 from quarry.plans.tables import table
 
 
@@ -27,6 +27,10 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.fingerprints(table(spark, sf_dir, "documents"))
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = toxicity.fit(toxicity.labelled_sample(
@@ -40,6 +44,7 @@ QUERIES = {
     "op1_near_dedup": op1_near_dedup,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_packing": op6_packing,
+    "op7_fingerprints": op7_fingerprints,
     "op9_toxicity": op9_toxicity,
     "op10_substring_dedup": op10_substring_dedup,
 }
