@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from quarry.llm import exact_dedup, fingerprint, near_dedup, packing, substring_dedup, toxicity
+from quarry.llm import exact_dedup, fingerprint, near_dedup, packing, substring_dedup, toxicity, url_filter
 from quarry.plans.tables import table
 
 
@@ -15,6 +15,10 @@ def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(table(spark, sf_dir, "pages"))
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.copy_groups(table(spark, sf_dir, "documents"))
 
@@ -42,6 +46,7 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_near_dedup": op1_near_dedup,
+    "op2_url_filter": op2_url_filter,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_packing": op6_packing,
     "op7_fingerprints": op7_fingerprints,
