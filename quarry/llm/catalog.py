@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from quarry.llm import exact_dedup, fingerprint, near_dedup, packing, substring_dedup, toxicity, url_filter
+from quarry.llm import exact_dedup, fingerprint, langid, near_dedup, packing, substring_dedup, toxicity, url_filter
 from quarry.plans.tables import table
 
 
@@ -35,6 +35,14 @@ def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.fingerprints(table(spark, sf_dir, "documents"))
 
 
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held = "crc32(cast(doc_id AS string)) % 3 = 1"
+    models = langid.fit(docs.filter(f"not ({held})"))
+    return (langid.predict(docs, models)
+            .select("doc_id", F.expr(f"coalesce({held}, false)").alias("held_out"), "lang_pred", "score", "accepted"))
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = toxicity.fit(toxicity.labelled_sample(
@@ -50,6 +58,7 @@ QUERIES = {
     "op5_exact_dedup": op5_exact_dedup,
     "op6_packing": op6_packing,
     "op7_fingerprints": op7_fingerprints,
+    "op8_language_id": op8_language_id,
     "op9_toxicity": op9_toxicity,
     "op10_substring_dedup": op10_substring_dedup,
 }
