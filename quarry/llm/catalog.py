@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from quarry.llm import exact_dedup, fingerprint, langid, near_dedup, packing, quality, substring_dedup, toxicity, url_filter
+from quarry.llm import exact_dedup, fingerprint, langid, near_dedup, packing, quality, sentencepiece, substring_dedup, toxicity, url_filter
 from quarry.plans.tables import table
 
 
@@ -19,6 +19,10 @@ def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(table(spark, sf_dir, "pages"))
 
 
+def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentencepiece.encode(table(spark, sf_dir, "documents"))
+
+
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(table(spark, sf_dir, "documents"))
 
@@ -59,6 +63,7 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_near_dedup": op1_near_dedup,
     "op2_url_filter": op2_url_filter,
+    "op3_sentencepiece": op3_sentencepiece,
     "op4_quality": op4_quality,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_packing": op6_packing,

@@ -39,14 +39,14 @@ _LOWER_TABLE = _TABLE.copy()
 _LOWER_TABLE[65:91] = _TABLE[97:123]
 
 
-class _Powers:
+class Powers:
     """Powers of an odd base and of its inverse modulo 2^64, grown on demand."""
 
     def __init__(self, base: int):
         self._base, self._inv = base, pow(base, -1, 1 << 64)
         self.up = self.down = np.ones(1, _U)
 
-    def need(self, n: int) -> _Powers:
+    def need(self, n: int) -> Powers:
         if len(self.up) < n:
             size = max(n, 2 * len(self.up), 1 << 16)
             for name, b in (("up", self._base), ("down", self._inv)):
@@ -56,7 +56,7 @@ class _Powers:
         return self
 
 
-_BYTES, _WORDS = _Powers(_BYTE_BASE), _Powers(_WORD_BASE)
+_BYTES, _WORDS = Powers(_BYTE_BASE), Powers(_WORD_BASE)
 
 
 @dataclass
