@@ -1,25 +1,32 @@
 """Lloyd's k-means starting from given assignments.
 
 Observations are ``(id, cluster, features array)``; centres are
-``(cluster, center array<double>)``.  Centres are model parameters of bounded
-size (clusters x dimension, checked).  Small models reach the observations
-as an uncorrelated scalar subquery evaluated with built-in array functions;
-large ones are broadcast to an Arrow-batched numpy distance computation.
-Either way assignment is a narrow projection over the observations, with no
-join and no shuffle.
+``(cluster, center array<double>)``.  Assignment is a narrow projection: the
+centres are model parameters and reach the observations as broadcasts of at
+most ``CENTRE_BYTES`` each, compared block after block with a running minimum,
+so memory in a task does not grow with the model beyond the broadcasts.
+
+One set of rules for every model size: squared distances are summed position by
+position from the first; ties go to the lowest cluster; a NULL vector, or one
+with a NULL or NaN distance to every centre, gets a NULL cluster; a vector whose
+length differs from the centres' is an error; observations without a start
+cluster form no centre but are assigned.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.functions import pandas_udf
 
-from quarry.functions.vector import as_double_vector, squared_distance
+from quarry.functions.vector import as_double_vector
 from quarry.plans.materialize import materialize_observed
 from quarry.session import scratch_path, ship_package
 
+CENTRE_BYTES = 32 << 20     # of one broadcast
+DISTANCE_CELLS = 1 << 20    # of one rows x centres block in a task
+
 
 def kmeans_update(obs: DataFrame, cluster: str = "cluster",
                   features: str = "features") -> DataFrame:
@@ -30,105 +37,102 @@ def kmeans_update(obs: DataFrame, cluster: str = "cluster",
     still ships one partial row per position and task.  A cluster without
     observations has no centre.
     """
-    cells = obs.select(F.col(cluster).alias("cluster"),
-                       F.posexplode(as_double_vector(features)).alias("_j", "_x"))
+    cells = obs.where(F.col(cluster).isNotNull()).select(
+        F.col(cluster).alias("cluster"),
+        F.posexplode(as_double_vector(features)).alias("_j", "_x"))
     means = cells.groupBy("cluster", "_j").agg(F.avg("_x").alias("_m"))
     return means.groupBy("cluster").agg(
         F.transform(F.sort_array(F.collect_list(F.struct("_j", "_m"))),
                     lambda s: s["_m"]).alias("center"))
 
 
-# Models with at least this many centre coordinates (clusters x dimension)
-# are assigned with numpy in Arrow batches; smaller ones with built-in array
-# functions in the JVM.
-VECTORIZE_FROM = 1024
-
-
-def _centre_shape(centers: DataFrame) -> tuple[int, int]:
-    row = centers.agg(F.count(F.lit(1)).alias("k"),
-                      F.max(F.size("center")).alias("d")).first()
-    return row["k"], row["d"] or 0
-
-
-def _nearest_numpy(centers: DataFrame, spark):
-    """A pandas UDF ``features -> nearest cluster`` closing over a broadcast
-    of the (size-checked) centres."""
-    rows = sorted(centers.select("cluster", "center").collect(), key=lambda r: r["cluster"])
-    ids = np.array([r["cluster"] for r in rows])
-    shared = spark.sparkContext.broadcast(
-        (ids, np.array([r["center"] for r in rows], dtype=float)))
-
-    @pandas_udf(centers.schema["cluster"].dataType)
-    def nearest(feats: pd.Series) -> pd.Series:
-        ids, mat = shared.value
-        out = pd.Series([None] * len(feats), dtype=object)
-        valid = [i for i, f in enumerate(feats) if f is not None]
-        for lo in range(0, len(valid), 2048):
-            part = valid[lo:lo + 2048]
-            x = np.stack([np.asarray(feats.iloc[i], dtype=float) for i in part])
-            dist = ((x[:, None, :] - mat[None, :, :]) ** 2).sum(axis=2)
-            out.iloc[part] = ids[np.argmin(dist, axis=1)]  # first minimum
-        return out
-
+def nearest_centres(feats: pd.Series, ids: np.ndarray, centres: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Index of the nearest centre (-1: none) and its squared distance (inf)."""
+    k, d = centres.shape
+    best, dist = np.full(len(feats), -1), np.full(len(feats), np.inf)
+    rows = np.flatnonzero([f is not None for f in feats])
+    values = feats.to_numpy()
+    for f in values[rows]:
+        if len(f) != d:
+            raise ValueError(f"a vector of length {len(f)} against centres of length {d}")
+    step_k = max(1, min(k, DISTANCE_CELLS))
+    step_n = max(1, DISTANCE_CELLS // step_k)
+    for lo in range(0, len(rows), step_n):
+        part = rows[lo:lo + step_n]
+        x = np.array([np.asarray(f, dtype=float) for f in values[part]]).reshape(len(part), d)
+        for c in range(0, k, step_k):
+            block = centres[c:c + step_k]
+            sums = np.zeros((len(part), len(block)))
+            for j in range(d):  # a fixed order of summation
+                sums += (x[:, j, None] - block[None, :, j]) ** 2
+            sums[np.isnan(sums)] = np.inf
+            at = sums.argmin(1)  # the first of equal ones
+            low = sums[np.arange(len(part)), at]
+            closer = low < dist[part]
+            best[part[closer]], dist[part[closer]] = c + at[closer], low[closer]
+    return best, dist
+
+
+def _centre_blocks(centers: DataFrame):
+    """(ids, matrix) blocks of at most CENTRE_BYTES, by ascending cluster."""
+    rows, size = [], 0
+    for r in centers.where("cluster is not null").select("cluster", "center").orderBy("cluster").toLocalIterator():
+        if rows and size + 8 * len(r["center"]) > CENTRE_BYTES:
+            yield np.array([x[0] for x in rows]), np.array([x[1] for x in rows], dtype=float)
+            rows, size = [], 0
+        rows.append((r["cluster"], r["center"]))
+        size += 8 * len(r["center"])
+    if rows:
+        yield np.array([x[0] for x in rows]), np.array([x[1] for x in rows], dtype=float)
+
+
+def _nearest_in(shared, kind) -> Column:
+    @pandas_udf(f"d double, c {kind}")
+    def nearest(feats: pd.Series) -> pd.DataFrame:
+        ids, centres = shared.value
+        best, dist = nearest_centres(feats, ids, centres)
+        found = best >= 0
+        cluster = pd.Series([None] * len(feats), dtype=object)
+        cluster[found] = [x.item() if hasattr(x, "item") else x for x in ids[best[found]]]
+        return pd.DataFrame({"d": np.where(found, dist, np.nan), "c": cluster})
     return nearest
 
 
 def kmeans_assign(obs: DataFrame, centers: DataFrame, cluster: str = "cluster",
-                  features: str = "features", max_centers: int | None = 100_000,
-                  shape: tuple[int, int] | None = None,
-                  vectorize_from: int | None = VECTORIZE_FROM) -> DataFrame:
+                  features: str = "features") -> DataFrame:
     """Set ``cluster`` of every observation to its nearest centre (squared
     Euclidean distance; ties go to the lowest cluster).
 
-    The number of centres ``k`` and their dimension ``d`` are read from the
-    (small) centre table, or given as ``shape``; ``k`` is checked against
-    ``max_centers`` before the centres are inlined.  Below ``vectorize_from``
-    coordinates the centres reach the rows as a scalar subquery and the
-    distances are built-in array functions (no Python).  From there on the
-    interpreted lambdas get slow, and the centres are broadcast to a pandas
-    UDF that computes all distances of an Arrow batch with numpy.  Either way
-    the observations are only scanned and projected, never shuffled.
+    The observations are only scanned and projected, never shuffled.  The
+    centres come to the driver block by block (they are sorted by cluster); the
+    blocks' nearest ones are compared by distance, then by cluster.
     """
-    k, d = shape if shape is not None else _centre_shape(centers)
-    if max_centers is not None and k > max_centers:
-        raise ValueError(f"{k} centres exceed the bound of {max_centers}")
+    spark = obs.sparkSession
+    ship_package(spark)
+    kind = centers.schema["cluster"].dataType.simpleString()
     others = [c for c in obs.columns if c != cluster]
-    if vectorize_from is not None and k * d >= vectorize_from:
-        ship_package(obs.sparkSession)
-        nearest = _nearest_numpy(centers, obs.sparkSession)
-        return obs.select(*others, nearest(as_double_vector(features)).alias(cluster))
-    packed = centers.agg(F.collect_list(F.struct(
-        F.col("cluster").alias("c"), F.col("center").alias("v")))).scalar()
-    x = as_double_vector(features)
-    nearest = F.array_min(F.transform(
-        "_centers", lambda c: F.struct(squared_distance(x, c["v"]).alias("d"),
-                                       c["c"].alias("c"))))["c"]
-    return obs.withColumn("_centers", packed).select(*others, nearest.alias(cluster))
+    found = []
+    for ids, matrix in _centre_blocks(centers):
+        one = _nearest_in(spark.sparkContext.broadcast((ids, matrix)), kind)(as_double_vector(features))
+        found.append(F.struct(F.coalesce(one["d"], F.lit(float("inf"))).alias("d"), one["c"].alias("c")))
+    if not found:
+        picked = F.lit(None).cast(kind)
+    else:  # by distance, then by cluster
+        picked = (F.least(*found) if len(found) > 1 else found[0])["c"]
+    return obs.select(*others, picked.alias(cluster))
 
 
 def kmeans(obs: DataFrame, max_rounds: int, id_col: str = "id",
-           cluster: str = "cluster", features: str = "features",
-           max_centers: int = 100_000,
-           vectorize_from: int | None = VECTORIZE_FROM) -> tuple[DataFrame, DataFrame]:
+           cluster: str = "cluster", features: str = "features") -> tuple[DataFrame, DataFrame]:
     """Update and assign from the given assignments, then up to ``max_rounds``
     further rounds while some observation still moves.
 
     Returns ``(assignments, centers)``: the final ``(id, cluster, features)``
-    and the centres used by the last assignment.  A round is one job: the
-    centres of the previous assignment are computed as a subquery, the new
-    assignment is written to the checkpoint folder, and the number of
-    observations that kept their cluster is observed during that write.  The
-    number of clusters can only shrink from round to round, so its bound is
-    checked once, up front.
+    and the centres used by the last assignment.  A round writes the new
+    assignment to the checkpoint folder and observes during that write how many
+    observations kept their cluster.
     """
     current = obs.select(id_col, cluster, features)
-    # centres never outnumber the clusters of the first assignment and keep
-    # their dimension, so one up-front pass bounds every round
-    bound = current.agg(F.count_distinct(cluster).alias("k"),
-                        F.max(F.size(features)).alias("d")).first()
-    if bound["k"] > max_centers:
-        raise ValueError(f"{bound['k']} clusters exceed the bound of {max_centers}")
-    shape = (bound["k"], bound["d"] or 0)
     # Rounds alternate between two paths: round r overwrites round r-2,
     # which nothing reads any more, so storage stays at two rounds.
     base = scratch_path(obs.sparkSession, "kmeans")
@@ -136,12 +140,11 @@ def kmeans(obs: DataFrame, max_rounds: int, id_col: str = "id",
     while True:
         centers = kmeans_update(current, cluster, features)
         moved = kmeans_assign(current.withColumn("_prev", F.col(cluster)), centers,
-                              cluster, features, max_centers=None, shape=shape,
-                              vectorize_from=vectorize_from)
+                              cluster, features)
         nxt, _, m = materialize_observed(
             moved.select(id_col, cluster, features, "_prev"), "kmeans-assign",
             path=f"{base}/round-{rounds % 2}",
-            unmoved=F.sum((F.col(cluster) == F.col("_prev")).cast("long")))
+            unmoved=F.sum(F.col(cluster).eqNullSafe(F.col("_prev")).cast("long")))
         current = nxt.drop("_prev")
         if rounds >= max_rounds or (m["unmoved"] or 0) >= m["rows"]:
             break
