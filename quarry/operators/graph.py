@@ -3,10 +3,10 @@ neighbour lists and breadth-first hop distances."""
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, functions as F
 
 from quarry.plans.materialize import materialize, materialize_observed
+from quarry.session import scratch_path
 
 
 def _both_directions(edges: DataFrame, src: str, dst: str) -> DataFrame:
@@ -26,45 +26,18 @@ def symmetrize(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFram
     return _both_directions(edges, src, dst).distinct()
 
 
-def adjacency(edges: DataFrame, src: str = "src", dst: str = "dst",
-              max_list: int = 100_000, broadcast_rows: int = 1_000_000) -> DataFrame:
+def adjacency(edges: DataFrame, src: str = "src", dst: str = "dst", parts: int = 1) -> DataFrame:
     """Sorted neighbour list per node: ``(node, part, neighbours)``.
 
-    A node with more than ``max_list`` neighbours is split into
-    ``ceil(degree / max_list)`` parts by a hash of the neighbour, so no single
-    list (and no single task) has to hold a hub's whole neighbourhood; the
-    parts of a node together hold all its neighbours.  Other nodes have one
-    part, number 0.  The hub nodes are counted first (usually there are
-    none and nothing more is done); their table has at most
-    ``edges / max_list`` rows, is written to the checkpoint folder, and is
-    broadcast only when its count is at most ``broadcast_rows``, joined by a
-    shuffle otherwise.
-
-    The input is kept (memory, spilling to disk) for the degree pass and the
-    list pass, and the result is written to the checkpoint folder, so the
-    input plan runs once.
+    Every node's list is dealt into at most ``parts`` pieces by a hash of the
+    neighbour (pieces without a neighbour are absent); the pieces of a node
+    together hold all its neighbours.  The rule is the same for every node, so
+    a caller with hubs chooses ``parts`` to bound the longest list.  One lazy
+    plan with one shuffle by (node, part).
     """
-    e = edges.select(F.col(src).alias("node"), F.col(dst).alias("nb")) \
-             .persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        degree = e.groupBy("node").agg(F.count(F.lit(1)).alias("_deg"))
-        hub_rows = degree.where(F.col("_deg") > max_list) \
-                         .select("node", F.ceil(F.col("_deg") / max_list).cast("int").alias("_parts"))
-        n_hubs = hub_rows.count()
-        if n_hubs == 0:
-            tagged = e.withColumn("part", F.lit(0))
-        else:
-            hubs, _ = materialize(hub_rows, "adjacency-hubs")
-            side = F.broadcast(hubs) if n_hubs <= broadcast_rows else hubs
-            tagged = e.join(side, "node", "left").withColumn(
-                "part", F.when(F.col("_parts").isNull(), F.lit(0))
-                         .otherwise(F.pmod(F.xxhash64("nb"), F.col("_parts")).cast("int")))
-        lists = tagged.groupBy("node", "part") \
-                      .agg(F.sort_array(F.collect_list("nb")).alias("neighbours"))
-        result, _ = materialize(lists, "adjacency")
-    finally:
-        e.unpersist()
-    return result
+    part = F.pmod(F.xxhash64(F.col(dst)), F.lit(parts)).cast("int")
+    return (edges.select(F.col(src).alias("node"), F.col(dst).alias("nb"), part.alias("part"))
+            .groupBy("node", "part").agg(F.sort_array(F.collect_list("nb")).alias("neighbours")))
 
 
 def bfs(edges: DataFrame, source, src: str = "src", dst: str = "dst",
@@ -83,43 +56,38 @@ def bfs(edges: DataFrame, source, src: str = "src", dst: str = "dst",
     next frontier.  The grouping de-duplicates inside each task first, so a
     hub reached from many frontier nodes is shuffled once per task.
 
-    Each frontier is written to the checkpoint folder (lineage stays one
-    round deep; a lost executor costs one round).  The symmetric edge table
-    is de-duplicated once (copies of an edge collapse inside each task
-    first) and kept, hash-partitioned by the whole edge, so its partitions
-    stay balanced even when one node holds a large share of all edges: a
-    small frontier is broadcast against evenly sized scans, and a large one
-    goes through a shuffle join whose skewed partitions AQE splits.  The
-    loop ends at an empty frontier -- unreachable nodes are absent from the
-    result -- or after ``max_depth`` rounds.
+    Each frontier is written as one ``dist=<d>`` directory of one folder, so
+    the result is a single scan whatever the depth, and a lost executor costs
+    one round.  The symmetric edges are de-duplicated and written once, below
+    the checkpoint folder.  Edges with a NULL end lead nowhere; their other end
+    is still a node of the graph.  The loop ends at an empty frontier --
+    unreachable nodes are absent from the result -- or after ``max_depth``
+    rounds.
     """
-    e = symmetrize(edges, src, dst).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        start = e.where(F.col("src") == F.lit(source)).select(F.col("src").alias("node"))
-        frontier, _ = materialize(start.distinct(), "bfs-frontier-0")
-        frontiers = [frontier]
-        previous = None
-        depth = 0
-        while max_depth is None or depth < max_depth:
-            reached = frontier.join(e, frontier["node"] == e["src"]) \
-                              .select(F.col("dst").alias("node"), F.lit(True).alias("_new"))
-            seen = frontier.select("node", F.lit(False).alias("_new"))
-            if previous is not None:
-                seen = seen.unionByName(previous.select("node", F.lit(False).alias("_new")))
-            new = reached.unionByName(seen).groupBy("node") \
-                         .agg(F.min("_new").alias("_new")).where("_new").select("node")
-            nxt, _, seen_now = materialize_observed(new, f"bfs-frontier-{depth + 1}")
-            if seen_now["rows"] == 0:
-                break
-            previous, frontier = frontier, nxt
-            frontiers.append(nxt)
-            depth += 1
-    finally:
-        e.unpersist()
-    result = frontiers[0].select("node", F.lit(0).alias("dist"))
-    for d, fr in enumerate(frontiers[1:], start=1):
-        result = result.unionByName(fr.select("node", F.lit(d).alias("dist")))
+    spark = edges.sparkSession
+    known = edges.where(F.col(src).isNotNull() & F.col(dst).isNotNull())
+    e, _ = materialize(symmetrize(known, src, dst), "bfs-edges")
+    nodes = (edges.select(F.explode(F.array(F.col(src), F.col(dst))).alias("node"))
+             .where(F.col("node").isNotNull()).distinct())
+    base = scratch_path(spark, "bfs-frontiers")
+
+    def write(frontier: DataFrame, depth: int) -> tuple[DataFrame, int]:
+        read, _, seen = materialize_observed(frontier, f"bfs-{depth}", path=f"{base}/dist={depth}")
+        return read, seen["rows"]
+    frontier, rows = write(nodes.where(F.col("node") == F.lit(source)), 0)
+    previous, depth = None, 0
+    while rows and (max_depth is None or depth < max_depth):
+        reached = frontier.join(e, frontier["node"] == e["src"]) \
+                          .select(F.col("dst").alias("node"), F.lit(True).alias("_new"))
+        seen = frontier.select("node", F.lit(False).alias("_new"))
+        if previous is not None:
+            seen = seen.unionByName(previous.select("node", F.lit(False).alias("_new")))
+        new = reached.unionByName(seen).groupBy("node") \
+                     .agg(F.min("_new").alias("_new")).where("_new").select("node")
+        depth += 1
+        previous, (frontier, rows) = frontier, write(new, depth)
+    kind = nodes.schema["node"].dataType.simpleString()
+    result = spark.read.schema(f"node {kind}, dist int").parquet(base)
     if include_unreached:
-        nodes = _both_directions(edges, src, dst).select(F.col("src").alias("node")).distinct()
         result = nodes.join(result, "node", "left")
     return result.orderBy(F.col("dist").asc_nulls_last(), "node")
