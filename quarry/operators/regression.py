@@ -1,9 +1,9 @@
 """Least squares by batch gradient descent (no intercept, no regularisation).
 
 Rows are ``(id, x array, y)``; weights are a table ``(j, w)`` with 1-based
-positions.  The weight vector is a model parameter of bounded size (one entry
-per feature, checked): it reaches the rows as a scalar subquery (a map
-``j -> w``), so residuals are a narrow projection.  The gradient is a sum over
+positions.  Positions beyond the longest row cannot touch any dot product, so
+the weight vector that reaches the rows (a scalar subquery holding an array) is
+never longer than a row, and residuals are a narrow projection.  The gradient is a sum over
 rows per position: partial sums in every task, one row per position shuffled.
 """
 
@@ -12,17 +12,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from quarry.functions.vector import as_double_vector, dot_dense
-from quarry.plans.materialize import materialize_observed, row_count_at_most
+from quarry.plans.materialize import materialize
 
 
-def with_residual(data: DataFrame, w: DataFrame, x: str = "x", y: str = "y",
-                  max_features: int | None = 1_000_000) -> DataFrame:
+def with_residual(data: DataFrame, w: DataFrame, x: str = "x", y: str = "y") -> DataFrame:
     """``data`` plus a column ``e = y - x . w``; a position without weight
-    counts 0.  ``max_features`` bounds the weight table before it is inlined
-    (``None``: the caller has checked it)."""
-    if max_features is not None:
-        row_count_at_most(w, max_features)
-    dense = w.agg(_dense_weights().alias("_w")).scalar()
+    counts 0, a weight beyond every row counts nothing."""
+    longest = data.agg(F.max(F.size(x)).alias("n")).scalar()
+    near = w.where((F.col("j") >= 1) & (F.col("j") <= F.coalesce(longest, F.lit(0))))
+    dense = near.agg(_dense_weights().alias("_w")).scalar()
     xs = as_double_vector(x)
     return data.withColumn("_w", dense).withColumn(
         "e", F.col(y).cast("double") - dot_dense(xs, F.col("_w"))).drop("_w")
@@ -46,10 +44,10 @@ def _dense_weights():
 
 
 def residuals(data: DataFrame, w: DataFrame, id_col: str = "id", x: str = "x",
-              y: str = "y", max_features: int = 1_000_000) -> DataFrame:
+              y: str = "y") -> DataFrame:
     """``e = y - x . w`` per row: ``(id, e)``; a position without weight
     counts 0."""
-    return with_residual(data, w, x, y, max_features).select(id_col, "e")
+    return with_residual(data, w, x, y).select(id_col, "e")
 
 
 def gradient(data: DataFrame, residuals: DataFrame | None = None, x: str = "x",
@@ -68,8 +66,7 @@ def gradient(data: DataFrame, residuals: DataFrame | None = None, x: str = "x",
 
 
 def linreg_gd(data: DataFrame, w0: DataFrame, rate: float = 0.01,
-              iterations: int = 2, x: str = "x", y: str = "y",
-              max_features: int = 1_000_000) -> DataFrame:
+              iterations: int = 2, x: str = "x", y: str = "y") -> DataFrame:
     """``w <- w + rate * gradient`` repeated ``iterations`` times: ``(j, w)``.
 
     A weight without gradient keeps its value; a gradient without weight
@@ -77,14 +74,11 @@ def linreg_gd(data: DataFrame, w0: DataFrame, rate: float = 0.01,
     weight table is written to the checkpoint folder.
     """
     w = w0.select(F.col("j").cast("int").alias("j"), F.col("w").cast("double").alias("w"))
-    row_count_at_most(w, max_features)
     rows = data.select(x, y)
     for _ in range(iterations):
-        g = gradient(with_residual(rows, w, x, y, None), x=x, e="e")
+        g = gradient(with_residual(rows, w, x, y), x=x, e="e")
         step = w.join(g, "j", "full").select(
             "j", (F.coalesce(F.col("w"), F.lit(0.0))
                   + F.lit(float(rate)) * F.coalesce(F.col("g"), F.lit(0.0))).alias("w"))
-        w, _, seen = materialize_observed(step, "linreg-weights")
-        if seen["rows"] > max_features:
-            raise ValueError(f"{seen['rows']} weights exceed the bound of {max_features}")
+        w, _ = materialize(step, "linreg-weights")
     return w

@@ -44,12 +44,3 @@ def materialize_observed(df: DataFrame, name: str, path: str | None = None,
     exprs = [F.count(F.lit(1)).alias("rows")] + [c.alias(k) for k, c in metrics.items()]
     df.observe(obs, *exprs).write.mode("overwrite").parquet(path)
     return _read_back(spark, df, path), path, obs.get
-
-
-def row_count_at_most(df: DataFrame, limit: int) -> int:
-    """Count ``df`` (expected small: an aggregate or a materialised round) and
-    fail if it exceeds ``limit``; used before data is broadcast or inlined."""
-    n = df.count()
-    if n > limit:
-        raise ValueError(f"{n} rows exceed the bound of {limit} for a broadcast side")
-    return n
