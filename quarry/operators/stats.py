@@ -58,16 +58,21 @@ def variance_from_moments(means: DataFrame, sumsq: DataFrame,
     tables.
 
     A group missing from one side takes 0 for its moments; a group with
-    ``n <= 1`` gets NULL (the sample variance is undefined there).  Both inputs
-    hold one row per group, so the full join is between aggregates, never raw
-    rows.
+    ``n <= 1`` gets NULL (the sample variance is undefined there).  The two
+    tables, one row per group each, are united and grouped, so NULL keys meet
+    like any other key.  The subtraction cancels where the mean is large against
+    the spread; the result is never below 0, and ``gaussian_nb_train`` has the
+    safe one-pass form.
     """
     keys = _by(by)
-    j = means.select(*keys, mean, count).join(sumsq.select(*keys, ss), keys, "full")
-    n = F.coalesce(F.col(count), F.lit(0)).cast("double")
-    mu = F.coalesce(F.col(mean), F.lit(0.0))
-    s2 = F.coalesce(F.col(ss), F.lit(0.0))
-    var = F.when(n > 1, (s2 - n * mu * mu) / (n - 1))
+    both = means.select(*keys, F.col(mean).cast("double").alias("_m"), F.col(count).cast("double").alias("_n"),
+                        F.lit(None).cast("double").alias("_s")).unionByName(
+        sumsq.select(*keys, F.lit(None).cast("double").alias("_m"), F.lit(None).cast("double").alias("_n"),
+                     F.col(ss).cast("double").alias("_s")))
+    moments = [F.max("_m").alias("_m"), F.max("_n").alias("_n"), F.max("_s").alias("_s")]
+    j = both.groupBy(*keys).agg(*moments) if keys else both.agg(*moments)
+    n, mu, s2 = (F.coalesce(F.col(c), F.lit(0.0)) for c in ("_n", "_m", "_s"))
+    var = F.when(n > 1, F.greatest(F.lit(0.0), (s2 - n * mu * mu) / (n - 1)))
     return j.select(*keys, mu.alias(mean), var.alias(alias))
 
 
@@ -91,13 +96,17 @@ def gaussian_nb_train(df: DataFrame, label: str, features: str,
     rows).  The array is exploded inside the map stage and immediately
     partially aggregated, so only ``classes x features`` rows per task are
     shuffled.  ``var_samp`` is used instead of the sum-of-squares formula:
-    same value, no cancellation.
+    same value, no cancellation.  The prior counts each row of a class once, NULL
+    and short vectors too; a class without any value has one row with a NULL
+    position.
     """
     total = df.agg(F.count(F.lit(1))).scalar()
+    classes = df.groupBy(F.col(label).alias("_label")).agg(F.count(F.lit(1)).alias("_rows"))
     exploded = df.select(F.col(label), F.posexplode(F.col(features)).alias(pos, "_x"))
     x = F.col("_x").cast("double")
     stats = exploded.groupBy(label, pos).agg(
         F.avg(x).alias("mean"), F.var_samp(x).alias("var"),
-        F.count(x).alias("count"), F.count(F.lit(1)).alias("_rows"))
-    return stats.select(label, pos, "mean", "var", "count",
-                        (F.col("_rows") / total).alias("prior"))
+        F.count(x).alias("count"))
+    return classes.join(stats, F.col("_label").eqNullSafe(F.col(label)), "left").select(
+        F.col("_label").alias(label), pos, "mean", "var",
+        F.coalesce("count", F.lit(0)).alias("count"), (F.col("_rows") / total).alias("prior"))
