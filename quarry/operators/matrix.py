@@ -26,8 +26,13 @@ def to_rows(cells: DataFrame, base: int = 1, width: int | None = None) -> DataFr
     """Reassemble rows in column order: ``(i, row array<double>)``.
 
     Without ``width`` a row holds its present cells in ascending ``j``; with
-    ``width`` it is dense, positions ``base .. base+width-1``, absent cells 0.
+    ``width`` it is dense, positions ``base .. base+width-1``, absent cells 0;
+    a cell outside them is an error.
     """
+    if width is not None:
+        inside = F.col("j").between(base, base + width - 1)
+        cells = cells.withColumn("j", F.when(inside, F.col("j")).otherwise(F.raise_error(F.concat(
+            F.lit(f"cell outside {width} columns: "), F.concat_ws(",", F.col("i").cast("string"), F.col("j").cast("string"))))))
     entries = F.sort_array(F.collect_list(F.struct("j", "v")))
     grouped = cells.groupBy("i").agg(entries.alias("_e"))
     if width is None:
@@ -97,8 +102,8 @@ _BLOCK_PRODUCT_SCHEMA = "i long, j long, v double"
 
 def _block_products(batches):
     """mapInPandas body: for each pair of blocks (A block, B block sharing the
-    inner block index) multiply them densely and emit the non-zero cells of
-    the partial product in global coordinates."""
+    inner block index) multiply them densely and emit, in global coordinates,
+    the cells of the partial product that some pair of stored cells reaches."""
     import numpy as np
     import pandas as pd
 
@@ -115,7 +120,9 @@ def _block_products(batches):
             db = np.bincount(br * cols + bc, weights=bv,
                              minlength=inner * cols).reshape(inner, cols)
             prod = da @ db
-            ii, kk = np.nonzero(prod)
+            ma, mb = np.zeros((rows, inner), np.float32), np.zeros((inner, cols), np.float32)
+            ma[ar, ac], mb[br, bc] = 1, 1
+            ii, kk = np.nonzero(ma @ mb)
             out_i.append(ii + r.bi * r.size + r.base_i)
             out_j.append(kk + r.bk * r.size + r.base_j)
             out_v.append(prod[ii, kk])
@@ -151,7 +158,7 @@ def matmul_blocked(a: DataFrame, b: DataFrame, block: int = 256, base: int = 1,
     batches (``mapInPandas``).  Partial products are summed per cell with
     map-side combining.  Compared with ``matmul`` the join emits one row per
     block pair instead of one per scalar product, and the arithmetic runs in
-    BLAS.  Zero cells of the product are not emitted.
+    BLAS.  The result has the same cells as ``matmul``, exact zeros included.
     """
     ship_package(a.sparkSession)
     ab = _blocks(a, block, base)
