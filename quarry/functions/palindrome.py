@@ -126,8 +126,8 @@ def longest_span(text: str) -> tuple[int, int]:
 
 _SPAN = T.StructType([T.StructField("start", T.IntegerType()),
                       T.StructField("len", T.IntegerType())])
-_RADII = T.StructType([T.StructField("odd", T.ArrayType(T.IntegerType())),
-                       T.StructField("even", T.ArrayType(T.IntegerType()))])
+_CUTS = T.StructType([T.StructField("odd", T.ArrayType(T.StringType())),
+                      T.StructField("even", T.ArrayType(T.StringType()))])
 
 
 @pandas_udf(_SPAN)
@@ -136,14 +136,14 @@ def longest_span_udf(texts: pd.Series) -> pd.DataFrame:
     return pd.DataFrame(out, columns=["start", "len"], dtype="Int32")
 
 
-@pandas_udf(_RADII)
-def radii_udf(texts: pd.Series) -> pd.DataFrame:
+@pandas_udf(_CUTS)
+def centre_palindromes_udf(texts: pd.Series) -> pd.DataFrame:
     odd, even = [], []
     for t in texts:
         if isinstance(t, str):
-            o, e = radii(t)
-            odd.append(o)
-            even.append(e)
+            o, e = (r.tolist() for r in radii(t))
+            odd.append([t[c - r:c + r + 1] for c, r in enumerate(o)])
+            even.append([t[c - r + 1:c + r + 1] for c, r in enumerate(e[:-1])] + [None] * min(len(t), 1))
         else:
             odd.append(None)
             even.append(None)

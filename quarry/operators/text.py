@@ -3,14 +3,15 @@
 The per-text search runs in Arrow batches in the Python workers (linear time
 per text, see ``quarry.functions.palindrome``); everything around it --
 exploding centres, cutting substrings, choosing the overall winner -- is
-built-in Spark.  Texts are processed whole.
+built-in Spark.  Texts are processed whole, and no centre carries a copy of its
+text: the palindromes are cut where the radii are found.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from quarry.functions.palindrome import longest_span_udf, radii_udf
+from quarry.functions.palindrome import centre_palindromes_udf, longest_span_udf
 from quarry.session import ship_package
 
 
@@ -20,15 +21,10 @@ def palindromes_by_center(df: DataFrame, id_col: str, text_col: str) -> DataFram
     (0-based) and ``even`` the longest one centred between ``center`` and
     ``center + 1`` (empty if those differ, NULL at the last character)."""
     ship_package(df.sparkSession)
-    r = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("_t"),
-                  radii_udf(F.col(text_col)).alias("_r"))
-    per = r.select("id", "_t", F.posexplode(F.arrays_zip(
-        F.col("_r.odd").alias("o"), F.col("_r.even").alias("e"))).alias("center", "_z"))
-    ro, re = F.col("_z.o"), F.col("_z.e")
-    c, n = F.col("center"), F.length("_t")
-    odd = F.substring(F.col("_t"), c - ro + 1, 2 * ro + 1)
-    even = F.when(c < n - 1, F.substring(F.col("_t"), c - re + 2, 2 * re))
-    return per.select("id", "center", odd.alias("odd"), even.alias("even"))
+    cut = df.select(F.col(id_col).alias("id"), centre_palindromes_udf(F.col(text_col)).alias("_r"))
+    return (cut.select("id", F.posexplode(F.arrays_zip(F.col("_r.odd").alias("odd"), F.col("_r.even").alias("even")))
+                       .alias("center", "_z"))
+            .select("id", "center", "_z.odd", "_z.even"))
 
 
 def longest_palindrome(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
