@@ -1,7 +1,7 @@
 """Tab-separated sources and sinks."""
 
-from quarry.sources.tsv import (read_matrix, read_tagged, read_tsv, to_tsv_line,
-                                write_by_value, write_tsv)
+from quarry.sources.tsv import (read_by_value, read_matrix, read_tagged, read_tsv, read_vectors, read_weights,
+                                to_tsv_line, write_by_value, write_lines, write_tsv)
 
-__all__ = ["read_tsv", "read_tagged", "read_matrix", "write_tsv", "write_by_value",
-           "to_tsv_line"]
+__all__ = ["read_tsv", "read_tagged", "read_matrix", "read_vectors", "read_weights", "read_by_value",
+           "write_tsv", "write_lines", "write_by_value", "to_tsv_line"]

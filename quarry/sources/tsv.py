@@ -9,6 +9,7 @@ Files carry no header and no quoting; a field is everything between two tabs.
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
+from string import Formatter
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
@@ -45,12 +46,21 @@ def read_tsv(spark: SparkSession, paths, schema, on_error: str = "fail") -> Data
             .csv(_paths(paths)))
 
 
-def _fields(spark: SparkSession, paths) -> DataFrame:
-    # Trailing tabs are dropped, as a plain field split does; blank lines
-    # carry no record and are skipped.
-    line = F.regexp_replace(F.col("value"), r"[\t\r]+$", "")
-    return spark.read.text(_paths(paths)).select(line.alias("_l")) \
-                .where(F.length("_l") > 0).select(F.split("_l", "\t").alias("f"))
+def _lines(spark: SparkSession, paths) -> DataFrame:
+    # Blank lines carry no record; a carriage return ends a line.
+    line = F.regexp_replace(F.col("value"), r"\r+$", "")
+    return spark.read.text(_paths(paths)).select(line.alias("_l")).where(F.length("_l") > 0)
+
+
+def _fields(spark: SparkSession, paths, trim: bool = False) -> DataFrame:
+    # ``trim`` drops trailing tabs, as a plain field split does
+    line = F.regexp_replace("_l", r"\t+$", "") if trim else F.col("_l")
+    return _lines(spark, paths).select(F.split(line, "\t", -1).alias("f"))
+
+
+def _value(k: int, dtype: T.DataType, on_error: str) -> Column:
+    """Field ``k``: missing or empty is NULL."""
+    return _cast(F.nullif(F.get("f", F.lit(k)), F.lit("")), dtype, on_error)
 
 
 def read_tagged(spark: SparkSession, paths, schemas: Mapping[str, object],
@@ -58,26 +68,64 @@ def read_tagged(spark: SparkSession, paths, schemas: Mapping[str, object],
     """Split a file that mixes record kinds, told apart by the first field,
     into one typed DataFrame per tag.
 
-    ``schemas`` maps a tag to the schema of the fields after the tag.  Rows of
-    other tags are ignored.  Each frame is its own filtered scan of the input
-    (as one mapper per kind would be); nothing is cached.
+    ``schemas`` maps a tag to the schema of the fields after the tag; missing
+    and empty fields are NULL.  A row of another tag is an error in
+    ``on_error="fail"``; in ``"null"`` such rows come in the extra frame
+    ``None`` as ``(tag, line)``, so that no row vanishes.  Each frame is its own
+    filtered scan of the input (as one mapper per kind would be); nothing is
+    cached.
     """
     fields = _fields(spark, paths)
-    frames = {}
-    for tag, schema in schemas.items():
-        st = _schema(schema)
-        pick = (lambda k: F.get("f", k)) if on_error == "null" else (lambda k: F.col("f")[k])
-        frames[tag] = fields.where(F.col("f")[0] == F.lit(tag)).select(
-            *[_cast(pick(k + 1), fld.dataType, on_error).alias(fld.name)
-              for k, fld in enumerate(st.fields)])
+    tag = F.col("f")[0]
+    known = tag.isin(*schemas)
+    frames: dict = {}
+    for name, schema in schemas.items():
+        wanted = tag == F.lit(name)
+        if on_error == "fail":
+            wanted = F.when(known, wanted).otherwise(F.raise_error(F.concat(F.lit("unknown tag: "), tag)))
+        frames[name] = fields.where(wanted).select(
+            *[_value(k + 1, fld.dataType, on_error).alias(fld.name)
+              for k, fld in enumerate(_schema(schema).fields)])
+    if on_error == "null":
+        frames[None] = fields.where(~known).select(tag.alias("tag"), F.array_join("f", "\t").alias("line"))
     return frames
 
 
+def read_vectors(spark: SparkSession, paths, lead: str = "", tail: str = "", prefix: str | None = None,
+                 features: str = "features", value_type: str = "double", on_error: str = "fail") -> DataFrame:
+    """Rows of a vector of any width between leading and trailing fields.
+
+    ``lead`` and ``tail`` are schemas of the fields before and after the vector
+    (``lead="id string, cluster int"`` for observations with their cluster,
+    ``tail="label string"`` for rows with the class last).  With ``prefix``, only
+    rows whose first field starts with it are read (``"D"`` for data rows in a
+    file that also holds a row of start weights).
+    """
+    fields = _fields(spark, paths, trim=True)
+    if prefix is not None:
+        fields = fields.where(F.col("f")[0].startswith(prefix))
+    first, last = _schema(lead or "struct<>").fields, _schema(tail or "struct<>").fields
+    n, size = len(first), F.size("f")
+    dtype = T._parse_datatype_string(value_type)
+    body = F.transform(F.slice("f", n + 1, F.greatest(F.lit(0), size - n - len(last))),
+                       lambda v: _cast(v, dtype, on_error))
+    ends = [_cast(F.get("f", size - len(last) + k), fld.dataType, on_error).alias(fld.name) for k, fld in enumerate(last)]
+    return fields.select(*[_value(k, fld.dataType, on_error).alias(fld.name) for k, fld in enumerate(first)],
+                         body.alias(features), *ends)
+
+
+def read_weights(spark: SparkSession, paths, name: str = "ALPHA", on_error: str = "fail") -> DataFrame:
+    """The row ``name<TAB>w1<TAB>w2..`` as a weight table ``(j, w)``, 1-based."""
+    fields = _fields(spark, paths, trim=True).where(F.col("f")[0] == F.lit(name))
+    return (fields.select(F.posexplode(F.slice("f", 2, F.size("f"))).alias("_p", "_v"))
+            .select((F.col("_p") + 1).alias("j"), _cast(F.col("_v"), T.DoubleType(), on_error).alias("w")))
+
+
 def read_matrix(spark: SparkSession, paths, value_type: str = "double",
                 on_error: str = "fail", base: int = 1) -> DataFrame:
     """Labelled matrix rows (``A1<TAB>v..``, ``A:1<TAB>v..``, ``A1:4<TAB>v..``)
     to cells ``(matrix, i, j, v)``; column numbers start at ``base``."""
-    fields = _fields(spark, paths)
+    fields = _fields(spark, paths, trim=True)
     header = F.col("f")[0]
     name = F.regexp_extract(header, MATRIX_HEADER, 1)
     row = F.regexp_extract(header, MATRIX_HEADER, 2)
@@ -85,10 +133,10 @@ def read_matrix(spark: SparkSession, paths, value_type: str = "double",
     if on_error == "fail":
         name = F.when(bad, F.raise_error(F.concat(F.lit("bad matrix header: "), header))) \
                 .otherwise(name)
-    cells = fields.select(name.alias("matrix"), row.cast("int").alias("i"),
+    cells = fields.select(name.alias("matrix"), (row.try_cast("int") if on_error == "null" else row.cast("int")).alias("i"),
                           F.posexplode(F.slice("f", 2, F.size("f"))).alias("_p", "_v"))
     if on_error == "null":
-        cells = cells.where(F.col("matrix") != F.lit(""))
+        cells = cells.where((F.col("matrix") != F.lit("")) & F.col("i").isNotNull())
     dtype = T._parse_datatype_string(value_type)
     return cells.select("matrix", "i", (F.col("_p") + base).alias("j"),
                         _cast(F.col("_v"), dtype, on_error).alias("v"))
@@ -96,7 +144,8 @@ def read_matrix(spark: SparkSession, paths, value_type: str = "double",
 
 def to_tsv_line(df: DataFrame, cols: Iterable[str] | None = None) -> Column:
     """One text line per row: fields joined by tabs, arrays spread over
-    consecutive fields, NULL as an empty field."""
+    consecutive fields, NULL as an empty field.  A text with a tab or line end
+    cannot be written so and is an error."""
     parts = []
     fields = {f.name: f.dataType for f in df.schema.fields}
     for name in (cols or df.columns):
@@ -105,6 +154,8 @@ def to_tsv_line(df: DataFrame, cols: Iterable[str] | None = None) -> Column:
             text = F.array_join(F.transform(name, lambda x: x.cast("string")), "\t", "")
         else:
             text = F.col(name).cast("string")
+        if isinstance(dtype, T.StringType):
+            text = F.when(text.rlike("[\t\n\r]"), F.raise_error(F.lit(f"tab or line end in column {name}"))).otherwise(text)
         parts.append(F.coalesce(text, F.lit("")))
     return F.concat_ws("\t", *parts)
 
@@ -122,14 +173,48 @@ def write_tsv(df: DataFrame, path: str, single_file: bool = False,
     out.write.mode(mode).text(path)
 
 
+def write_lines(df: DataFrame, path: str, template: str, single_file: bool = False, mode: str = "overwrite") -> None:
+    """One formatted line per row: ``template`` is text with ``{column}`` places,
+    for example ``"C{i}\\t{row}"`` or ``"mean = {mean}\\tvar = {var}"``; arrays are
+    spread over tabs, NULL is empty."""
+    parts = []
+    for text, name, _, _ in Formatter().parse(template):
+        parts.append(F.lit(text))
+        if name:
+            parts.append(to_tsv_line(df, [name]))
+    out = df.select(F.concat(*parts).alias("value"))
+    (out.coalesce(1) if single_file else out).write.mode(mode).text(path)
+
+
+EMPTY_KEY = "__EMPTY__"
+
+
+def _key_text(col: str) -> Column:
+    text = F.col(col).cast("string")
+    return F.when(text == "", F.lit(EMPTY_KEY)).otherwise(text).alias(col)
+
+
+def read_by_value(spark: SparkSession, path: str, schema, col: str, key_type: str = "string",
+                  on_error: str = "fail") -> DataFrame:
+    """Read what ``write_by_value`` wrote as tab-separated text; the key comes
+    back with its own type (``01`` stays ``01``, the empty text is not NULL)."""
+    st = T.StructType([*_schema(schema).fields, T.StructField(col, T.StringType())])
+    rows = read_tsv(spark, path, st, on_error)
+    key = F.when(F.col(col) == EMPTY_KEY, F.lit("")).otherwise(F.col(col))
+    return rows.withColumn(col, _cast(key, T._parse_datatype_string(key_type), on_error))
+
+
 def write_by_value(df: DataFrame, path: str, col: str, fmt: str = "tsv",
                    mode: str = "overwrite") -> None:
     """One output group (directory ``col=value``) per value of ``col``.
 
     Rows are rebalanced by ``col`` first, so a value's rows meet in few
     tasks; AQE splits a value that holds a large share of the data over
-    several tasks (several files in its directory) and merges small ones.
+    several tasks (several files in its directory) and merges small ones.  An
+    empty text key has a directory of its own, apart from NULL.
     """
+    if isinstance(df.schema[col].dataType, T.StringType):
+        df = df.withColumn(col, _key_text(col))
     balanced = df.hint("rebalance", col)
     if fmt == "tsv":
         rest = [c for c in df.columns if c != col]
