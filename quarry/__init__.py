@@ -1,8 +1,10 @@
 """quarry: batch analytics on Spark DataFrames.
 
 Tables, matrices (as cells), graphs (as edge tables) and texts all stay
-DataFrames; every operator returns a lazily planned DataFrame and leaves the
-physical strategy to Catalyst and adaptive query execution.
+DataFrames.  Operators return lazily planned DataFrames, but for the iterative
+ones (``bfs``, ``kmeans``, ``linreg_gd``), which run their rounds when called and
+return a scan of what they wrote.  The physical strategy is left to Catalyst and
+adaptive query execution.
 """
 
 from quarry.session import build_session, checkpoint_dir, scratch_path

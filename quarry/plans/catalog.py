@@ -32,6 +32,16 @@ def q_equi_join(spark, sf_dir):
                                 ["s_name"], ["c_name"])
 
 
+def q_equi_join_lines(spark, sf_dir):
+    """Many-to-many join whose output grows with the input: the lines of one
+    order among themselves."""
+    li = table(spark, sf_dir, "lineitem")
+    return relational.equi_join(
+        li.select("l_orderkey", F.col("l_partkey").alias("part_a")),
+        li.select("l_orderkey", F.col("l_suppkey").alias("supp_b")),
+        "l_orderkey", ["part_a"], ["supp_b"])
+
+
 def q_distinct_count(spark, sf_dir):
     return relational.distinct_count(table(spark, sf_dir, "lineitem"), "l_partkey")
 
@@ -65,6 +75,26 @@ def q_variance_from_moments(spark, sf_dir):
     return round_doubles(stats.variance_from_moments(means, ss, ["label", "pos"]))
 
 
+def _returns(spark, sf_dir):
+    """lineitem quantities by return flag, flag 'A' made NULL."""
+    return table(spark, sf_dir, "lineitem").select(
+        F.nullif("l_returnflag", F.lit("A")).alias("flag"), F.col("l_quantity").cast("double").alias("x"))
+
+
+def q_variance_null_key(spark, sf_dir):
+    rows = _returns(spark, sf_dir)
+    return round_doubles(stats.variance_from_moments(
+        stats.mean_count(rows, "x", by="flag"), stats.sum_squares(rows, "x", by="flag"), "flag"))
+
+
+def q_gaussian_nb_ragged(spark, sf_dir):
+    """Vectors of different length: the first vec_id % 3 values, NULL for 0."""
+    e = table(spark, sf_dir, "embeddings")
+    n = (F.col("vec_id") % 3).cast("int")
+    rows = e.select("label", F.when(n > 0, F.slice("embedding", F.lit(1), n)).alias("v"))
+    return round_doubles(stats.gaussian_nb_train(rows, "label", "v"))
+
+
 def q_class_prior(spark, sf_dir):
     return round_doubles(stats.class_prior(table(spark, sf_dir, "embeddings"), "label"))
 
@@ -94,6 +124,11 @@ def q_to_rows(spark, sf_dir):
         F.element_at("row", -1).alias("last")))
 
 
+def q_to_rows_all(spark, sf_dir):
+    rows = matrix.to_rows(_embedding_cells(spark, sf_dir))
+    return round_doubles(rows.select("i", F.posexplode("row").alias("pos", "v")))
+
+
 def q_transpose(spark, sf_dir):
     return round_doubles(matrix.transpose(_embedding_cells(spark, sf_dir)))
 
@@ -136,6 +171,16 @@ def q_read_tsv(spark, sf_dir):
     return round_doubles(sources.read_tsv(spark, path, cust.schema))
 
 
+def q_write_tsv(spark, sf_dir):
+    """Arrays and NULLs written as text and read back as vector rows."""
+    e = table(spark, sf_dir, "embeddings")
+    path = scratch_path(spark, "write_tsv")
+    sources.write_tsv(e.select("vec_id", F.nullif("label", F.lit(0)).alias("label"),
+                               F.col("embedding").cast("array<double>").alias("v")), path)
+    back = sources.read_vectors(spark, path, lead="vec_id bigint, label int", features="v")
+    return round_doubles(back.select("vec_id", "label", F.posexplode("v").alias("pos", "v")))
+
+
 def q_read_tagged(spark, sf_dir):
     s = table(spark, sf_dir, "supplier")
     n = table(spark, sf_dir, "nation")
@@ -194,6 +239,19 @@ def q_bfs(spark, sf_dir):
     return graph.bfs(_order_part_edges(spark, sf_dir), BFS_SOURCE)
 
 
+def q_bfs_unreached(spark, sf_dir):
+    return graph.bfs(_order_part_edges(spark, sf_dir), BFS_SOURCE, max_depth=2, include_unreached=True)
+
+
+def q_bfs_null_ends(spark, sf_dir):
+    """Every seventh line has lost its part."""
+    li = table(spark, sf_dir, "lineitem")
+    edges = li.select(
+        F.concat(F.lit("o"), F.col("l_orderkey").cast("string")).alias("src"),
+        F.when(F.col("l_orderkey") % 7 != 0, F.concat(F.lit("p"), F.col("l_partkey").cast("string"))).alias("dst"))
+    return graph.bfs(edges, BFS_SOURCE)
+
+
 # -- k-means ------------------------------------------------------------------
 
 def _observations(spark, sf_dir):
@@ -215,6 +273,23 @@ def q_kmeans_assign(spark, sf_dir):
     return cluster.kmeans_assign(obs, cluster.kmeans_update(obs)).select("id", "cluster")
 
 
+def _many_observations(spark, sf_dir):
+    e = table(spark, sf_dir, "embeddings")
+    return e.select(F.col("vec_id").alias("id"), (F.col("vec_id") % 32).alias("cluster"),
+                    F.col("embedding").alias("features"))
+
+
+def q_kmeans_assign_many(spark, sf_dir):
+    obs = _many_observations(spark, sf_dir)
+    return cluster.kmeans_assign(obs, cluster.kmeans_update(obs)).select("id", "cluster")
+
+
+def q_kmeans_centers(spark, sf_dir):
+    _, centers = cluster.kmeans(_observations(spark, sf_dir), max_rounds=2)
+    return round_doubles(centers.select("cluster", F.posexplode("center").alias("j", "mean"))
+                         .withColumn("j", F.col("j") + 1))
+
+
 def q_kmeans(spark, sf_dir):
     assignments, _ = cluster.kmeans(_observations(spark, sf_dir), max_rounds=2)
     return assignments.select("id", "cluster")
@@ -258,6 +333,15 @@ def q_palindromes_by_center(spark, sf_dir):
     return text.palindromes_by_center(table(spark, sf_dir, "part"), "p_partkey", "p_name")
 
 
+def q_palindromes_by_center_docs(spark, sf_dir):
+    """Every centre of every whole document, summed up per document."""
+    per = text.palindromes_by_center(table(spark, sf_dir, "documents"), "doc_id", "text")
+    return per.groupBy("id").agg(
+        F.count(F.lit(1)).alias("centers"), F.sum(F.length("odd")).alias("odd_chars"),
+        F.coalesce(F.sum(F.length("even")), F.lit(0)).alias("even_chars"),
+        F.greatest(F.max(F.length("odd")), F.coalesce(F.max(F.length("even")), F.lit(0))).alias("longest"))
+
+
 def q_longest_palindrome(spark, sf_dir):
     return text.longest_palindrome(table(spark, sf_dir, "part"), "p_partkey", "p_name")
 
@@ -272,16 +356,20 @@ def q_longest_palindrome_docs(spark, sf_dir):
 
 QUERIES = {
     "equi_join": q_equi_join,
+    "equi_join_lines": q_equi_join_lines,
     "distinct_count": q_distinct_count,
     "mean_count": q_mean_count,
     "mean_count_by": q_mean_count_by,
     "merge_mean_count": q_merge_mean_count,
     "sum_squares": q_sum_squares,
     "variance_from_moments": q_variance_from_moments,
+    "variance_null_key": q_variance_null_key,
     "class_prior": q_class_prior,
     "gaussian_nb": q_gaussian_nb,
+    "gaussian_nb_ragged": q_gaussian_nb_ragged,
     "to_cells": q_to_cells,
     "to_rows": q_to_rows,
+    "to_rows_all": q_to_rows_all,
     "transpose": q_transpose,
     "scale": q_scale,
     "add": q_add,
@@ -289,19 +377,25 @@ QUERIES = {
     "matmul": q_matmul,
     "matmul_blocked": q_matmul_blocked,
     "read_tsv": q_read_tsv,
+    "write_tsv": q_write_tsv,
     "read_tagged": q_read_tagged,
     "read_matrix": q_read_matrix,
     "write_by_value": q_write_by_value,
     "symmetrize": q_symmetrize,
     "adjacency": q_adjacency,
     "bfs": q_bfs,
+    "bfs_null_ends": q_bfs_null_ends,
+    "bfs_unreached": q_bfs_unreached,
     "kmeans_update": q_kmeans_update,
     "kmeans_assign": q_kmeans_assign,
+    "kmeans_assign_many": q_kmeans_assign_many,
     "kmeans": q_kmeans,
+    "kmeans_centers": q_kmeans_centers,
     "residuals": q_residuals,
     "gradient": q_gradient,
     "linreg_gd": q_linreg_gd,
     "palindromes_by_center": q_palindromes_by_center,
+    "palindromes_by_center_docs": q_palindromes_by_center_docs,
     "longest_palindrome": q_longest_palindrome,
     "longest_palindrome_all": q_longest_palindrome_all,
     "longest_palindrome_docs": q_longest_palindrome_docs,

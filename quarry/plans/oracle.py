@@ -104,6 +104,51 @@ ORACLE = {
     "equi_join": """
         SELECT s.s_name, c.c_name
         FROM supplier s JOIN customer c ON s.s_nationkey = c.c_nationkey""",
+    "equi_join_lines": """
+        SELECT a.l_partkey AS part_a, b.l_suppkey AS supp_b
+        FROM lineitem a JOIN lineitem b ON a.l_orderkey = b.l_orderkey""",
+    "variance_null_key": """
+        SELECT nullif(l_returnflag, 'A') AS flag, round(avg(CAST(l_quantity AS DOUBLE)), 6) AS mean,
+               round(var_samp(CAST(l_quantity AS DOUBLE)), 6) AS var
+        FROM lineitem GROUP BY 1""",
+    "gaussian_nb_ragged": f"""
+        WITH total AS (SELECT count(*) AS n FROM embeddings),
+             c AS (SELECT label, count(*) AS k FROM embeddings GROUP BY label),
+             m AS (SELECT label, pos, avg(x) AS mean, var_samp(x) AS var, count(x) AS count
+                   FROM {_EV} WHERE pos < vec_id % 3 GROUP BY label, pos)
+        SELECT c.label, m.pos, round(m.mean, 6) AS mean, round(m.var, 6) AS var,
+               coalesce(m.count, 0) AS count, round(c.k / total.n, 6) AS prior
+        FROM c CROSS JOIN total LEFT JOIN m ON m.label = c.label""",
+    "to_rows_all": f"""
+        SELECT vec_id AS i, pos, round(x, 6) AS v FROM {_EV}""",
+    "write_tsv": f"""
+        SELECT vec_id, nullif(label, 0) AS label, pos, round(x, 6) AS v FROM {_EV}""",
+    "bfs_unreached": f"""
+        WITH e AS {_EDGES},
+        d1 AS (SELECT DISTINCT dst AS node FROM e WHERE src = 'p0'),
+        d2 AS (SELECT DISTINCT e.dst AS node FROM e JOIN d1 ON e.src = d1.node
+               WHERE e.dst <> 'p0' AND e.dst NOT IN (SELECT node FROM d1))
+        SELECT n.node, CAST(CASE WHEN n.node = 'p0' THEN 0 WHEN d1.node IS NOT NULL THEN 1
+                                 WHEN d2.node IS NOT NULL THEN 2 END AS INTEGER) AS dist
+        FROM (SELECT DISTINCT src AS node FROM e) n
+        LEFT JOIN d1 ON d1.node = n.node LEFT JOIN d2 ON d2.node = n.node""",
+    "bfs_null_ends": f"""
+        WITH RECURSIVE e AS (SELECT * FROM {_EDGES}
+                             WHERE CAST(CASE WHEN src LIKE 'o%' THEN substr(src, 2) ELSE substr(dst, 2) END AS BIGINT) % 7 <> 0),
+        reach(node, dist) USING KEY (node) AS (
+            SELECT src, 0 FROM (SELECT DISTINCT src FROM e WHERE src = 'p0')
+            UNION
+            SELECT e.dst, min(r.dist) + 1
+            FROM reach r JOIN e ON e.src = r.node
+            WHERE NOT EXISTS (SELECT 1 FROM recurring.reach v WHERE v.node = e.dst)
+            GROUP BY e.dst)
+        SELECT node, dist FROM reach""",
+    "kmeans_assign_many": f"""
+        SELECT id, cluster FROM {_km_assign(_km_centres("(SELECT vec_id AS id, vec_id % 32 AS cluster FROM embeddings)"))}""",
+    "kmeans_centers": f"""
+        WITH a0 AS {_km_assign(_km_centres(_KM_START))},
+             a1 AS {_km_assign(_km_centres('a0'))}
+        SELECT cluster, j, round(m, 6) AS mean FROM {_km_centres('a1')}""",
     "distinct_count": """
         SELECT count(DISTINCT l_partkey) AS n FROM lineitem""",
     "mean_count": """
@@ -217,6 +262,14 @@ ORACLE = {
                substr(cs.s, cs.ctr - o.r + 1, 2 * o.r + 1) AS odd,
                CASE WHEN cs.ctr < cs.n - 1 THEN substr(cs.s, cs.ctr - e.r + 2, 2 * e.r) END AS even
         FROM cs JOIN o USING (id, ctr) LEFT JOIN e USING (id, ctr)""",
+    "palindromes_by_center_docs": _DOC_BEST + """,
+        per AS (SELECT lo // 10000000 AS doc_id, lo + hi AS twice, max(hi - lo + 1) AS len
+                FROM grow GROUP BY 1, 2)
+        SELECT doc_id AS id, CAST(count(*) FILTER (WHERE len % 2 = 1) AS BIGINT) AS centers,
+               CAST(sum(len) FILTER (WHERE len % 2 = 1) AS BIGINT) AS odd_chars,
+               CAST(coalesce(sum(len) FILTER (WHERE len % 2 = 0), 0) AS BIGINT) AS even_chars,
+               CAST(max(len) AS INTEGER) AS longest
+        FROM per GROUP BY doc_id""",
     "longest_palindrome": _NAME_RADII + """
         SELECT p.p_partkey AS id,
                CAST(CASE WHEN p.p_name IS NOT NULL THEN coalesce(b.len, 0) END AS INTEGER) AS len,

@@ -92,7 +92,7 @@ def test_bfs_unreachable_and_depth(spark, tsv):
 
 def test_adjacency_splits_hubs(spark):
     e = spark.range(1000).select(F.lit("hub").alias("src"), F.col("id").cast("string").alias("dst"))
-    adj = graph.adjacency(e, max_list=100).collect()
+    adj = graph.adjacency(e, parts=10).collect()
     assert len(adj) == 10 and {r["part"] for r in adj} == set(range(10))
     got = sorted(x for r in adj for x in r["neighbours"])
     assert got == sorted(str(i) for i in range(1000))
@@ -243,8 +243,7 @@ KMEANS_100_GOLDEN = os.environ.get("QUARRY_KMEANS100_EXPECTED", "")
                     reason="100-point fixture not given")
 def test_kmeans_100_points(spark):
     schema = "id string, cluster int, x1 double, x2 double"
-    raw = sources.read_tsv(spark, KMEANS_100, schema)
-    obs = raw.select("id", "cluster", F.array("x1", "x2").alias("features"))
+    obs = sources.read_vectors(spark, KMEANS_100, lead="id string, cluster int")
     assigned, _ = cluster.kmeans(obs, max_rounds=1)
     golden = {r["id"]: r["cluster"] for r in sources.read_tsv(spark, KMEANS_100_GOLDEN, schema).collect()}
     got = {r["id"]: r["cluster"] for r in assigned.collect()}
@@ -291,10 +290,10 @@ def test_rounds_live_in_checkpoint_folder(spark, tsv):
 
     folder = checkpoint_dir(spark)
     root = folder.replace("file:", "")
-    before = set(glob.glob(f"{root}/quarry/bfs-frontier-*"))
+    before = set(glob.glob(f"{root}/quarry/bfs-frontiers-*/dist=*"))
     edges = sources.read_tsv(spark, tsv(EDGES), "src string, dst string")
     assert graph.bfs(edges, "s").count() == len(DISTANCES)
-    after = set(glob.glob(f"{root}/quarry/bfs-frontier-*"))
+    after = set(glob.glob(f"{root}/quarry/bfs-frontiers-*/dist=*"))
     assert len(after - before) == 5  # frontiers 0..3 and the empty fifth one
 
 

@@ -147,22 +147,92 @@ def test_longest_palindrome_all_string_ids(spark):
     assert (best["id"], best["len"], best["pal"]) == ("a", 5, "zcdcz")
 
 
-def test_kmeans_numpy_and_jvm_paths_agree(spark):
+@pytest.mark.parametrize("k, d, budget", [(2, 1, 1 << 20), (20, 64, 1 << 20), (40, 64, 2048), (500, 200, 4096)])
+def test_kmeans_assign_is_one_rule_for_all_sizes(spark, monkeypatch, k, d, budget):
+    monkeypatch.setattr(cluster, "CENTRE_BYTES", budget)
     rng = np.random.default_rng(21)
-    k, d = 20, 64
-    centres = rng.normal(scale=3.0, size=(k, d))
-    pts = centres[rng.integers(0, k, size=600)] + rng.normal(size=(600, d))
-    obs = spark.createDataFrame([(i, i % k, p.tolist()) for i, p in enumerate(pts)],
+    centres = rng.integers(-3, 4, size=(k, d)).astype(float)  # many exact ties
+    pts = rng.integers(-3, 4, size=(100, d)).astype(float)
+    obs = spark.createDataFrame([(i, None, p.tolist()) for i, p in enumerate(pts)],
                                 "id int, cluster int, features array<double>")
-    cent = cluster.kmeans_update(obs)
-    fast = cluster.kmeans_assign(obs, cent, vectorize_from=1)
-    slow = cluster.kmeans_assign(obs, cent, vectorize_from=None)
-    assert {r["id"]: r["cluster"] for r in fast.collect()} == \
-           {r["id"]: r["cluster"] for r in slow.collect()}
-    a, _ = cluster.kmeans(obs, max_rounds=3, vectorize_from=1)
-    b, _ = cluster.kmeans(obs, max_rounds=3, vectorize_from=None)
-    assert {r["id"]: r["cluster"] for r in a.collect()} == \
-           {r["id"]: r["cluster"] for r in b.collect()}
+    cent = spark.createDataFrame([(i, c.tolist()) for i, c in enumerate(centres)], "cluster int, center array<double>")
+    got = {r["id"]: r["cluster"] for r in cluster.kmeans_assign(obs, cent).collect()}
+    want = ((pts[:, None, :] - centres[None]) ** 2).sum(2).argmin(1)
+    assert [got[i] for i in range(100)] == want.tolist()
+
+
+def test_kmeans_odd_rows(spark):
+    nan = float("nan")
+    obs = spark.createDataFrame([(1, 0, [0.0, 0.0]), (2, 1, [10.0, 10.0]), (3, 0, None), (4, None, [9.0, 9.0]),
+                                 (5, 1, [nan, 1.0]), (6, 0, [0.0, None])], "id int, cluster int, features array<double>")
+    cent = spark.createDataFrame([(1, [10.0, 10.0]), (0, [0.0, 0.0]), (2, [nan, 0.0]), (None, [9.0, 9.0])],
+                                 "cluster int, center array<double>")
+    got = {r["id"]: r["cluster"] for r in cluster.kmeans_assign(obs, cent).collect()}
+    assert got == {1: 0, 2: 1, 3: None, 4: 1, 5: None, 6: None}
+    starts = cluster.kmeans_update(obs.where("id in (1, 2, 4)")).collect()
+    assert {r["cluster"]: r["center"] for r in starts} == {0: [0.0, 0.0], 1: [10.0, 10.0]}
+    short = spark.createDataFrame([(1, 0, [1.0])], "id int, cluster int, features array<double>")
+    with pytest.raises(Exception, match="length"):
+        cluster.kmeans_assign(short, cent).collect()
+    none = cluster.kmeans_assign(obs, cent.limit(0)).collect()
+    assert {r["cluster"] for r in none} == {None}
+
+
+def test_bfs_null_ends_and_deep_path(spark):
+    edges = spark.createDataFrame([("s", "a"), ("a", None), ("a", "b"), ("b", "c"), (None, "z"), ("c", None), ("e", None)],
+                                  "src string, dst string")
+    assert [tuple(r) for r in graph.bfs(edges, "s").collect()] == [("s", 0), ("a", 1), ("b", 2), ("c", 3)]
+    full = [tuple(r) for r in graph.bfs(edges, "s", include_unreached=True).collect()]
+    assert full == [("s", 0), ("a", 1), ("b", 2), ("c", 3), ("e", None), ("z", None)]
+    path = spark.range(25).select(F.col("id").cast("string").alias("src"), (F.col("id") + 1).cast("string").alias("dst"))
+    out = graph.bfs(path, "0")
+    assert {r["node"]: r["dist"] for r in out.collect()} == {str(i): i for i in range(26)}
+
+
+def test_variance_and_naive_bayes_with_nulls(spark):
+    from quarry.operators import stats
+
+    df = spark.createDataFrame([(None, 1.0), (None, 3.0), ("a", 5.0), ("b", 1e8), ("b", 1e8 + 0.1)], "g string, x double")
+    out = stats.variance_from_moments(stats.mean_count(df, "x", by="g"), stats.sum_squares(df, "x", by="g"), "g")
+    got = {r["g"]: (r["mean"], r["var"]) for r in out.collect()}
+    assert got[None] == (2.0, 2.0) and got["a"] == (5.0, None) and got["b"][1] >= 0
+    rows = spark.createDataFrame([("a", [1.0, 2.0]), ("a", [3.0]), ("a", None), ("b", None), (None, [4.0])],
+                                 "label string, v array<double>")
+    prior = {r["label"]: r["prior"] for r in stats.class_prior(rows, "label").collect()}
+    nb = stats.gaussian_nb_train(rows, "label", "v").collect()
+    assert all(r["prior"] == prior[r["label"]] for r in nb)
+    by = {(r["label"], r["pos"]): (r["mean"], r["count"]) for r in nb}
+    assert by == {("a", 0): (2.0, 2), ("a", 1): (2.0, 1), ("b", None): (None, 0), (None, 0): (4.0, 1)}
+
+
+def test_residuals_ignore_far_weights(spark):
+    from quarry.operators import regression
+
+    data = spark.createDataFrame([(1, [2.0, 3.0], 10.0), (2, None, 1.0)], "id int, x array<double>, y double")
+    w = spark.createDataFrame([(1, 1.0), (500_000_000, 7.0), (0, 9.0)], "j int, w double")
+    assert {r["id"]: r["e"] for r in regression.residuals(data, w).collect()}[1] == 8.0
+
+
+def test_blocked_product_keeps_exact_zeros_and_width_is_checked(spark):
+    from quarry.operators import matrix
+
+    a = spark.createDataFrame([(1, 1, 1.0), (1, 2, -1.0), (2, 2, 2.0), (300, 1, 3.0)], "i int, j int, v double")
+    b = spark.createDataFrame([(1, 1, 5.0), (2, 1, 5.0), (2, 2, 4.0)], "i int, j int, v double")
+    def cells(m):
+        return sorted((r["i"], r["j"], r["v"]) for r in m.collect())
+    assert cells(matrix.matmul_blocked(a, b)) == cells(matrix.matmul(a, b))
+    assert {r["i"]: r["row"] for r in matrix.to_rows(matrix.matmul_blocked(a, b)).collect()}[1] == [0.0, -4.0]
+    wide = spark.createDataFrame([(1, 1, 1.0), (1, 5, 9.0)], "i int, j int, v double")
+    with pytest.raises(Exception, match="outside"):
+        matrix.to_rows(wide, width=3).collect()
+
+
+def test_palindromes_by_center_long_text(spark):
+    body = "".join(chr(97 + (i * i * 7919 >> 3) % 26) for i in range(80_000))
+    df = spark.createDataFrame([(1, body), (2, ""), (3, None), (4, "a")], "id int, text string")
+    out = text.palindromes_by_center(df, "id", "text")
+    assert {r["id"]: r["count"] for r in out.groupBy("id").count().collect()} == {1: 80_000, 4: 1}
+    assert [tuple(r) for r in out.where("id = 4").collect()] == [(4, 0, "a", None)]
 
 
 def test_residuals_with_gaps_and_empty_weights(spark):

@@ -1,5 +1,5 @@
 """The grouped aggregates are plain DataFrame plans, so they also run on a
-streaming DataFrame (claim made in ``quarry.streaming``)."""
+streaming DataFrame."""
 
 from quarry.operators import stats
 from quarry.session import scratch_path
