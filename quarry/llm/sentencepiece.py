@@ -29,7 +29,7 @@ from quarry.llm.words import Powers, mix64
 
 MARK = 0x2581
 _LITERAL = 0x110001    # a word mark that the text itself holds
-BLOCK = 1 << 19
+BLOCK = 1 << 20
 _POWERS = Powers(0x9E3779B97F4A7C15 | 1)
 
 
@@ -46,6 +46,17 @@ class PieceModel:
     text: np.ndarray        # bytes of all pieces end to end, marks as spaces
     offset: np.ndarray
 
+    def __post_init__(self):
+        # first step of the trie by character (the last entry: none)
+        self.root = np.full(_LITERAL + 1, -1, np.int32)
+        first = self.keys < 1 << 21
+        self.root[self.keys[first]] = self.nodes[first]
+
+    def alone(self, cps: np.ndarray) -> np.ndarray:
+        """Characters that are pieces by themselves."""
+        node = self.root[cps]
+        return (node >= 0) & (self.piece[node] >= 0)
+
 
 def load_model(path: str | None = None, alpha: float = 1.0) -> PieceModel:
     """Read a piece model file (the driver does; the arrays are broadcast)."""
@@ -95,10 +106,16 @@ def lattice_edges(model: PieceModel, cps: np.ndarray, end: np.ndarray):
     single = np.zeros(len(cps), bool)
     step = 0
     while len(start):
-        key = (node << 21) | cps[at]
-        i = np.minimum(np.searchsorted(model.keys, key), len(model.keys) - 1)
-        ok = model.keys[i] == key
-        start, at, node = start[ok], at[ok] + 1, model.nodes[i[ok]]
+        if step:
+            key = (node << 21) | cps[at]
+            i = np.minimum(np.searchsorted(model.keys, key), len(model.keys) - 1)
+            ok = model.keys[i] == key
+            node = model.nodes[i[ok]]
+        else:
+            node = model.root[cps].astype(np.int64)
+            ok = node >= 0
+            node = node[ok]
+        start, at = start[ok], at[ok] + 1
         whole = model.piece[node] >= 0
         found.append((start[whole], at[whole], model.piece[node[whole]]))
         if step == 0:
@@ -156,7 +173,7 @@ def encode_block(model: PieceModel, texts: list[str], row_keys: np.ndarray) -> t
     doc_at = np.concatenate(([0], np.cumsum([len(t) + 1 for t in full])))[:-1]
     mark = cps == MARK
     begin = mark & ~np.concatenate(([False], mark[:-1]))
-    known = _in_vocabulary(model, cps)
+    known = model.alone(cps)
     begin |= ~known | ~np.concatenate(([True], known[:-1]))  # byte characters are units of their own
     begin[doc_at] = True
     first = np.flatnonzero(begin)
@@ -188,7 +205,11 @@ def encode_block(model: PieceModel, texts: list[str], row_keys: np.ndarray) -> t
         g = group[at]
         depth = (at - root[live]).astype(np.uint64)
         r = (mix64(key[live] + depth * np.uint64(0xD1B54A32D192ED03)) >> np.uint64(11)).astype(float) * 2.0 ** -53
-        e = np.clip(np.searchsorted(running, g + r, "right"), fresh[g], last[g] - 1)
+        e, goal, stop = fresh[g], g + r, last[g] - 1
+        more = np.flatnonzero((running[e] <= goal) & (e < stop))
+        while len(more):  # ends have few edges
+            e[more] += 1
+            more = more[(running[e[more]] <= goal[more]) & (e[more] < stop[more])]
         steps.append((live, e))
         at = head[e]
         go = at > root[live]
@@ -215,14 +236,6 @@ def encode_block(model: PieceModel, texts: list[str], row_keys: np.ndarray) -> t
     return ids.astype(np.int32), out_off
 
 
-def _in_vocabulary(model: PieceModel, cps: np.ndarray) -> np.ndarray:
-    """Characters that are pieces by themselves."""
-    kinds, back = np.unique(cps, return_inverse=True)
-    i = np.minimum(np.searchsorted(model.keys, kinds), len(model.keys) - 1)
-    ok = (model.keys[i] == kinds) & (model.piece[model.nodes[i]] >= 0)
-    return ok[back]
-
-
 def decode_ids(model: PieceModel, ids: np.ndarray, offsets: np.ndarray) -> list[str]:
     """Texts of ids given end to end; the mark before the first word goes."""
     start, size = model.offset[ids], model.offset[ids + 1] - model.offset[ids]
