@@ -166,19 +166,32 @@ def _cut_fn(width: int, n_payload: int, schema: list[str], text_at: int | None,
     return run
 
 
+def _spread_semi(rows: DataFrame, counted: DataFrame, keys: list[str]) -> DataFrame:
+    """``rows`` whose keys are in ``counted`` (keys, n).  Keys with more than a
+    thousandth of all counted rows -- fewer than a thousand keys, so their list
+    may be broadcast -- are dealt over 64 partitions by a salt."""
+    total = counted.agg(F.sum("n")).first()[0] or 0
+    hot = counted.filter(F.col("n") * 1000 > total).select(*keys, F.lit(True).alias("__q_hot"))
+    salted = (rows.join(F.broadcast(hot), keys, "left")
+              .withColumn("__q_salt", F.expr("if(coalesce(__q_hot, false), cast(pmod(xxhash64(k1, lo), 64) AS int), 0)")).drop("__q_hot"))
+    dealt = (counted.select(*keys).join(F.broadcast(hot), keys, "left")
+             .select(*keys, F.explode(F.expr("if(coalesce(__q_hot, false), sequence(0, 63), array(0))")).alias("__q_salt")))
+    return salted.join(dealt, [*keys, "__q_salt"], "left_semi").drop("__q_salt")
+
+
 def repeated_spans(docs: DataFrame, text_col: str = "text", width: int = WINDOW, seed: int = SEED) -> DataFrame:
     """(k1, k2, lo, hi): window starts lo..hi of the text with that key are
     repeated.  ``docs`` needs k1 and k2, a 128-bit key of (id, text)."""
     prepare(docs.sparkSession)
     runs = (docs.select("k1", "k2", F.col(text_col))
             .mapInArrow(_runs_fn(width, seed), "k1 long, k2 long, seed long, span long, lo int, hi int"))
-    seeds = runs.groupBy("seed").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("seed")
-    seen, _ = materialize(runs.join(seeds, "seed", "left_semi"), "runs")
+    seeds, _ = materialize(runs.groupBy("seed").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "seeds")
+    seen, _ = materialize(_spread_semi(runs, seeds, ["seed"]), "runs")
 
     classes, _ = materialize(
         seen.groupBy("seed", "span").agg(F.count(F.lit(1)).alias("n"),
                                          F.min(F.struct("k1", "k2", "lo", "hi")).alias("one")), "classes")
-    whole = (seen.join(classes.filter("n > 1").select("seed", "span"), ["seed", "span"], "left_semi")
+    whole = (_spread_semi(seen, classes.filter("n > 1").select("seed", "span", "n"), ["seed", "span"])
              .select("k1", "k2", "lo", "hi"))
 
     # seeds whose extensions differ, with one seen only once
