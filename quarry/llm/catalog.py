@@ -73,7 +73,52 @@ QUERIES = {
     "op10_substring_dedup": op10_substring_dedup,
 }
 
+# words of whole texts: maximal runs without space and 0x09-0x0D
+_WORDS = r"""list_filter(regexp_split_to_array({}, '[\x20\x09-\x0D]+'), lambda x: x <> '')"""
+
 ORACLE = {
+    # every pair of texts that share a shingle is compared on full sets
+    "op1_near_dedup": f"""
+        WITH RECURSIVE
+        w AS (SELECT doc_id, {_WORDS.format("translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} AS ws
+              FROM documents),
+        s AS MATERIALIZED (
+            SELECT DISTINCT doc_id, array_to_string(ws[i:i + 4], ' ') AS sh
+            FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 4, 1) + 1)) AS i FROM w WHERE len(ws) > 0)),
+        n AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+        links AS MATERIALIZED (
+            SELECT p.a, p.b, 2 * p.k = x.n + y.n AS same
+            FROM (SELECT l.doc_id AS a, r.doc_id AS b, count(*) AS k
+                  FROM s l JOIN s r ON l.sh = r.sh AND l.doc_id <> r.doc_id GROUP BY 1, 2) p
+            JOIN n x ON x.doc_id = p.a JOIN n y ON y.doc_id = p.b
+            WHERE 100 * p.k >= 75 * (x.n + y.n - p.k)),
+        reach(doc_id, low) USING KEY (doc_id) AS (
+            SELECT doc_id, doc_id FROM n
+            UNION
+            SELECT l.b, min(r.low) FROM reach r JOIN links l ON l.a = r.doc_id
+            JOIN recurring.reach c ON c.doc_id = l.b
+            WHERE r.low < c.low GROUP BY l.b)
+        SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, coalesce(r.low, d.doc_id) AS component_id,
+               d.doc_id = coalesce(r.low, d.doc_id) AS kept,
+               least(d.doc_id, coalesce((SELECT min(b) FROM links l WHERE l.a = d.doc_id AND l.same), d.doc_id)) AS class_id
+        FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN reach r ON r.doc_id = d.doc_id""",
+    "op10_substring_dedup": f"""
+        WITH w AS MATERIALIZED (
+            SELECT doc_id, {_WORDS.format("coalesce(text, '')")} AS ws FROM documents),
+        win AS MATERIALIZED (
+            SELECT doc_id, i, md5(array_to_string(ws[i:i + 34], ' ')) AS k
+            FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 33)) AS i FROM w WHERE len(ws) >= 35)),
+        rep AS (SELECT k FROM win GROUP BY k HAVING count(*) > 1),
+        gone AS (SELECT doc_id, list(DISTINCT p) AS ps
+                 FROM (SELECT doc_id, unnest(range(i, i + 35)) AS p FROM win WHERE k IN (SELECT k FROM rep))
+                 GROUP BY doc_id),
+        kept AS (SELECT t.doc_id, list(t.word ORDER BY t.p) AS ws
+                 FROM (SELECT doc_id, unnest(ws) AS word, unnest(range(1, len(ws) + 1)) AS p FROM w) t
+                 LEFT JOIN (SELECT doc_id, unnest(ps) AS p FROM gone) g ON g.doc_id = t.doc_id AND g.p = t.p
+                 WHERE g.p IS NULL GROUP BY t.doc_id)
+        SELECT w.doc_id, len(w.ws) AS n_words, coalesce(len(g.ps), 0) AS n_removed,
+               sha256(coalesce(array_to_string(k.ws, ' '), '')) AS kept_sha256
+        FROM w LEFT JOIN gone g ON g.doc_id = w.doc_id LEFT JOIN kept k ON k.doc_id = w.doc_id""",
     "op5_exact_dedup": """
         SELECT doc_id,
                max(doc_id) OVER w AS keep_id,

@@ -235,9 +235,8 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, width: int, percent: int) ->
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     width: int = 5, percent: int = 75) -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id, kept,
-    class_id (smallest id with the same set) and n_links (confirmed links of
-    its representative)."""
+    """One row per document: doc_id, n_shingles, component_id, kept and
+    class_id (smallest id with the same set)."""
     prepare(docs.sparkSession)
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     sketch, _ = materialize(source.mapInArrow(
@@ -307,16 +306,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         .select("xs", "ys").mapInArrow(_compare_fn(width, percent), "a long, b long"), "links")
     links = first.union(second).union(third).distinct()
     final = components(links, "a", "b")
-    degree = (links.select("a").union(links.select(F.col("b").alias("a")))
-              .groupBy("a").agg(F.count(F.lit(1)).alias("n_links")))
-    ends = final.withColumnRenamed("node", "rep").join(
-        degree.withColumnRenamed("a", "rep"), "rep", "left")
+    ends = final.withColumnRenamed("node", "rep")
     return (members.join(ends, "rep", "left")
             .select("doc_id", "n_shingles",
                     F.coalesce("label", "rep", "doc_id").alias("component_id"),
                     F.expr("doc_id is null or doc_id = coalesce(label, rep, doc_id)").alias("kept"),
-                    F.coalesce("rep", "doc_id").alias("class_id"),
-                    F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links")))
+                    F.coalesce("rep", "doc_id").alias("class_id")))
 
 
 def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
