@@ -61,7 +61,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
-        if not sc.master.startswith("local"):
+        if sc.master != "local" and not sc.master.startswith("local["):
             raise RuntimeError(
                 "spark.checkpoint.dir is not set; iterative operators need a "
                 "folder on shared storage")
