@@ -6,9 +6,11 @@ folded to ``0``) are counted from the table itself: one from rejected urls,
 whose host contains a word of ``REJECT_WORDS``, one from accepted urls, all
 others that no rule blocks.  Every order from 5 letters down is smoothed by
 Witten-Bell interpolation, so an unseen context falls through to the next
-shorter one.  A url's score is the mean log ratio per character; the threshold
-lies between the accepted and rejected scores of a fold the models have not
-seen; if that fold lacks either kind, every url that no rule fits is allowed.
+shorter one.  A url's score is the mean log ratio per character.  The threshold
+lies between the accepted and rejected scores of texts by models that have not
+seen their fold; every text calibrates, and the models of the scores are
+trained on every text.  Only if the table lacks either kind is every url that no
+rule fits allowed.
 
 Work is done once per distinct folded text and distinct 5-letter window, with
 counts summed before each shuffle; joins back are dealt over salts.  Null urls
@@ -24,7 +26,7 @@ from quarry.plans.materialize import materialize
 
 ORDER = 5
 SALTS = 16
-HELD_OUT = 5           # one of so many texts calibrates
+FOLDS = 5              # a text calibrates by models of the other folds
 
 # fixed values: the site rules (rule, verdict) and the words that mark a host
 RULES = (("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow"))
@@ -54,27 +56,25 @@ def rule_of(host: Column, path: Column, rules=RULES) -> Column:
 
 
 def _counted(windows: DataFrame) -> DataFrame:
-    """(window, la, lr): windows with their log probability in each model."""
-    total = windows.agg(F.sum("a"), F.sum("r")).first()
+    """(model, window, ratio): windows with their log ratio, for each value of
+    ``model`` if there is that column."""
+    own = [c for c in windows.columns if c == "model"]
     below = None
     for m in range(1, ORDER + 1):
-        grams = (windows.groupBy(F.expr(f"right(window, {m})").alias("g"))
-                 .agg(F.sum("a").alias("a"), F.sum("r").alias("r")))
+        grams = (windows.groupBy(*own, F.expr(f"right(window, {m})").alias("g"))
+                 .agg(F.sum("a").alias("a"), F.sum("r").alias("r"))
+                 .withColumn("h", F.expr(f"left(g, {m - 1})")))
+        heads = grams.groupBy(*own, "h").agg(
+            F.sum("a").alias("ca"), F.sum("r").alias("cr"), F.sum(F.expr("int(a > 0)")).alias("ta"),
+            F.sum(F.expr("int(r > 0)")).alias("tr"), F.count(F.lit(1)).alias("size"))
+        stats = grams.join(heads, [*own, "h"])
         if m == 1:
-            kinds = grams.agg(F.count(F.lit(1)), F.sum(F.expr("int(a > 0)")), F.sum(F.expr("int(r > 0)"))).first()
-            size = float(max(1, kinds[0]))
-            stats = grams.select("g", "a", "r", *[F.lit(v or 0).alias(n) for n, v in (
-                ("ca", total[0]), ("cr", total[1]), ("ta", kinds[1]), ("tr", kinds[2]))],
-                F.lit(1 / size).alias("pa0"), F.lit(1 / size).alias("pr0"))
+            stats = stats.select("*", F.expr("1 / size").alias("pa0"), F.expr("1 / size").alias("pr0"))
         else:
-            grams = grams.withColumn("h", F.expr(f"left(g, {m - 1})"))
-            heads = grams.groupBy("h").agg(F.sum("a").alias("ca"), F.sum("r").alias("cr"),
-                                           F.sum(F.expr("int(a > 0)")).alias("ta"), F.sum(F.expr("int(r > 0)")).alias("tr"))
-            stats = (grams.join(heads, "h")
-                     .join(below, F.expr(f"right(g, {m - 1})") == F.col("s")).select("g", "a", "r", "ca", "cr", "ta", "tr", "pa0", "pr0"))
+            stats = stats.withColumn("s", F.expr(f"right(g, {m - 1})")).join(below, [*own, "s"])
         mixed = [F.expr(f"if(c{x} = 0, p{x}0, ({x} + t{x} * p{x}0) / (c{x} + t{x}))").alias(f"p{x}0") for x in "ar"]
-        below = stats.select(F.col("g").alias("s"), *mixed)
-    return below.select(F.col("s").alias("window"), (F.log("pa0") - F.log("pr0")).alias("ratio"))
+        below = stats.select(*own, F.col("g").alias("s"), *mixed)
+    return below.select(*own, F.col("s").alias("window"), (F.log("pa0") - F.log("pr0")).alias("ratio"))
 
 
 def judge(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", rules=RULES, reject_words=REJECT_WORDS) -> DataFrame:
@@ -90,23 +90,30 @@ def judge(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", rules
     texts, _ = materialize(
         rows.groupBy("text").agg(F.sum(F.when(named, 1).otherwise(0)).alias("r"),
                                  F.sum(F.when(~named & (F.coalesce(verdicts, F.lit("")) != "block"), 1).otherwise(0)).alias("a"))
-        .filter("text != ''").withColumn("held", F.expr(f"pmod(xxhash64(text), {HELD_OUT}) = 0"))
+        .filter("text != ''").withColumn("fold", F.expr(f"int(pmod(xxhash64(text), {FOLDS}))"))
         .withColumn("tid", F.monotonically_increasing_id()), "urls")
 
     padded = F.concat(F.lit("^" * (ORDER - 1)), F.col("text"), F.lit("$"))
     # every window in one linear scan of the text
     cut = F.explode(F.regexp_extract_all(padded, F.lit(f"(?s)(?=(.{{{ORDER}}}))"), F.lit(1)))
-    windows, _ = materialize(
-        texts.select(F.expr("if(held, 0, a)").alias("a"), F.expr("if(held, 0, r)").alias("r"), cut.alias("window"))
-        .groupBy("window").agg(F.sum("a").alias("a"), F.sum("r").alias("r")), "windows")
-    ratios = _counted(windows).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    means = (texts.select("tid", F.expr(f"int(pmod(tid, {SALTS}))").alias("salt"), cut.alias("window"))
-             .join(ratios, ["window", "salt"]).groupBy("tid").agg(F.avg("ratio").alias("score")))
+    parts, _ = materialize(
+        texts.select("fold", "a", "r", cut.alias("window"))
+        .groupBy("window", "fold").agg(F.sum("a").alias("a"), F.sum("r").alias("r")), "windows")
+    # a model without each fold, and as number FOLDS the one of all texts
+    windows = (parts.withColumn("model", F.explode(F.sequence(F.lit(0), F.lit(FOLDS)))).groupBy("model", "window")
+               .agg(*[F.sum(F.expr(f"if(model = fold, 0, {x})")).alias(x) for x in "ar"]))
+    ratios = (_counted(windows).groupBy("window")
+              .agg(*[F.max(F.when(F.col("model") == k, F.col("ratio"))).alias(f"m{k}") for k in range(FOLDS + 1)])
+              .select("window", F.array(*[f"m{k}" for k in range(FOLDS)]).alias("unseen"), F.col(f"m{FOLDS}").alias("ratio"))
+              .withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))))
+    means = (texts.select("tid", "fold", F.expr(f"int(pmod(tid, {SALTS}))").alias("salt"), cut.alias("window"))
+             .join(ratios, ["window", "salt"]).groupBy("tid")
+             .agg(F.avg("ratio").alias("score"), F.avg(F.expr("unseen[fold]")).alias("unseen")))
     scored, _ = materialize(texts.join(means, "tid").drop("tid"), "scored")
-    # calibration: two quantiles of texts the models have not seen
-    low, high = (scored.filter("held").agg(
-        F.percentile_approx(F.when(F.expr("a > 0 and r = 0"), F.col("score")), 0.02, 10_000),
-        F.percentile_approx(F.when(F.expr("r > 0 and a = 0"), F.col("score")), 0.98, 10_000)).first())
+    # calibration: two quantiles of scores by models that have not seen the text
+    low, high = (scored.agg(
+        F.percentile_approx(F.when(F.expr("a > 0 and r = 0"), F.col("unseen")), 0.02, 10_000),
+        F.percentile_approx(F.when(F.expr("r > 0 and a = 0"), F.col("unseen")), 0.98, 10_000)).first())
     if low is None or high is None:  # a kind is missing: nothing to tell apart
         cutoff = float("-inf")
     else:

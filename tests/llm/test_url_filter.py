@@ -99,3 +99,13 @@ def test_models_match_brute_force(spark):
     want = brute_ratio(texts)
     assert got.keys() == want.keys()
     assert all(got[w] == pytest.approx(want[w], abs=1e-9) for w in want)
+
+
+@pytest.mark.parametrize("spam", [f"http://{w}.{d}.com/" for w in ("casino", "porn", "pills", "spam") for d in ("lucky", "best", "q7")][::3])
+def test_one_rejected_text_is_enough(spark, spam):
+    """A third of the rows is one host whose paths differ in digits only."""
+    urls = [f"http://news{i % 7}.{n}.org/{n}/page/{i}" for i in range(20) for n in ("daily", "garden", "music", "school", "travel")]
+    rows = [(i, u, "", "", 0) for i, u in enumerate([*urls, *[f"{spam}{i}" for i in range(50)]])]
+    got = {r.page_id: r.verdict for r in uf.judge(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert {got[i] for i in range(len(urls), len(rows))} == {"block"}
+    assert sum(got[i] != "allow" for i in range(len(urls))) <= 0.03 * len(urls)
