@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import json
 import random
+import re
 from collections import Counter
 from collections.abc import Iterator
 
@@ -31,6 +32,7 @@ from quarry.plans.materialize import materialize
 
 CAPACITY = 1024
 END = 2                # token after each document
+LONG = 100_000         # characters; longer stretches without a cut go to the slower encoder
 ISLANDS = 4
 ROUNDS = 2
 GENERATIONS = 10
@@ -56,11 +58,41 @@ def vocabulary_ranks(tokenizer_json: str) -> dict[bytes, int]:
     return {bytes(byte_of[c] for c in token): i for token, i in spec["model"]["vocab"].items() if token not in special}
 
 
+# no token of the split pattern goes on past a printable ASCII character into white space
+_CUT = re.compile(r"(?<=[!-~])[ \n]")
+
+
+def text_parts(text: str) -> list[str]:
+    """Parts of a long text that are encoded on their own with the same ids."""
+    if len(text) < LONG:
+        return [text]
+    cuts = [0]
+    for found in _CUT.finditer(text):
+        if found.start() - cuts[-1] >= LONG // 2:
+            cuts.append(found.start())
+    return [text[a:b] for a, b in zip(cuts, [*cuts[1:], len(text)], strict=True)]
+
+
 def encoder(tokenizer_json: str):
-    """Encoder of the vocabulary; the file's special strings are plain text."""
+    """Function from a text to its ids, those of ``tokenizers``; the file's
+    special strings are plain text.  ``tiktoken`` is faster but its split
+    pattern fails on a million blanks, so long parts go to ``tokenizers``."""
     import tiktoken
+    from tokenizers import Tokenizer
+
+    fast = tiktoken.Encoding("byte_bpe", pat_str=SPLIT, mergeable_ranks=vocabulary_ranks(tokenizer_json), special_tokens={})
+    whole = Tokenizer.from_str(tokenizer_json)
+    whole.encode_special_tokens = True
 
-    return tiktoken.Encoding("byte_bpe", pat_str=SPLIT, mergeable_ranks=vocabulary_ranks(tokenizer_json), special_tokens={})
+    def encode(text: str) -> list[int]:
+        ids: list[int] = []
+        for part in text_parts(text):
+            if len(part) < LONG:
+                ids += fast.encode_ordinary(part)
+            else:
+                ids += whole.encode_batch_fast([part], add_special_tokens=False)[0].ids
+        return ids
+    return encode
 
 
 def default_tokenizer() -> str:
@@ -82,7 +114,7 @@ def _pieces_fn(shared, capacity: int, end: int):
         key = hash(shared.value)
         if key not in packing._ENCODERS:  # once a worker
             packing._ENCODERS[key] = packing.encoder(shared.value)
-        encode = packing._ENCODERS[key].encode_ordinary
+        encode = packing._ENCODERS[key]
         for batch in batches:
             for at, texts in text_blocks(batch.column(1)):
                 own, piece, start, length, crc = [], [], [], [], []

@@ -125,3 +125,11 @@ def test_slots_cover_each_rank_once():
     for size, rank, _, _ in table.tolist():
         by[size].append(rank)
     assert by == {5: [0, 4, 8], 3: [0, 4], 2: [0]}
+
+
+def test_very_long_white_space_and_words(spark, reference):
+    rows = [(1, "word" + " " * 2_000_000 + "word"), (2, "word" + "\n" * 2_000_000 + "word"), (3, "ab" * 100_000),
+            (4, "it's 1 word, \n\n and! \x1c 漢字  " * 20_000), (5, "a " + "\t \n" * 200_000)]
+    df = spark.createDataFrame([(i, t, "p", 1, 2, 3) for i, t in rows], SCHEMA)
+    got = packing.pack(df).collect()
+    assert Counter((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in got) == brute_pieces(rows, reference)
