@@ -41,7 +41,7 @@ def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row per piece with its sequence and offset."""
-    return packing.pack(docs)
+    return packing.pack(docs, special=True)
 
 
 STAGES = [

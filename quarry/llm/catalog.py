@@ -36,7 +36,7 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(table(spark, sf_dir, "documents"))
+    return packing.pack(table(spark, sf_dir, "documents"), special=True)
 
 
 def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -73,21 +73,23 @@ def text_parts(text: str) -> list[str]:
     return [text[a:b] for a, b in zip(cuts, [*cuts[1:], len(text)], strict=True)]
 
 
-def encoder(tokenizer_json: str):
-    """Function from a text to its ids, those of ``tokenizers``; the file's
-    special strings are plain text.  ``tiktoken`` is faster but its split
-    pattern fails on a million blanks, so long parts go to ``tokenizers``."""
+def encoder(tokenizer_json: str, special: bool = False):
+    """Function from a text to its ids, those of ``tokenizers``.  The file's
+    special strings are single tokens if ``special``, else plain text.
+    ``tiktoken`` is faster but its split pattern fails on a million blanks, so
+    long parts and those with special tokens go to ``tokenizers``."""
     import tiktoken
     from tokenizers import Tokenizer
 
     fast = tiktoken.Encoding("byte_bpe", pat_str=SPLIT, mergeable_ranks=vocabulary_ranks(tokenizer_json), special_tokens={})
     whole = Tokenizer.from_str(tokenizer_json)
-    whole.encode_special_tokens = True
+    whole.encode_special_tokens = not special
+    added = [t["content"] for t in json.loads(tokenizer_json).get("added_tokens", [])] if special else []
 
     def encode(text: str) -> list[int]:
         ids: list[int] = []
         for part in text_parts(text):
-            if len(part) < LONG:
+            if len(part) < LONG and not any(t in part for t in added):
                 ids += fast.encode_ordinary(part)
             else:
                 ids += whole.encode_batch_fast([part], add_special_tokens=False)[0].ids
@@ -104,16 +106,16 @@ def default_tokenizer() -> str:
 _ENCODERS: dict = {}
 
 
-def _pieces_fn(shared, capacity: int, end: int):
+def _pieces_fn(shared, capacity: int, end: int, special: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zlib
 
         from quarry.llm import packing
         from quarry.llm.words import text_blocks
 
-        key = hash(shared.value)
+        key = hash((shared.value, special))
         if key not in packing._ENCODERS:  # once a worker
-            packing._ENCODERS[key] = packing.encoder(shared.value)
+            packing._ENCODERS[key] = packing.encoder(shared.value, special)
         encode = packing._ENCODERS[key]
         for batch in batches:
             for at, texts in text_blocks(batch.column(1)):
@@ -309,10 +311,11 @@ def _place_fn(shared, names: list[str]):
 # -- the operator ----------------------------------------------------------------------
 
 def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY,
-         end: int = END, tokenizer_path: str | None = None) -> DataFrame:
+         end: int = END, tokenizer_path: str | None = None, special: bool = False) -> DataFrame:
     """One row per piece: doc_id, piece, start, length, ids_crc32, sequence_id
     and offset.  Whole pieces of ``capacity`` tokens are sequences by
-    themselves."""
+    themselves.  With ``special``, special strings in texts are one token, as
+    ``tokenizers`` takes them by default."""
     spark = docs.sparkSession
     prepare(spark)
     with open(tokenizer_path or default_tokenizer(), encoding="utf-8") as file:
@@ -320,7 +323,7 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capaci
     kind = docs.schema[id_col].dataType.simpleString()
     pieces, _ = materialize(
         docs.select(F.col(id_col), F.coalesce(F.col(text_col), F.lit("")))
-        .mapInArrow(_pieces_fn(shared, capacity, end),
+        .mapInArrow(_pieces_fn(shared, capacity, end, special),
                     f"doc_id {kind}, piece int, start long, length long, ids_crc32 long")
         .withColumn("row", F.monotonically_increasing_id()), "pieces")
     # at most capacity - 1 lengths

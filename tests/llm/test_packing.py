@@ -133,3 +133,17 @@ def test_very_long_white_space_and_words(spark, reference):
     df = spark.createDataFrame([(i, t, "p", 1, 2, 3) for i, t in rows], SCHEMA)
     got = packing.pack(df).collect()
     assert Counter((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in got) == brute_pieces(rows, reference)
+
+
+def test_queries_take_special_strings_as_the_default_tokenizer(spark, tmp_path):
+    from tokenizers import Tokenizer
+
+    import corpus_pipeline
+    from quarry.llm import catalog
+    tok = Tokenizer.from_file(packing.default_tokenizer())
+    rows = [(1, "a <|endoftext|> b"), (2, "<|endoftext|>" * 3), (3, "plain <|endoftext"), (4, "it's <|endoftext|>\n\n " * 9000)]
+    df = spark.createDataFrame([(i, t, "p", 1, 2, 3) for i, t in rows], SCHEMA)
+    df.write.parquet(f"{tmp_path}/documents.parquet")
+    want = brute_pieces(rows, lambda t: [*tok.encode(t, add_special_tokens=False).ids, packing.END])
+    for out in (catalog.op6_packing(spark, str(tmp_path)), corpus_pipeline.pack_sequences(spark, df, str(tmp_path))):
+        assert Counter((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in out.collect()) == want
