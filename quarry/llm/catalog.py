@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from quarry.llm import exact_dedup, fingerprint, langid, near_dedup, packing, quality, sentencepiece, substring_dedup, toxicity, url_filter
+from quarry.llm import exact_dedup, filter_audit, fingerprint, langid, near_dedup, packing, quality, sentencepiece, substring_dedup, toxicity, url_filter, whitening
 from quarry.plans.tables import table
 
 
@@ -60,6 +60,14 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.expr(f"cast(score >= {toxicity.THRESHOLD} AS int)").alias("predicted"), "quoted_weight")
 
 
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.filter_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op1_near_dedup": op1_near_dedup,
     "op2_url_filter": op2_url_filter,
@@ -71,6 +79,8 @@ QUERIES = {
     "op8_language_id": op8_language_id,
     "op9_toxicity": op9_toxicity,
     "op10_substring_dedup": op10_substring_dedup,
+    "op12_whitening": op12_whitening,
+    "op13_filter_audit": op13_filter_audit,
 }
 
 # words of whole texts: maximal runs without space and 0x09-0x0D
@@ -119,6 +129,36 @@ ORACLE = {
         SELECT w.doc_id, len(w.ws) AS n_words, coalesce(len(g.ps), 0) AS n_removed,
                sha256(coalesce(array_to_string(k.ws, ' '), '')) AS kept_sha256
         FROM w LEFT JOIN gone g ON g.doc_id = w.doc_id LEFT JOIN kept k ON k.doc_id = w.doc_id""",
+    # every document, order and step spelled out
+    "op13_filter_audit": f"""
+        WITH d AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS x,
+                          {_WORDS.format("coalesce(text, '')")} AS ws
+                   FROM documents),
+        lab AS (SELECT doc_id, coalesce(bool_or(quality = 1), false) AS good, coalesce(bool_or(toxic = 1), false) AS toxic
+                FROM labels GROUP BY doc_id),
+        f AS (SELECT d.doc_id, part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
+                     (CASE WHEN len(ws) < 200 THEN 'A' ELSE '' END)
+                     || (CASE WHEN 100 * len(list_distinct(ws)) < 50 * len(ws) THEN 'B' ELSE '' END)
+                     || (CASE WHEN 100 * length(regexp_replace(x, '[^A-Z]', '', 'g')) > 2 * length(x) THEN 'C' ELSE '' END)
+                     || (CASE WHEN regexp_matches(x, '[#$%&*|]') THEN 'D' ELSE '' END)
+                     || (CASE WHEN d.doc_id > min(d.doc_id) OVER (PARTITION BY x) THEN 'E' ELSE '' END) AS fails
+              FROM d LEFT JOIN lab ON lab.doc_id = d.doc_id),
+        l AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS c),
+        orders AS (SELECT a.c || b.c || c.c || d.c || e.c AS filter_order FROM l a, l b, l c, l d, l e
+                   WHERE len(list_distinct([a.c, b.c, c.c, d.c, e.c])) = 5),
+        each AS (SELECT part, filter_order, good, toxic, fails,
+                        coalesce(list_min([strpos(filter_order, z) for z in string_split(fails, '') if z <> '']), 6) AS gone
+                 FROM f, orders),
+        cells AS (SELECT part, filter_order, step, substr(filter_order, CAST(step AS INTEGER), 1) AS c,
+                         count(*) FILTER (WHERE gone > step) AS kept, count(*) FILTER (WHERE gone = step) AS removed,
+                         count(*) FILTER (WHERE gone < step AND contains(fails, substr(filter_order, CAST(step AS INTEGER), 1))) AS redundant,
+                         count(*) FILTER (WHERE fails = substr(filter_order, CAST(step AS INTEGER), 1)) AS unique_fails,
+                         count(*) FILTER (WHERE gone = step AND good) AS good_lost,
+                         count(*) FILTER (WHERE gone = step AND toxic) AS toxic_lost
+                  FROM each, (SELECT unnest([1, 2, 3, 4, 5]) AS step) GROUP BY part, filter_order, step)
+        SELECT part, filter_order, CAST(step AS INTEGER) AS step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+               CAST(sum(removed) OVER (PARTITION BY part, c) AS BIGINT) AS shapley
+        FROM cells""",
     "op5_exact_dedup": """
         SELECT doc_id,
                max(doc_id) OVER w AS keep_id,
