@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from quarry.llm import exact_dedup, filter_audit, fingerprint, langid, near_dedup, packing, quality, sentencepiece, substring_dedup, toxicity, url_filter, whitening
+from quarry.llm import exact_dedup, filter_audit, fingerprint, html_text, langid, near_dedup, packing, quality, sentencepiece, substring_dedup, toxicity, url_filter, whitening
 from quarry.plans.tables import table
 
 
@@ -60,6 +60,10 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.expr(f"cast(score >= {toxicity.THRESHOLD} AS int)").alias("predicted"), "quoted_weight")
 
 
+def op11_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
 def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(table(spark, sf_dir, "embeddings"))
 
@@ -79,6 +83,7 @@ QUERIES = {
     "op8_language_id": op8_language_id,
     "op9_toxicity": op9_toxicity,
     "op10_substring_dedup": op10_substring_dedup,
+    "op11_html_text": op11_html_text,
     "op12_whitening": op12_whitening,
     "op13_filter_audit": op13_filter_audit,
 }
