@@ -1,4 +1,4 @@
-"""Palindrome radii of one text, and the Arrow-batched UDFs built on them.
+"""Palindrome radii of a block of texts, and the Arrow functions built on them.
 
 For every centre ``c`` of a text ``t`` of length ``n``:
 
@@ -6,145 +6,173 @@ For every centre ``c`` of a text ``t`` of length ``n``:
 * ``even[c]`` = largest ``r`` with ``t[c-r+1 .. c+r]`` a palindrome
   (``0``: ``t[c] != t[c+1]``; always ``0`` at ``c = n-1``).
 
-All centres are expanded together with numpy, one radius step per pass over
-the centres still growing; the work is the sum of all radii, which is small
-for prose.  If a text makes that sum large (long runs of one character), the
-search switches to Manacher's linear-time scan, so no text costs more than
-O(n) steps.
+The texts of a block stand in one array of code points with separators that
+equal nothing else, and the centres of all of them grow together, one radius a
+pass over those still growing.  Prose is done after a few short passes.  Texts
+in which a centre still grows after ``PASSES`` are finished by one scan that is
+linear whatever the text, so no text costs more than O(n) steps and no radius
+more than two numbers.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import types as T
 from pyspark.sql.functions import pandas_udf
 
-_BUDGET_PER_CHAR = 64
-# texts up to this length are expanded with plain Python (cheaper than
-# setting up numpy arrays for a handful of centres)
-_SHORT = 48
+PASSES = 64
+BLOCK_CHARS = 1 << 19       # of the texts that grow together
+CHUNK = 256                 # centres that share one piece of their text
+BATCH_BYTES = 4 << 20       # of one emitted batch
+
+
+def _block_codes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Code points of the texts with a separator of its own before each text and
+    at the end, and the place of each text's first character."""
+    sizes = np.array([len(t) for t in texts], dtype=np.int64)
+    first = np.cumsum(np.r_[1, sizes + 1])[:-1]
+    codes = np.frombuffer(("\0" + "\0".join(texts) + "\0").encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+    marks = np.r_[first - 1, len(codes) - 1]
+    codes[marks] = -1 - np.arange(len(marks))
+    return codes, first
+
+
+def _grow(codes: np.ndarray, shift: int) -> tuple[np.ndarray, np.ndarray]:
+    """Radii after at most PASSES passes and the centres that still grow; with
+    ``shift`` 1 the centres lie behind their character."""
+    radius = np.zeros(len(codes), np.int32)
+    alive = np.flatnonzero(codes >= 0)
+    for k in range(1, PASSES + 1):
+        alive = alive[codes[alive - k + shift] == codes[alive + k]]
+        if not alive.size:
+            break
+        radius[alive] = k
+    return radius, alive
+
+
+def _linear_radii(codes: list[int]) -> tuple[np.ndarray, np.ndarray]:
+    """Radii of one text by a scan that mirrors what it knows: it never compares
+    a character right of the rightmost palindrome's end twice."""
+    n = len(codes)
+    found = []
+    for shift in (0, 1):
+        radius = np.zeros(n, np.int32).tolist()
+        centre, end = -1, -1                       # of the palindrome that reaches furthest
+        for c in range(n - shift):
+            r = 0
+            if c < end:
+                r = min(radius[2 * centre - c], end - c)
+            lo, hi = c - r - 1 + shift, c + r + 1
+            while lo >= 0 and hi < n and codes[lo] == codes[hi]:
+                lo -= 1
+                hi += 1
+            radius[c] = r = hi - c - 1
+            if c + r > end:
+                centre, end = c, c + r
+        found.append(np.array(radius, np.int32))
+    return found[0], found[1]
+
+
+def block_radii(texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
+    """``(odd, even)`` radius arrays of each text (see module doc)."""
+    codes, first = _block_codes(texts)
+    odd, open_odd = _grow(codes, 0)
+    even, open_even = _grow(codes, 1)
+    unfinished = set(np.searchsorted(first, np.r_[open_odd, open_even], side="right") - 1)
+    out = []
+    for k, (text, at) in enumerate(zip(texts, first, strict=True)):
+        if k in unfinished:
+            out.append(_linear_radii(codes[at:at + len(text)].tolist()))
+        else:
+            out.append((odd[at:at + len(text)], even[at:at + len(text)]))
+    return out
 
 
-def _codes(text: str) -> np.ndarray:
-    return np.frombuffer(text.encode("utf-32-le"), dtype=np.uint32)
+def radii(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """``(odd, even)`` radius arrays of one text."""
+    return block_radii([text])[0]
 
 
-def _expand(a: np.ndarray, even: bool, budget: int) -> np.ndarray | None:
-    n = a.size
-    radius = np.zeros(n, dtype=np.int32)
-    alive = np.arange(n - 1 if even else n)
-    k, work = 1, 0
-    shift = 1 if even else 0
-    while alive.size:
-        lo = alive - k + shift
-        hi = alive + k
-        inside = (lo >= 0) & (hi < n)
-        alive, lo, hi = alive[inside], lo[inside], hi[inside]
-        alive = alive[a[lo] == a[hi]]
-        radius[alive] = k
-        work += alive.size
-        if work > budget:
-            return None
-        k += 1
-    return radius
-
-
-def _manacher(a: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Linear-time radii on the interleaved sequence ``# a0 # a1 # ... #``."""
-    seq = [-1]
-    for x in a.tolist():
-        seq += [x, -1]
-    m = len(seq)
-    p = [0] * m
-    centre = right = 0
-    for i in range(m):
-        r = min(right - i, p[2 * centre - i]) if i < right else 0
-        while i - r - 1 >= 0 and i + r + 1 < m and seq[i - r - 1] == seq[i + r + 1]:
-            r += 1
-        p[i] = r
-        if i + r > right:
-            centre, right = i, i + r
-    n = a.size
-    odd = np.array([p[2 * c + 1] // 2 for c in range(n)], dtype=np.int32)
-    even = np.array([p[2 * c + 2] // 2 for c in range(n)], dtype=np.int32)
-    return odd, even
-
-
-def _radii_short(text: str) -> tuple[list[int], list[int]]:
-    n = len(text)
-    odd, even = [0] * n, [0] * n
-    for c in range(n):
-        k = 1
-        while c - k >= 0 and c + k < n and text[c - k] == text[c + k]:
-            k += 1
-        odd[c] = k - 1
-        k = 1
-        while c - k + 1 >= 0 and c + k < n and text[c - k + 1] == text[c + k]:
-            k += 1
-        even[c] = k - 1
-    return odd, even
+def _blocks(texts: list[str | None]) -> Iterator[tuple[int, list[str]]]:
+    """Runs of texts of at most BLOCK_CHARS together (a longer text alone) and
+    the place of the first; a NULL text goes as an empty one."""
+    lo, chars = 0, 0
+    for k, t in enumerate(texts):
+        n = len(t) if t else 0
+        if k > lo and chars + n > BLOCK_CHARS:
+            yield lo, [x or "" for x in texts[lo:k]]
+            lo, chars = k, 0
+        chars += n
+    if lo < len(texts):
+        yield lo, [x or "" for x in texts[lo:]]
 
 
-def radii(text: str) -> tuple[np.ndarray, np.ndarray]:
-    """``(odd, even)`` radius arrays of ``text`` (see module doc)."""
-    if len(text) <= _SHORT:
-        odd, even = _radii_short(text)
-        return np.array(odd, dtype=np.int32), np.array(even, dtype=np.int32)
-    a = _codes(text)
-    if a.size == 0:
-        return np.zeros(0, np.int32), np.zeros(0, np.int32)
-    budget = _BUDGET_PER_CHAR * a.size
-    odd = _expand(a, False, budget)
-    even = _expand(a, True, budget) if odd is not None else None
-    if odd is None or even is None:
-        return _manacher(a)
-    return odd, even
+def _longest(odd: np.ndarray, even: np.ndarray) -> tuple[int, int]:
+    if odd.size == 0:
+        return 0, 0
+    o, e = int(odd.argmax()), int(even.argmax())
+    a, b = (o - int(odd[o]), 2 * int(odd[o]) + 1), (e - int(even[e]) + 1, 2 * int(even[e]))
+    return a if a[1] > b[1] else b
 
 
 def longest_span(text: str) -> tuple[int, int]:
     """``(start, length)`` of the longest palindromic substring, 0-based
     start; among equally long ones the earliest."""
-    if len(text) <= _SHORT:
-        odd, even = _radii_short(text)
-        best_start, best = 0, 0
-        for c in range(len(text)):
-            if 2 * odd[c] + 1 > best:
-                best, best_start = 2 * odd[c] + 1, c - odd[c]
-            if 2 * even[c] > best:
-                best, best_start = 2 * even[c], c - even[c] + 1
-        return best_start, best
-    odd, even = radii(text)
-    if odd.size == 0:
-        return 0, 0
-    centres = np.arange(odd.size)
-    lengths = np.concatenate([2 * odd + 1, 2 * even])
-    starts = np.concatenate([centres - odd, centres - even + 1])
-    best = lengths.max()
-    return int(starts[lengths == best].min()), int(best)
+    return _longest(*radii(text))
 
 
 _SPAN = T.StructType([T.StructField("start", T.IntegerType()),
                       T.StructField("len", T.IntegerType())])
-_CUTS = T.StructType([T.StructField("odd", T.ArrayType(T.StringType())),
-                      T.StructField("even", T.ArrayType(T.StringType()))])
 
 
 @pandas_udf(_SPAN)
 def longest_span_udf(texts: pd.Series) -> pd.DataFrame:
-    out = [longest_span(t) if isinstance(t, str) else (None, None) for t in texts]
-    return pd.DataFrame(out, columns=["start", "len"], dtype="Int32")
-
-
-@pandas_udf(_CUTS)
-def centre_palindromes_udf(texts: pd.Series) -> pd.DataFrame:
-    odd, even = [], []
-    for t in texts:
-        if isinstance(t, str):
-            o, e = (r.tolist() for r in radii(t))
-            odd.append([t[c - r:c + r + 1] for c, r in enumerate(o)])
-            even.append([t[c - r + 1:c + r + 1] for c, r in enumerate(e[:-1])] + [None] * min(len(t), 1))
-        else:
-            odd.append(None)
-            even.append(None)
-    return pd.DataFrame({"odd": odd, "even": even})
+    values = [t if isinstance(t, str) else None for t in texts]
+    spans = [_longest(*r) for _, block in _blocks(values) for r in block_radii(block)]
+    return pd.DataFrame([(None, None) if t is None else s for t, s in zip(values, spans, strict=True)],
+                        columns=["start", "len"], dtype="Int32")
+
+
+def centre_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``mapInArrow`` body over (id, text): rows ``(id, base, off, piece, odd,
+    even)`` of CHUNK centres from ``base`` on, with the piece of the text from
+    ``off`` on that holds their palindromes and their radii (``even`` is NULL at
+    the last character).  Batches are handed over at BATCH_BYTES, so what a text
+    gives is never held together, however long its palindromes are."""
+    rows: list[tuple] = []
+    size = 0
+
+    def batch_of(ids: pa.Array) -> pa.RecordBatch:
+        at, base, off, piece, odd, even = zip(*rows, strict=True)
+        lists = [pa.ListArray.from_arrays(np.cumsum([0, *map(len, x)]).astype(np.int32), np.concatenate(x)) for x in (odd, even)]
+        blank = lists[1].values.to_numpy() < 0
+        lists[1] = pa.ListArray.from_arrays(lists[1].offsets, pa.array(lists[1].values.to_numpy(), mask=blank))
+        return pa.RecordBatch.from_arrays(
+            [ids.take(pa.array(at)), pa.array(base, pa.int32()), pa.array(off, pa.int32()), pa.array(piece, pa.string()), *lists],
+            names=["id", "base", "off", "piece", "odd", "even"])
+
+    for batch in batches:
+        texts = batch.column(1).to_pylist()
+        for at, block in _blocks(texts):
+            for k, (text, (odd, even)) in enumerate(zip(block, block_radii(block), strict=True)):
+                n = len(text)
+                if not n:
+                    continue
+                even = even.copy()
+                even[-1] = -1
+                place, starts = np.arange(n), np.arange(0, n, CHUNK)
+                lo = np.minimum.reduceat(np.minimum(place - odd, place - even + 1), starts)
+                hi = np.maximum.reduceat(np.maximum(place + odd, place + even), starts) + 1
+                for c, a, b in zip(starts.tolist(), lo.tolist(), hi.tolist(), strict=True):
+                    rows.append((at + k, c, a, text[a:b], odd[c:c + CHUNK], even[c:c + CHUNK]))
+                    size += 4 * (b - a) + 8 * CHUNK
+                    if size > BATCH_BYTES:
+                        yield batch_of(batch.column(0))
+                        rows, size = [], 0
+        if rows:
+            yield batch_of(batch.column(0))
+            rows, size = [], 0

@@ -335,11 +335,11 @@ def q_palindromes_by_center(spark, sf_dir):
 
 def q_palindromes_by_center_docs(spark, sf_dir):
     """Every centre of every whole document, summed up per document."""
-    per = text.palindromes_by_center(table(spark, sf_dir, "documents"), "doc_id", "text")
+    per = text.palindrome_lengths(table(spark, sf_dir, "documents"), "doc_id", "text")
     return per.groupBy("id").agg(
-        F.count(F.lit(1)).alias("centers"), F.sum(F.length("odd")).alias("odd_chars"),
-        F.coalesce(F.sum(F.length("even")), F.lit(0)).alias("even_chars"),
-        F.greatest(F.max(F.length("odd")), F.coalesce(F.max(F.length("even")), F.lit(0))).alias("longest"))
+        F.count(F.lit(1)).alias("centers"), F.sum("odd_len").alias("odd_chars"),
+        F.coalesce(F.sum("even_len"), F.lit(0)).alias("even_chars"),
+        F.greatest(F.max("odd_len"), F.coalesce(F.max("even_len"), F.lit(0))).alias("longest"))
 
 
 def q_longest_palindrome(spark, sf_dir):

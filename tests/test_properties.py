@@ -5,7 +5,7 @@ import pytest
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
-from quarry.functions.palindrome import longest_span, radii
+from quarry.functions.palindrome import _blocks, block_radii, longest_span, radii
 from quarry.operators import cluster, graph, matrix, stats, text
 
 
@@ -235,6 +235,33 @@ def test_palindromes_by_center_long_text(spark):
     assert [tuple(r) for r in out.where("id = 4").collect()] == [(4, 0, "a", None)]
 
 
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.one_of(st.none(), st.text(alphabet="ab\0", max_size=200)), max_size=8))
+def test_block_radii_vs_definition(texts):
+    for at, block in _blocks(texts):
+        for t, (odd, even) in zip(texts[at:], block_radii(block), strict=False):
+            t = t or ""
+            for c in range(len(t)):
+                r = max(k for k in range(min(c, len(t) - 1 - c) + 1) if t[c - k:c + k + 1] == t[c - k:c + k + 1][::-1])
+                assert odd[c] == r
+                r = max(k for k in range(min(c + 1, len(t) - 1 - c) + 1) if t[c - k + 1:c + k + 1] == t[c - k + 1:c + k + 1][::-1])
+                assert even[c] == r
+
+
+@pytest.mark.parametrize("n", [66_000, 200_000])
+def test_palindromes_of_a_long_run_stay_bounded(spark, n):
+    """All palindromes of the run together would be n * n letters."""
+    df = spark.createDataFrame([(1, "a" * n), (2, "ab" * 40 + "x")], "id int, text string")
+    assert text.palindromes_by_center(df, "id", "text").count() == n + 81
+    per = text.palindrome_lengths(df, "id", "text").groupBy("id").agg(
+        F.sum("odd_len").alias("o"), F.sum("even_len").alias("e"), F.max("odd_len").alias("m")).orderBy("id").collect()
+    half = n // 2
+    assert per[0].o == 2 * half * half and per[0].m == n - 1   # 1 + 3 + .. up and down again
+    assert per[0].e == sum(2 * min(c + 1, n - 1 - c) for c in range(n - 1))
+    some = text.palindromes_by_center(df, "id", "text").where("id = 1 and center % 30000 = 5").collect()
+    assert all(r.odd == "a" * (2 * min(r.center, n - 1 - r.center) + 1) for r in some) and len(some) == -(-(n - 5) // 30000)
+
+
 def test_residuals_with_gaps_and_empty_weights(spark):
     from quarry.operators import regression
 
