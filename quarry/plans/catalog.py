@@ -327,6 +327,13 @@ def q_linreg_gd(spark, sf_dir):
     return round_doubles(regression.linreg_gd(rows, w0, rate=0.01, iterations=2))
 
 
+def q_linreg_gd_many(spark, sf_dir):
+    """Fifty iterations, from start weights that also lie beyond the rows."""
+    rows = _regression_rows(spark, sf_dir)
+    w0 = spark.range(1, 131, 2).select(F.col("id").cast("int").alias("j"), (F.col("id") * 0.01).alias("w"))
+    return round_doubles(regression.linreg_gd(rows, w0, rate=0.001, iterations=50))
+
+
 # -- palindromes --------------------------------------------------------------
 
 def q_palindromes_by_center(spark, sf_dir):
@@ -394,6 +401,7 @@ QUERIES = {
     "residuals": q_residuals,
     "gradient": q_gradient,
     "linreg_gd": q_linreg_gd,
+    "linreg_gd_many": q_linreg_gd_many,
     "palindromes_by_center": q_palindromes_by_center,
     "palindromes_by_center_docs": q_palindromes_by_center_docs,
     "longest_palindrome": q_longest_palindrome,

@@ -257,6 +257,22 @@ ORACLE = {
                     FROM r JOIN e1 USING (vec_id) GROUP BY r.j)
         SELECT w1.j, round(w1.w + 0.01 * g2.g, 6) AS w
         FROM w1 JOIN g2 USING (j)""",
+    "linreg_gd_many": f"""
+        WITH RECURSIVE r AS MATERIALIZED {_RG},
+        g AS MATERIALIZED (SELECT a.j AS i, b.j, sum(a.x * b.x) AS v FROM r a JOIN r b USING (vec_id) GROUP BY a.j, b.j),
+        sys AS MATERIALIZED (SELECT list(row ORDER BY i) AS gram, list(t ORDER BY i) AS target
+                FROM (SELECT i, list(v ORDER BY j) AS row FROM g GROUP BY i)
+                JOIN (SELECT j AS i, sum(x * y) AS t FROM r GROUP BY j) USING (i)),
+        step(n, w) AS (
+            SELECT 0, list_transform(range(1, len(target) + 1), lambda j: CASE WHEN j % 2 = 1 THEN 0.01 * CAST(j AS DOUBLE) ELSE 0.0 END)
+            FROM sys
+            UNION ALL
+            SELECT n + 1, list_transform(range(1, len(target) + 1), lambda j: w[j] + 0.001 * (target[j] - list_dot_product(gram[j], w)))
+            FROM step, sys WHERE n < 50)
+        SELECT CAST(j AS INTEGER) AS j, round(w, 6) AS w
+        FROM (SELECT unnest(range(1, len(w) + 1)) AS j, unnest(w) AS w FROM step WHERE n = 50)
+        UNION ALL
+        SELECT CAST(j AS INTEGER), round(0.01 * j, 6) FROM range(1, 131, 2) t(j) WHERE j > (SELECT max(j) FROM r)""",
     "palindromes_by_center": _NAME_RADII + """
         SELECT cs.id, CAST(cs.ctr AS INTEGER) AS center,
                substr(cs.s, cs.ctr - o.r + 1, 2 * o.r + 1) AS odd,

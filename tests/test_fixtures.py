@@ -4,8 +4,6 @@ Inputs and expected outputs are the committed fixture values, stated here as
 literal data (blank-separated fixtures re-written with tabs).
 """
 
-import os
-
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -233,21 +231,162 @@ def test_gradient_descent_vs_numpy(spark):
     assert [g[j + 1] for j in range(len(ALPHA))] == pytest.approx(want.tolist(), rel=1e-9)
 
 
-# optional larger fixture: a 100-point observation file (id, cluster, x1, x2)
-# and its expected assignment after one extra round, given by path
-KMEANS_100 = os.environ.get("QUARRY_KMEANS100_INPUT", "")
-KMEANS_100_GOLDEN = os.environ.get("QUARRY_KMEANS100_EXPECTED", "")
+def _numpy_descent(rows, w0, rate, iterations):
+    """Row by row, with the rules for short rows and missing values."""
+    d = max((len(x) for x, _ in rows if x is not None), default=0)
+    w = {j: 0.0 for j in range(1, d + 1)} | w0
+    for _ in range(iterations):
+        g = dict.fromkeys(w, 0.0)
+        for x, y in rows:
+            if x is not None and y is not None and None not in x:
+                e = y - sum(v * w[j] for j, v in enumerate(x, 1))
+                for j, v in enumerate(x, 1):
+                    g[j] += v * e
+        w = {j: v + rate * g[j] for j, v in w.items()}
+    return w
+
+
+@pytest.mark.parametrize("iterations", [0, 1, 2, 50])
+def test_descent_by_statistics_and_by_rows(spark, iterations):
+    rows = [([1.0, 2.0, -1.0], 3.0), ([2.0], 1.0), ([], 5.0), (None, 1.0), ([1.0, None], 2.0), ([4.0, 1.0, 1.0, 0.5], None),
+            ([0.5, -1.0], -2.0), ([1.0, 2.0, -1.0], 3.0)]
+    data = spark.createDataFrame(rows, "x array<double>, y double").repartition(3)
+    w0 = {2: 0.5, 9: 7.0, -1: 3.0}
+    start = spark.createDataFrame(list(w0.items()), "j int, w double")
+    want = _numpy_descent(rows, w0, 0.01, iterations) if iterations else w0
+    for width in (regression.GRAM_WIDTH, 3):  # one scan; a scan an iteration
+        if width == 3 and iterations == 50:
+            continue
+        got = regression.linreg_gd(data, start, 0.01, iterations, width=width).collect()
+        assert {r.j: pytest.approx(r.w, rel=1e-9) for r in got} == want and len(got) == len(want)
+
+
+def test_descent_scans_the_rows_once(spark, tmp_path):
+    """The rows count themselves as they are read."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+    data = spark.range(40).selectExpr("array(id / 40D, 1D) AS x", "id / 10D AS y").mapInArrow(count, "x array<double>, y double")
+    out = regression.linreg_gd(data, spark.createDataFrame([], "j int, w double"), 0.01, 50)
+    assert out.count() == 2 and out.collect() and seen.value == 40
+
+
+# fixed fixture values: 100 observations as id, start cluster, x, y and the cluster
+# after one extra round
+KMEANS_100 = """
+    0 0 82 97 3
+    1 2 27 27 2
+    2 3 71 71 3
+    3 1 3 33 2
+    4 1 51 43 0
+    5 0 73 54 3
+    6 2 20 51 1
+    7 1 41 25 2
+    8 3 26 54 1
+    9 0 38 75 1
+    10 3 96 17 0
+    11 2 66 40 0
+    12 2 20 28 2
+    13 2 98 49 3
+    14 3 22 3 2
+    15 2 75 31 0
+    16 0 76 49 3
+    17 1 61 99 1
+    18 1 44 49 1
+    19 3 50 88 1
+    20 3 29 98 1
+    21 2 71 14 0
+    22 0 81 63 3
+    23 2 50 37 0
+    24 3 38 78 1
+    25 0 46 9 2
+    26 3 42 35 2
+    27 0 29 24 2
+    28 3 15 91 1
+    29 1 74 7 0
+    30 0 7 62 1
+    31 1 13 76 1
+    32 1 82 21 0
+    33 3 89 0 0
+    34 2 46 28 2
+    35 3 20 46 1
+    36 0 57 13 0
+    37 1 14 23 2
+    38 0 10 10 2
+    39 3 60 77 3
+    40 3 27 55 1
+    41 0 6 18 2
+    42 3 75 2 0
+    43 0 35 30 2
+    44 2 25 11 2
+    45 2 12 27 2
+    46 3 67 44 3
+    47 3 46 49 1
+    48 0 87 43 3
+    49 0 31 90 1
+    50 0 80 63 3
+    51 0 57 7 0
+    52 2 99 67 3
+    53 3 20 8 2
+    54 1 79 55 3
+    55 3 86 63 3
+    56 0 54 22 0
+    57 3 77 68 3
+    58 0 56 2 0
+    59 0 46 29 2
+    60 0 51 6 2
+    61 3 69 33 0
+    62 0 21 98 1
+    63 0 36 27 2
+    64 1 42 59 1
+    65 3 98 47 3
+    66 3 82 75 3
+    67 1 45 78 1
+    68 3 54 24 0
+    69 1 3 57 1
+    70 3 54 13 0
+    71 0 20 11 2
+    72 0 22 88 1
+    73 2 63 14 0
+    74 3 92 15 0
+    75 2 38 53 1
+    76 2 24 32 2
+    77 3 20 39 2
+    78 0 46 60 1
+    79 1 39 13 2
+    80 1 25 58 1
+    81 3 88 72 3
+    82 1 49 44 0
+    83 0 68 14 0
+    84 3 72 6 0
+    85 3 9 32 2
+    86 2 29 32 2
+    87 1 69 54 3
+    88 0 54 37 0
+    89 2 28 23 2
+    90 2 25 26 2
+    91 3 68 85 3
+    92 2 67 83 3
+    93 2 41 55 1
+    94 3 2 21 2
+    95 0 88 13 0
+    96 1 53 16 0
+    97 1 75 66 3
+    98 3 84 45 3
+    99 0 51 13 2
+"""
 
 
-@pytest.mark.skipif(not (os.path.isfile(KMEANS_100) and os.path.isfile(KMEANS_100_GOLDEN)),
-                    reason="100-point fixture not given")
-def test_kmeans_100_points(spark):
-    schema = "id string, cluster int, x1 double, x2 double"
-    obs = sources.read_vectors(spark, KMEANS_100, lead="id string, cluster int")
+def test_kmeans_100_points(spark, tsv):
+    points = [line.split() for line in KMEANS_100.strip().split("\n")]
+    path = tsv([f"{i}\t{start}\t{x}.000000\t{y}.000000" for i, start, x, y, _ in points])
+    obs = sources.read_vectors(spark, path, lead="id string, cluster int")
     assigned, _ = cluster.kmeans(obs, max_rounds=1)
-    golden = {r["id"]: r["cluster"] for r in sources.read_tsv(spark, KMEANS_100_GOLDEN, schema).collect()}
-    got = {r["id"]: r["cluster"] for r in assigned.collect()}
-    assert len(golden) == 100 and got == golden
+    assert {r["id"]: str(r["cluster"]) for r in assigned.collect()} == {p[0]: p[4] for p in points}
+    assert len(points) == 100
 
 
 def test_reader_error_modes(spark, tsv):
