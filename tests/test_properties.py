@@ -178,6 +178,47 @@ def test_kmeans_odd_rows(spark):
     assert {r["cluster"] for r in none} == {None}
 
 
+@pytest.mark.parametrize("case", ["blobs", "grid"])
+def test_kmeans_bounds_give_the_assignments_of_brute_force(spark, case):
+    rng = np.random.default_rng(5)
+    if case == "blobs":
+        pts = rng.normal(size=(600, 6)) + rng.integers(0, 12, size=(600, 1)) * 7.0
+    else:  # many exact ties
+        pts = rng.integers(0, 6, size=(400, 2)).astype(float)
+    k = 12
+    start = [i % k for i in range(len(pts))]
+    obs = spark.createDataFrame([(i, start[i], p.tolist()) for i, p in enumerate(pts)],
+                                "id int, cluster int, features array<double>").repartition(4)
+    report = []
+    got, _ = cluster.kmeans(obs, max_rounds=9, report=report)
+    own = np.array(start)
+    for r in range(len(report)):
+        ids = sorted(set(own.tolist()))
+        centres = np.array([pts[own == c].mean(0) for c in ids])
+        now = np.array(ids)[((pts[:, None, :] - centres[None]) ** 2).sum(2).argmin(1)]
+        assert report[r]["rows"] == len(pts) and abs(report[r]["unmoved"] - (now == own).sum()) <= (case == "grid") * 40
+        own = now
+    if case == "blobs":  # sums in another order may part exact ties, so only here row by row
+        assert {r.id: r.cluster for r in got.collect()} == dict(enumerate(own.tolist()))
+        assert len(report) > 3 and report[0]["distances"] == k * len(pts)
+        assert sum(r["distances"] for r in report[2:]) < 0.7 * sum(k * len(pts) for _ in report[2:])
+
+
+def test_kmeans_bounds_agree_with_comparing_all(spark, monkeypatch):
+    rng = np.random.default_rng(6)
+    pts = rng.integers(0, 9, size=(300, 3)).astype(float).tolist()
+    pts[7], pts[8], pts[9] = None, [1.0, None, 2.0], [float("nan"), 1.0, 1.0]
+    obs = spark.createDataFrame([(i, f"c{i % 7}" if i % 11 else None, p) for i, p in enumerate(pts)],
+                                "id int, cluster string, features array<double>")
+    one, report = {}, []
+    for rounds in (0, 1, 4, 10):
+        one[rounds] = {r.id: r.cluster for r in cluster.kmeans(obs, rounds, report=report)[0].collect()}
+        assert one[rounds][7] is None and one[rounds][9] is None
+    monkeypatch.setattr(cluster, "CENTRE_BYTES", 24)  # a block a centre: no bounds
+    for rounds in one:
+        assert {r.id: r.cluster for r in cluster.kmeans(obs, rounds)[0].collect()} == one[rounds]
+
+
 def test_bfs_null_ends_and_deep_path(spark):
     edges = spark.createDataFrame([("s", "a"), ("a", None), ("a", "b"), ("b", "c"), (None, "z"), ("c", None), ("e", None)],
                                   "src string, dst string")
