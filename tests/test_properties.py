@@ -72,6 +72,30 @@ def test_bfs_edge_ends_differ_by_at_most_one(spark):
     assert dist == want
 
 
+@pytest.mark.parametrize("lookup, hub", [(0, 4), (5, 1e9), (1000, 0.5), (0, 0.5)])
+def test_bfs_ways_agree(spark, monkeypatch, lookup, hub):
+    """By value, downwards and upwards, with hubs apart and not."""
+    monkeypatch.setattr(graph, "LOOKUP", lookup)
+    monkeypatch.setattr(graph, "HUB", hub)
+    rng = np.random.default_rng(8)
+    pairs = [(0, int(v)) for v in range(1, 200)] + [(int(a), int(b)) for a, b in rng.integers(150, 700, size=(500, 2))]
+    pairs += [(700 + i, 701 + i) for i in range(12)] + [(3, 700), (900, 901), (5, 5), (0, 1)]
+    df = spark.createDataFrame(pairs, "src long, dst long")
+    near = {}
+    for a, b in pairs:
+        near.setdefault(a, set()).add(b)
+        near.setdefault(b, set()).add(a)
+    want, front, d = {12: 0}, {12}, 0
+    while front:
+        d += 1
+        front = {b for a in front for b in near[a]} - set(want)
+        want.update(dict.fromkeys(front, d))
+    got = graph.bfs(df, 12).collect()
+    assert {r.node: r.dist for r in got} == want and len(got) == len(want)
+    assert [(r.dist, r.node) for r in got] == sorted((v, k) for k, v in want.items())
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("quarry_edges")]
+
+
 def test_kmeans_objective_never_rises(spark):
     rng = np.random.default_rng(11)
     pts = np.concatenate([rng.normal(c, 1.0, size=(40, 3)) for c in (0, 5, 10)])
