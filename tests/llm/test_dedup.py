@@ -8,7 +8,8 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from quarry.llm import exact_dedup, near_dedup
+from quarry.llm import components as near_dedup_components, exact_dedup, near_dedup
+from quarry.llm.components import components, extended
 
 SCHEMA = "doc_id long, text string, lang string, kept boolean, bucket long"
 SF = "/root/testdata/sf0.01"
@@ -175,3 +176,91 @@ def test_exact_stays_native_and_empty(spark):
     assert out.collect() == []
     plan = out._jdf.queryExecution().toString()
     assert "Python" not in plan and "Cartesian" not in plan
+
+
+# -- components and torn groups -------------------------------------------------
+
+@pytest.mark.parametrize("seed", range(3))
+def test_components_against_union_find(spark, seed):
+    rnd = random.Random(seed)
+    n = 400
+    links = [(rnd.randrange(n), rnd.randrange(n)) for _ in range(rnd.choice([100, 250, 390]))]
+    path = list(range(1000, 1200))
+    rnd.shuffle(path)
+    links += list(zip(path, path[1:]))                       # long and out of order
+    links += [(2000, k) for k in range(2001, 2100)]          # a hub
+    links += [(None, 3), (4, None), (7, 7), *links[:20]]
+    root = {x: x for link in links for x in link if x is not None}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+    for a, b in links:
+        if a is not None and b is not None:
+            a, b = find(a), find(b)
+            root[max(a, b)] = min(a, b)
+    df = spark.createDataFrame(links, "a long, b long")
+    want = {x: find(x) for x in root if find(x) != x}
+    assert {r.node: r.label for r in components(df, "a", "b").collect()} == want
+    first, rest = df.limit(len(links) // 2), spark.createDataFrame(links[len(links) // 2:], "a long, b long")
+    label = components(spark.createDataFrame(links[:len(links) // 2], "a long, b long"), "a", "b")
+    assert {r.node: r.label for r in extended(label, rest, "a", "b").collect()} == want
+    assert first.count() == len(links) // 2
+
+
+def torn_texts(groups, size, seed):
+    """Groups of near copies around one long common passage: all share bands,
+    and documents of different groups are not near."""
+    rnd = random.Random(seed)
+    common = [f"c{k}" for k in range(60)]
+    texts = []
+    for g in range(groups):
+        own = [f"g{g}x{k}" for k in range(40)]
+        for _ in range(size):
+            now = common + own
+            now[60 + rnd.randrange(40)] = f"r{rnd.random()}"
+            texts.append(" ".join(now))
+    rnd.shuffle(texts)
+    return texts
+
+
+@pytest.mark.parametrize("block", [1024, 16])
+def test_near_torn_buckets_match_brute_force(spark, monkeypatch, block):
+    monkeypatch.setattr(near_dedup, "BLOCK", block)
+    rows = list(enumerate(torn_texts(30, 7, 1)))
+    got = got_near(spark, [(i, t, "en", True, 1) for i, t in rows])
+    assert {i: (r.n_shingles, r.component_id) for i, r in got.items()} == brute_components(rows)
+
+
+def test_near_short_documents_in_one_bucket(spark):
+    """Sets too small for an estimate are all compared in full."""
+    rnd = random.Random(4)
+    rows = []
+    for i in range(300):
+        words = [f"w{k}" for k in range(12)]
+        for _ in range(rnd.randint(0, 2)):
+            words[rnd.randrange(12)] = f"w{rnd.randrange(40)}"
+        rows.append((i, " ".join(words)))
+    got = got_near(spark, [(i, t, "en", True, 1) for i, t in rows])
+    assert {i: r.component_id for i, r in got.items()} == {i: c for i, (_, c) in brute_components(rows).items()}
+
+
+def test_pieces_hold_bounded_sets(monkeypatch):
+    import numpy as np
+    monkeypatch.setattr(near_dedup, "PIECE_SHINGLES", 10)
+    assert near_dedup._pieces(np.array([3, 3, 3, 3, 50, 1, 9, 1])).tolist() == [0, 3, 4, 5, 7, 8]
+    assert near_dedup._pieces(np.array([], np.int64)).tolist() == [0, 0]
+
+
+def test_near_writes_few_tables(spark, monkeypatch):
+    written = []
+    for module in (near_dedup, near_dedup_components):
+        for name in ("materialize", "materialize_observed"):
+            real = getattr(module, name)
+            monkeypatch.setattr(module, name, lambda df, what, *a, _real=real, **k: written.append(what) or _real(df, what, *a, **k))
+    rows = [(i, " ".join(f"w{i}x{k}" for k in range(30)), "en", True, 1) for i in range(50)]
+    assert len(got_near(spark, rows)) == 50 and len(written) <= 3
+    written.clear()
+    rows += [(100 + i, rows[i][1] + " tail", "en", True, 1) for i in range(20)]
+    assert sum(not r.kept for r in got_near(spark, rows).values()) == 20 and len(written) <= 14
