@@ -44,6 +44,17 @@ def to_rows(cells: DataFrame, base: int = 1, width: int | None = None) -> DataFr
     return grouped.select("i", row.alias("row"))
 
 
+def row_chunks(cells: DataFrame, chunk: int = 1 << 16, base: int = 1) -> DataFrame:
+    """Rows of any width in pieces: ``(i, chunk, row)`` where ``row`` holds the
+    present cells of columns ``base + chunk * size ..`` in ascending ``j``; any value
+    type.  A group never exceeds ``chunk`` cells, so a row of millions of columns is
+    dealt over many tasks.  ``orderBy("i", "chunk")`` gives the rows in reading
+    order without gathering any."""
+    grouped = cells.groupBy("i", F.floor((F.col("j") - base) / chunk).alias("chunk")).agg(
+        F.sort_array(F.collect_list(F.struct("j", "v"))).alias("_e"))
+    return grouped.select("i", "chunk", F.transform("_e", lambda e: e["v"]).alias("row"))
+
+
 def transpose(cells: DataFrame) -> DataFrame:
     """Swap row and column index; any value type."""
     return cells.select(F.col("j").alias("i"), F.col("i").alias("j"), "v")

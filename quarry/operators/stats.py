@@ -76,6 +76,52 @@ def variance_from_moments(means: DataFrame, sumsq: DataFrame,
     return j.select(*keys, mu.alias(mean), var.alias(alias))
 
 
+def moment_state(df: DataFrame, col: str | Column, by: Sequence[str] | str = (), state: str = "state") -> DataFrame:
+    """Mergeable moments of the non-NULL values of ``col``, global or per ``by``:
+    a struct ``(n, mean, m2)`` with ``m2`` the sum of squared distances from the
+    mean.  ``merge_moments`` joins states of any split of the rows."""
+    x = (F.col(col) if isinstance(col, str) else col).cast("double")
+    n = F.count(x)
+    made = F.struct(n.alias("n"), F.avg(x).alias("mean"), F.coalesce(F.var_pop(x) * n, F.lit(0.0)).alias("m2"))
+    keys = _by(by)
+    return df.groupBy(*keys).agg(made.alias(state)) if keys else df.agg(made.alias(state))
+
+
+def merge_moments(partials: DataFrame, by: Sequence[str] | str = (), state: str = "state") -> DataFrame:
+    """Merge states, global or per ``by``; the result is again a state.
+
+    The merged mean is the count-weighted one, and the sum of squares grows by
+    every part's ``n * (its mean - merged mean)^2``: distances from a mean, never
+    differences of large squares.  Two grouped sums with map-side combining; the
+    first one's rows meet the parts by a join that treats NULL keys as equal.
+    """
+    keys = _by(by)
+    s = F.col(state)
+    weight = F.sum(s["n"] * F.when(s["n"] > 0, s["mean"]))
+    centre = (weight / F.sum(F.when(s["n"] > 0, s["n"]))).alias("_mean")
+    if keys:
+        centres = partials.groupBy(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)]).agg(centre)
+        meet = None
+        for i, k in enumerate(keys):
+            same = F.col(k).eqNullSafe(F.col(f"_k{i}"))
+            meet = same if meet is None else meet & same
+        parts = partials.join(centres, meet)
+        grouped = parts.groupBy(*keys)
+    else:
+        parts = partials.withColumn("_mean", partials.agg(centre).scalar())
+        grouped = parts.groupBy()
+    apart = F.when(s["n"] > 0, s["n"] * (s["mean"] - F.col("_mean")) * (s["mean"] - F.col("_mean"))).otherwise(0.0)
+    return grouped.agg(F.struct(F.coalesce(F.sum(s["n"]), F.lit(0)).alias("n"), F.max("_mean").alias("mean"),
+                                F.coalesce(F.sum(s["m2"] + apart), F.lit(0.0)).alias("m2")).alias(state))
+
+
+def moments_of(state: str | Column = "state") -> list[Column]:
+    """``n``, ``mean`` and the sample variance ``var`` (NULL for fewer than two
+    values) of a state column."""
+    s = F.col(state) if isinstance(state, str) else state
+    return [s["n"].alias("n"), s["mean"].alias("mean"), F.when(s["n"] > 1, s["m2"] / (s["n"] - 1)).alias("var")]
+
+
 def class_prior(df: DataFrame, label: str, alias: str = "prior") -> DataFrame:
     """Share of rows per class.
 

@@ -75,6 +75,14 @@ def q_variance_from_moments(spark, sf_dir):
     return round_doubles(stats.variance_from_moments(means, ss, ["label", "pos"]))
 
 
+def q_merge_moments(spark, sf_dir):
+    """Moments per supplier and flag merged to the flags; the values are large
+    against their spread."""
+    li = table(spark, sf_dir, "lineitem").withColumn("x", F.col("l_quantity") + 1e6)
+    parts = stats.moment_state(li, "x", by=["l_returnflag", "l_suppkey"])
+    return round_doubles(stats.merge_moments(parts, by="l_returnflag").select("l_returnflag", *stats.moments_of()), 4)
+
+
 def _returns(spark, sf_dir):
     """lineitem quantities by return flag, flag 'A' made NULL."""
     return table(spark, sf_dir, "lineitem").select(
@@ -214,6 +222,60 @@ def q_write_by_value(spark, sf_dir):
         F.count(F.lit(1)).alias("n"), F.sum("o_totalprice").alias("total")))
 
 
+def q_read_class_last(spark, sf_dir):
+    """Vectors with the class last, which is empty for class 0."""
+    e = table(spark, sf_dir, "embeddings")
+    path = scratch_path(spark, "class_last")
+    sources.write_tsv(e.select("vec_id", F.col("embedding").cast("array<double>").alias("v"),
+                               F.nullif("label", F.lit(0)).alias("label")), path)
+    back = sources.read_vectors(spark, path, lead="vec_id bigint", tail="label int", features="v")
+    return round_doubles(back.select("vec_id", "label", F.posexplode("v").alias("pos", "v")))
+
+
+def q_write_parts(spark, sf_dir):
+    """One file per nation, its number the nation key."""
+    c = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey")
+    path = scratch_path(spark, "write_parts")
+    sources.write_parts(c, path, "c_nationkey", 25)
+    return sources.read_parts(spark, path, "c_custkey bigint, c_name string, c_nationkey int", number="file_no")
+
+
+def q_read_kinds(spark, sf_dir):
+    """Tagged suppliers and nations in one folder, customers in another, read in
+    one scan: suppliers and customers per nation name."""
+    s, n, c = (table(spark, sf_dir, t) for t in ("supplier", "nation", "customer"))
+    mixed, plain = scratch_path(spark, "kinds_mixed"), scratch_path(spark, "kinds_plain")
+    sources.write_tsv(s.select(F.lit("a").alias("t"), "s_nationkey", "s_name").union(
+        n.select(F.lit("b"), "n_nationkey", "n_name")), mixed)
+    sources.write_tsv(c.select("c_nationkey", "c_custkey", "c_acctbal"), plain)
+    kinds = sources.read_kinds(spark, [mixed, plain], {
+        "supplier": sources.Kind("key int, s_name string", tag="a", path=mixed),
+        "nation": sources.Kind("key int, n_name string", tag="b", path=mixed),
+        "customer": sources.Kind("key int, rest array<double>", path=plain)})
+    per_s = kinds["supplier"].groupBy("key").agg(F.count("s_name").alias("suppliers"))
+    per_c = kinds["customer"].groupBy("key").agg(F.count(F.lit(1)).alias("customers"), F.sum(F.get("rest", 1)).alias("balance"))
+    return round_doubles(kinds["nation"].join(per_s, "key", "left").join(per_c, "key", "left")
+                         .select("n_name", F.coalesce("suppliers", F.lit(0)).alias("suppliers"),
+                                 F.coalesce("customers", F.lit(0)).alias("customers"), "balance"), 2)
+
+
+def q_write_sorted_file(spark, sf_dir):
+    """Orders by falling price as one file."""
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    path = f"{scratch_path(spark, 'sorted')}.tsv"
+    sources.write_sorted_file(o, path, F.desc("o_totalprice"), "o_orderkey")
+    return round_doubles(sources.read_tsv(spark, path, o.schema))
+
+
+def q_write_wide_rows(spark, sf_dir):
+    """The embeddings transposed -- 64 rows as wide as the table is long -- as text
+    lines and back."""
+    path = f"{scratch_path(spark, 'wide')}.tsv"
+    sources.write_wide_rows(matrix.transpose(_embedding_cells(spark, sf_dir)), path,
+                            F.concat(F.lit("E"), F.col("i")), chunk=128, base=0)
+    return round_doubles(sources.read_matrix(spark, path))
+
+
 # -- graphs -------------------------------------------------------------------
 
 BFS_SOURCE = "p0"
@@ -290,6 +352,12 @@ def q_kmeans_centers(spark, sf_dir):
                          .withColumn("j", F.col("j") + 1))
 
 
+def q_kmeans_rounds(spark, sf_dir):
+    """Ten rounds with 32 centres."""
+    assignments, _ = cluster.kmeans(_many_observations(spark, sf_dir), max_rounds=9)
+    return assignments.select("id", "cluster")
+
+
 def q_kmeans(spark, sf_dir):
     assignments, _ = cluster.kmeans(_observations(spark, sf_dir), max_rounds=2)
     return assignments.select("id", "cluster")
@@ -371,6 +439,7 @@ QUERIES = {
     "sum_squares": q_sum_squares,
     "variance_from_moments": q_variance_from_moments,
     "variance_null_key": q_variance_null_key,
+    "merge_moments": q_merge_moments,
     "class_prior": q_class_prior,
     "gaussian_nb": q_gaussian_nb,
     "gaussian_nb_ragged": q_gaussian_nb_ragged,
@@ -388,6 +457,11 @@ QUERIES = {
     "read_tagged": q_read_tagged,
     "read_matrix": q_read_matrix,
     "write_by_value": q_write_by_value,
+    "read_class_last": q_read_class_last,
+    "read_kinds": q_read_kinds,
+    "write_parts": q_write_parts,
+    "write_sorted_file": q_write_sorted_file,
+    "write_wide_rows": q_write_wide_rows,
     "symmetrize": q_symmetrize,
     "adjacency": q_adjacency,
     "bfs": q_bfs,
@@ -398,6 +472,7 @@ QUERIES = {
     "kmeans_assign_many": q_kmeans_assign_many,
     "kmeans": q_kmeans,
     "kmeans_centers": q_kmeans_centers,
+    "kmeans_rounds": q_kmeans_rounds,
     "residuals": q_residuals,
     "gradient": q_gradient,
     "linreg_gd": q_linreg_gd,

@@ -46,6 +46,15 @@ def _km_assign(centres: str) -> str:
 
 _KM_START = "(SELECT vec_id AS id, vec_id % 4 AS cluster FROM embeddings)"
 
+
+
+def _km_rounds(k: int, rounds: int) -> str:
+    """Update and assign ``rounds`` times from cluster = vec_id mod k."""
+    start = f"(SELECT vec_id AS id, vec_id % {k} AS cluster FROM embeddings)"
+    steps = [f"a{r} AS MATERIALIZED {_km_assign(_km_centres(start if r == 0 else f'a{r - 1}'))}" for r in range(rounds)]
+    return f"WITH {', '.join(steps)} SELECT id, cluster FROM a{rounds - 1}"
+
+
 # regression rows: (vec_id, y, j 1-based, x double)
 _RG = """(SELECT vec_id, CAST(label AS DOUBLE) AS y,
                  CAST(generate_subscripts(embedding, 1) AS INTEGER) AS j,
@@ -216,6 +225,26 @@ ORACLE = {
     "write_by_value": """
         SELECT o_orderpriority, count(*) AS n, round(sum(o_totalprice), 6) AS total
         FROM orders GROUP BY o_orderpriority""",
+    "read_class_last": f"""
+        SELECT vec_id, nullif(label, 0) AS label, pos, round(x, 6) AS v FROM {_EV}""",
+    "read_kinds": """
+        SELECT n_name,
+               (SELECT count(*) FROM supplier WHERE s_nationkey = n_nationkey) AS suppliers,
+               (SELECT count(*) FROM customer WHERE c_nationkey = n_nationkey) AS customers,
+               (SELECT round(sum(c_acctbal), 2) FROM customer WHERE c_nationkey = n_nationkey) AS balance
+        FROM nation""",
+    "write_parts": """
+        SELECT c_custkey, c_name, c_nationkey, c_nationkey AS file_no FROM customer""",
+    "write_sorted_file": """
+        SELECT o_orderkey, o_custkey, round(o_totalprice, 6) AS o_totalprice FROM orders""",
+    "write_wide_rows": f"""
+        SELECT 'E' AS matrix, j AS i, CAST(row_number() OVER (PARTITION BY j ORDER BY i) AS INTEGER) AS j, round(v, 6) AS v
+        FROM {_cells()}""",
+    "merge_moments": """
+        SELECT l_returnflag, count(*) AS n, round(avg(CAST(l_quantity AS DOUBLE)) + 1e6, 4) AS mean,
+               round(var_samp(CAST(l_quantity AS DOUBLE)), 4) AS var
+        FROM lineitem GROUP BY l_returnflag""",
+    "kmeans_rounds": _km_rounds(32, 10),
     "symmetrize": f"""
         SELECT src, dst FROM {_EDGES}""",
     "adjacency": f"""

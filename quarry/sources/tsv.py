@@ -9,10 +9,13 @@ Files carry no header and no quoting; a field is everything between two tabs.
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
+from dataclasses import dataclass
 from string import Formatter
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
+from quarry.session import scratch_path
+
 _MODES = {"fail": "FAILFAST", "null": "PERMISSIVE"}
 
 # Header dialects of labelled matrix rows: "A1", "A:1", "A1:4" (name, row
@@ -92,7 +95,8 @@ def read_tagged(spark: SparkSession, paths, schemas: Mapping[str, object],
 
 
 def read_vectors(spark: SparkSession, paths, lead: str = "", tail: str = "", prefix: str | None = None,
-                 features: str = "features", value_type: str = "double", on_error: str = "fail") -> DataFrame:
+                 features: str = "features", value_type: str = "double", on_error: str = "fail",
+                 trim: bool | None = None) -> DataFrame:
     """Rows of a vector of any width between leading and trailing fields.
 
     ``lead`` and ``tail`` are schemas of the fields before and after the vector
@@ -100,16 +104,21 @@ def read_vectors(spark: SparkSession, paths, lead: str = "", tail: str = "", pre
     ``tail="label string"`` for rows with the class last).  With ``prefix``, only
     rows whose first field starts with it are read (``"D"`` for data rows in a
     file that also holds a row of start weights).
+
+    An empty field is NULL, inside the vector too.  Tabs at the end of a line are
+    no fields (``trim``) unless there are trailing fields, which they would be;
+    with ``trim=False`` a vector written with a NULL at its end comes back whole.
     """
-    fields = _fields(spark, paths, trim=True)
+    fields = _fields(spark, paths, trim=not tail if trim is None else trim)
     if prefix is not None:
         fields = fields.where(F.col("f")[0].startswith(prefix))
     first, last = _schema(lead or "struct<>").fields, _schema(tail or "struct<>").fields
     n, size = len(first), F.size("f")
     dtype = T._parse_datatype_string(value_type)
     body = F.transform(F.slice("f", n + 1, F.greatest(F.lit(0), size - n - len(last))),
-                       lambda v: _cast(v, dtype, on_error))
-    ends = [_cast(F.get("f", size - len(last) + k), fld.dataType, on_error).alias(fld.name) for k, fld in enumerate(last)]
+                       lambda v: _cast(F.nullif(v, F.lit("")), dtype, on_error))
+    ends = [_cast(F.nullif(F.get("f", size - len(last) + k), F.lit("")), fld.dataType, on_error).alias(fld.name)
+            for k, fld in enumerate(last)]
     return fields.select(*[_value(k, fld.dataType, on_error).alias(fld.name) for k, fld in enumerate(first)],
                          body.alias(features), *ends)
 
@@ -142,20 +151,26 @@ def read_matrix(spark: SparkSession, paths, value_type: str = "double",
                         _cast(F.col("_v"), dtype, on_error).alias("v"))
 
 
+_BREAK = "[\t\n\r]"
+
+
 def to_tsv_line(df: DataFrame, cols: Iterable[str] | None = None) -> Column:
     """One text line per row: fields joined by tabs, arrays spread over
-    consecutive fields, NULL as an empty field.  A text with a tab or line end
-    cannot be written so and is an error."""
+    consecutive fields, NULL as an empty field.  A text with a tab or line end,
+    alone or in an array, cannot be written so and is an error."""
     parts = []
     fields = {f.name: f.dataType for f in df.schema.fields}
     for name in (cols or df.columns):
         dtype = fields[name]
+        bad = F.raise_error(F.lit(f"tab or line end in column {name}"))
         if isinstance(dtype, T.ArrayType):
             text = F.array_join(F.transform(name, lambda x: x.cast("string")), "\t", "")
+            if isinstance(dtype.elementType, T.StringType):
+                text = F.when(F.exists(name, lambda x: F.coalesce(x.rlike(_BREAK), F.lit(False))), bad).otherwise(text)
         else:
             text = F.col(name).cast("string")
         if isinstance(dtype, T.StringType):
-            text = F.when(text.rlike("[\t\n\r]"), F.raise_error(F.lit(f"tab or line end in column {name}"))).otherwise(text)
+            text = F.when(text.rlike(_BREAK), bad).otherwise(text)
         parts.append(F.coalesce(text, F.lit("")))
     return F.concat_ws("\t", *parts)
 
@@ -186,21 +201,28 @@ def write_lines(df: DataFrame, path: str, template: str, single_file: bool = Fal
     (out.coalesce(1) if single_file else out).write.mode(mode).text(path)
 
 
-EMPTY_KEY = "__EMPTY__"
+# names of the directories of special keys; texts that begin like one of them are
+# written behind KEPT_KEY, so that they stay apart
+EMPTY_KEY, KEPT_KEY, NULL_KEY = "__EMPTY__", "__KEY__", "__HIVE_DEFAULT_PARTITION__"
 
 
 def _key_text(col: str) -> Column:
     text = F.col(col).cast("string")
-    return F.when(text == "", F.lit(EMPTY_KEY)).otherwise(text).alias(col)
+    special = text.startswith(EMPTY_KEY) | text.startswith(KEPT_KEY) | text.startswith(NULL_KEY)
+    return (F.when(text == "", F.lit(EMPTY_KEY)).when(special, F.concat(F.lit(KEPT_KEY), text))
+            .otherwise(text).alias(col))
 
 
 def read_by_value(spark: SparkSession, path: str, schema, col: str, key_type: str = "string",
                   on_error: str = "fail") -> DataFrame:
     """Read what ``write_by_value`` wrote as tab-separated text; the key comes
-    back with its own type (``01`` stays ``01``, the empty text is not NULL)."""
+    back with its own type (``01`` stays ``01``, the empty text is not NULL, and
+    neither is a text that looks like the name of NULL's directory)."""
     st = T.StructType([*_schema(schema).fields, T.StructField(col, T.StringType())])
     rows = read_tsv(spark, path, st, on_error)
-    key = F.when(F.col(col) == EMPTY_KEY, F.lit("")).otherwise(F.col(col))
+    text = F.col(col)
+    key = (F.when(text == EMPTY_KEY, F.lit("")).when(text.startswith(KEPT_KEY), F.substring(text, len(KEPT_KEY) + 1, 1 << 30))
+           .otherwise(text))
     return rows.withColumn(col, _cast(key, T._parse_datatype_string(key_type), on_error))
 
 
@@ -222,3 +244,118 @@ def write_by_value(df: DataFrame, path: str, col: str, fmt: str = "tsv",
                 .write.mode(mode).partitionBy(col).text(path)
     else:
         balanced.write.mode(mode).partitionBy(col).format(fmt).save(path)
+
+
+def write_parts(df: DataFrame, path: str, number: Column | str, files: int, mode: str = "overwrite") -> None:
+    """Part file ``k`` holds exactly the rows whose ``number`` is ``k``.
+
+    ``number`` is the caller's partition function, any integer expression over the
+    row from 0 to ``files - 1``; another value or NULL is an error, so no row lands
+    in a file by accident.  A file is one task's, however many rows its number
+    has: that is what one file per value means (``write_by_value`` splits instead).
+    """
+    n = F.col(number) if isinstance(number, str) else number
+    inside = n.between(0, files - 1)
+    checked = F.when(inside, n.cast("int")).otherwise(F.raise_error(F.concat(
+        F.lit(f"no file of {files} for number "), F.coalesce(n.cast("string"), F.lit("NULL")))))
+    out = df.select(to_tsv_line(df).alias("value"), checked.alias("_n"))
+    out.repartitionById(files, "_n").select("value").write.mode(mode).text(path)
+
+
+def read_parts(spark: SparkSession, path: str, schema, number: str = "number", on_error: str = "fail") -> DataFrame:
+    """The rows of ``write_parts`` with the number of the file they lie in."""
+    rows = read_tsv(spark, path, schema, on_error)
+    return rows.withColumn(number, F.regexp_extract(F.col("_metadata.file_name"), r"^part-(\d+)", 1).cast("int"))
+
+
+@dataclass(frozen=True)
+class Kind:
+    """One kind of record in mixed input: its schema and how it is told -- by the
+    first field (``tag``, which is no part of the schema), by how the first field
+    begins (``prefix``) or by the file or folder it lies in (``path``); several must
+    all hold.  One field of the schema may be an array: it takes the fields between
+    those before and those behind it."""
+
+    schema: str
+    tag: str | None = None
+    prefix: str | None = None
+    path: str | None = None
+
+
+def _file_uri(spark: SparkSession, path: str) -> str:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(p).toString()
+
+
+def _typed(kind: Kind, on_error: str) -> Column:
+    """The record of a line as a struct; ``f`` are its fields, ``g`` those without
+    tabs at the end of the line."""
+    fields = _schema(kind.schema).fields
+    at = next((k for k, fld in enumerate(fields) if isinstance(fld.dataType, T.ArrayType)), None)
+    shift = 0 if kind.tag is None else 1
+    if at is None:
+        return F.struct(*[_cast(F.nullif(F.get("f", F.lit(k + shift)), F.lit("")), fld.dataType, on_error).alias(fld.name)
+                          for k, fld in enumerate(fields)])
+    behind = len(fields) - at - 1
+    line = F.col("f") if behind else F.col("g")
+    out = []
+    for k, fld in enumerate(fields):
+        if k == at:
+            item = fld.dataType.elementType
+            body = F.slice(line, at + shift + 1, F.greatest(F.lit(0), F.size(line) - at - shift - behind))
+            value = _items(body, item, on_error)
+        else:
+            place = F.lit(k + shift) if k < at else F.size(line) - (len(fields) - k)
+            value = _cast(F.nullif(F.get(line, place), F.lit("")), fld.dataType, on_error)
+        out.append(value.alias(fld.name))
+    return F.struct(*out)
+
+
+def _items(body: Column, item: T.DataType, on_error: str) -> Column:
+    return F.transform(body, lambda v: _cast(F.nullif(v, F.lit("")), item, on_error))
+
+
+def routed_lines(spark: SparkSession, paths, kinds: Mapping[str, Kind], on_error: str = "fail") -> DataFrame:
+    """Every line of ``paths`` once, as ``kind`` and one struct column per kind, of
+    which that of the line's own kind is set (the first kind that fits); one
+    scan.  A line of no kind is an error or, with ``on_error="null"``, has a NULL
+    kind and stands in ``line``."""
+    lines = (spark.read.text(_paths(paths))
+             .select(F.regexp_replace(F.col("value"), r"\r+$", "").alias("_l"), F.col("_metadata.file_path").alias("_path"))
+             .where(F.length("_l") > 0))
+    rows = lines.select("_l", "_path", F.split("_l", "\t", -1).alias("f"),
+                        F.split(F.regexp_replace("_l", r"\t+$", ""), "\t", -1).alias("g"))
+    told = None
+    for name, kind in kinds.items():
+        here = F.lit(True)
+        if kind.tag is not None:
+            here &= F.col("f")[0] == F.lit(kind.tag)
+        if kind.prefix is not None:
+            here &= F.col("f")[0].startswith(kind.prefix)
+        if kind.path is not None:
+            uri = _file_uri(spark, kind.path).rstrip("/")
+            here &= (F.col("_path") == F.lit(uri)) | F.col("_path").startswith(uri + "/")
+        told = F.when(here, F.lit(name)) if told is None else told.when(here, F.lit(name))
+    if on_error == "fail":
+        told = told.otherwise(F.raise_error(F.concat(F.lit("a line of no kind: "), F.left("_l", F.lit(100)))))
+    rows = rows.withColumn("kind", told)
+    records = [F.when(F.col("kind") == name, _typed(kind, on_error)).alias(f"r_{name}") for name, kind in kinds.items()]
+    return rows.select("kind", *records, F.when(F.col("kind").isNull(), F.col("_l")).alias("line"))
+
+
+def read_kinds(spark: SparkSession, paths, kinds: Mapping[str, Kind], on_error: str = "fail") -> dict:
+    """Mixed input to one typed DataFrame per kind with a single scan of it.
+
+    The lines are parsed once and written, one folder per kind, below the
+    checkpoint folder; each frame reads its own folder and columns only.  With
+    ``on_error="null"`` lines of no kind come in the extra frame ``None`` as
+    ``(line,)``.
+    """
+    routed = routed_lines(spark, paths, kinds, on_error)
+    path = scratch_path(spark, "kinds")
+    routed.write.partitionBy("kind").parquet(path)
+    written = spark.read.schema(routed.schema).parquet(path)
+    frames: dict = {name: written.where(F.col("kind") == name).select(f"r_{name}.*") for name in kinds}
+    if on_error == "null":
+        frames[None] = written.where(F.col("kind").isNull()).select("line")
+    return frames
