@@ -4,13 +4,17 @@ only).
 A fingerprint is an array of longs modulo 2^60, the sum of one vector for every
 paragraph (line), so the order of paragraphs does not matter and paragraphs are
 inserted or deleted by adding or subtracting their vectors.  A paragraph's
-vector has a count, two dense 60-bit hashes of the whole line (equality), and a
+vector has a count, eight dense 60-bit hashes of the whole line (equality), and a
 wide part summed over its pieces of up to four words: 60 signs of a piece's
-hash, three 20-bit counters in each of 20 longs.  The wide part is linear, so
-the cosine of two documents' sign sums estimates how alike their piece
-multisets are.
-
-Null texts count as empty; an empty text's fingerprint is all zeros.
+hash, two 30-bit counters in each of 30 longs.  A text has fewer than 2^30 pieces
+(it has fewer than 2^31 bytes, and a piece takes two), so no counter of a text can
+overflow.  The wide part is linear, so the cosine of two documents' sign sums
+estimates how alike their piece multisets are.
+
+Null texts count as empty; an empty text's fingerprint is all zeros.  Texts of any
+length are read whole.  Rows that repeat an id are fingerprinted each by its own
+text and follow one another by text hash; rows without id have no next document.
+An empty table gives no rows; other columns are never read.
 """
 
 from __future__ import annotations
@@ -21,11 +25,13 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 MODULUS_BITS = 60
 _MASK = (1 << MODULUS_BITS) - 1
-_LANES = 20
-_FIELD = (1 << 20) - 1
-_BITS = 1 | 1 << 20 | 1 << 40
+_LANES = 30
+_FIELD_BITS = 30
+_FIELD = (1 << _FIELD_BITS) - 1
+_BITS = 1 | 1 << _FIELD_BITS
 _PIECE = r"\S+(?:[^\S\n]+\S+){0,3}"
-HEADER = 4             # paragraphs, two dense sums, pieces
+_DENSE = 8
+HEADER = 2 + _DENSE    # paragraphs, the dense sums, pieces
 ROWS_PER_RANGE = 1000
 MOST_RANGES = 10_000
 
@@ -34,17 +40,22 @@ def _summed(values: Column, of) -> Column:
     return F.aggregate(values, F.lit(0).cast("long"), lambda a, x: (a + of(x)).bitwiseAND(F.lit(_MASK)))
 
 
+def _counted(values: Column, of) -> Column:
+    """Sum of counters that cannot leave their fields."""
+    return F.aggregate(values, F.lit(0).cast("long"), lambda a, x: a + of(x))
+
+
 def with_fingerprint(df: DataFrame, text: Column, out: str) -> DataFrame:
     """``df`` with the fingerprint array of ``text`` as column ``out``."""
     body = F.coalesce(text, F.lit(""))
     lines = F.filter(F.split(body, "\n", -1), lambda x: x != "")
-    step = (df.withColumn("__q_lines", F.transform(lines, lambda x: F.struct(
-                F.xxhash64(x).alias("a"), F.xxhash64(F.lit(7), x).alias("b"))))
+    step = (df.withColumn("__q_lines", lines)
             .withColumn("__q_pieces", F.transform(F.regexp_extract_all(body, F.lit(_PIECE), F.lit(0)), lambda x: F.xxhash64(x))))
-    lanes = [_summed(F.col("__q_pieces"), lambda x, j=j: F.shiftrightunsigned(x, j).bitwiseAND(F.lit(_BITS)))
+    lanes = [_counted(F.col("__q_pieces"), lambda x, j=j: F.shiftrightunsigned(x, j).bitwiseAND(F.lit(_BITS)))
              for j in range(_LANES)]
-    parts = [F.size("__q_lines").cast("long"), _summed(F.col("__q_lines"), lambda x: x["a"].bitwiseAND(F.lit(_MASK))),
-             _summed(F.col("__q_lines"), lambda x: x["b"].bitwiseAND(F.lit(_MASK))), F.size("__q_pieces").cast("long")]
+    # hashed as they are summed: no second array as long as the text
+    dense = [_summed(F.col("__q_lines"), lambda x, k=k: F.xxhash64(F.lit(k), x).bitwiseAND(F.lit(_MASK))) for k in range(_DENSE)]
+    parts = [F.size("__q_lines").cast("long"), *dense, F.size("__q_pieces").cast("long")]
     return step.withColumn(out, F.array(*parts, *lanes)).drop("__q_lines", "__q_pieces")
 
 
@@ -66,9 +77,9 @@ def likeness(a: Column, b: Column) -> Column:
 
     def dot(p: Column, q: Column, np: Column, nq: Column) -> Column:
         def field(x, n, f):
-            return (2 * F.shiftright(x, 20 * f).bitwiseAND(F.lit(_FIELD)) - n).cast("double")
+            return (2 * F.shiftright(x, _FIELD_BITS * f).bitwiseAND(F.lit(_FIELD)) - n).cast("double")
         lanes = F.zip_with(F.slice(p, HEADER + 1, _LANES), F.slice(q, HEADER + 1, _LANES),
-                           lambda x, y: sum((field(x, np, f) * field(y, nq, f) for f in range(3)), F.lit(0.0)))
+                           lambda x, y: sum((field(x, np, f) * field(y, nq, f) for f in range(2)), F.lit(0.0)))
         return F.aggregate(lanes, F.lit(0.0), lambda s, x: s + x)
     size = F.sqrt(dot(a, a, na, na) * dot(b, b, nb, nb))
     return (F.when(a.isNull() | b.isNull(), 0.0).when(a == b, 1.0).when((na == 0) | (nb == 0) | (size == 0), 0.0)

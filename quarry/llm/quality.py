@@ -156,21 +156,22 @@ def _votes_fn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 names=["doc_id", "votes"])
 
 
-def _features_fn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(votes, text) to sparse rows: feature numbers and shares of the words."""
-    from quarry.llm.quality import hashed_tokens
+def _sample_fn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts to their votes and sparse rows: feature numbers and shares of the
+    words, as bytes."""
+    from quarry.llm.quality import hashed_tokens, votes
     from quarry.llm.words import text_blocks
 
     for batch in batches:
-        for at, texts in text_blocks(batch.column(1)):
+        for _, texts in text_blocks(batch.column(0)):
             tokens, first = hashed_tokens(texts)
             at_rows, shares = [], []
             for a, b in zip(first[:-1], first[1:], strict=True):
                 kinds, k = np.unique(tokens[a:b], return_counts=True)
-                at_rows.append(kinds)
-                shares.append(k / max(b - a, 1))
+                at_rows.append(kinds.astype(np.int32).tobytes())
+                shares.append((k / max(b - a, 1)).tobytes())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).slice(at, len(texts)), pa.array(at_rows, pa.list_(pa.int64())), pa.array(shares, pa.list_(pa.float64()))],
+                [pa.array([votes(t) for t in texts.to_pylist()], pa.string()), pa.array(at_rows, pa.binary()), pa.array(shares, pa.binary())],
                 names=["votes", "at", "share"])
 
 
@@ -231,11 +232,12 @@ def classify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", th
     picked, _ = materialize(rows.select("doc_id").dropDuplicates()
                             .orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE), "sample")
     sample = rows.join(F.broadcast(picked), "doc_id")
-    texts = sample.mapInArrow(_votes_fn, f"doc_id {kind}, votes string").join(sample, "doc_id").select("votes", "text")
-    # a bounded sample: its sparse rows fit the driver
-    seen = sorted((r.votes, list(r.at), list(r.share)) for r in
-                  texts.mapInArrow(_features_fn, "votes string, at array<long>, share array<double>").toLocalIterator())
-    weights = train_scorer([(a, s) for _, a, s in seen], np.array([label.posterior(v) for v, _, _ in seen]))
+    # bounded in rows, however many of them share an id: the sparse rows fit the driver
+    seen = sorted((r.votes, bytes(r.at), bytes(r.share)) for r in
+                  sample.select("text").mapInArrow(_sample_fn, "votes string, at binary, share binary")
+                  .orderBy(F.xxhash64("at", "share"), "votes").limit(SAMPLE).toLocalIterator())
+    weights = train_scorer([(np.frombuffer(a, np.int32), np.frombuffer(s)) for _, a, s in seen],
+                           np.array([label.posterior(v) for v, _, _ in seen]))
     shared = spark.sparkContext.broadcast((weights, label))
     return (rows.mapInArrow(_score_fn(shared), f"doc_id {kind}, votes string, weak_label double, score double")
             .withColumn("kept", F.col("score") >= threshold))

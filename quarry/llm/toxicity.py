@@ -253,9 +253,10 @@ def fit(train: DataFrame, text_col: str = "text", label_col: str = "toxic") -> T
     if not entries:
         model.weights[0] = math.log(max(share, 1e-9) / max(1 - share, 1e-9)) if n_bad + n_good else -30.0
         return model
-    # a bounded sample: its feature rows fit the driver
+    # bounded in rows, however many share an id: the feature rows fit the driver
     seen = np.array([tuple(r.x) + (r.toxic,) for r in rows.mapInArrow(
-        _features_fn(spark.sparkContext.broadcast(model)), "toxic int, x array<double>").collect()])
+        _features_fn(spark.sparkContext.broadcast(model)), "toxic int, x array<double>")
+        .orderBy(F.xxhash64("toxic", "x")).limit(SAMPLE).collect()])
     model.weights = _logistic(seen[:, :-1], seen[:, -1])
     return model
 

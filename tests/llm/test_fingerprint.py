@@ -1,6 +1,9 @@
 """Fingerprints: brute-force edits, order independence, increments, likeness."""
 
 import hashlib
+import os
+import subprocess
+import sys
 
 import numpy as np
 import pytest
@@ -8,6 +11,7 @@ from pyspark.sql import functions as F
 
 from quarry.llm import fingerprint as fp
 
+ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 SF = "/root/testdata/sf0.01"
 SCHEMA = "doc_id long, text string, fp string, edited long, next_text string"
 
@@ -76,3 +80,47 @@ def test_odd_rows(spark):
 def test_native_plan(spark):
     plan = fp.fingerprints(spark.read.parquet(f"{SF}/documents.parquet"))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Cartesian" not in plan and "SinglePartition" not in plan
+
+
+LONG_TEXTS = """
+from pyspark.sql import functions as F
+from quarry.llm import fingerprint as fp
+from quarry.session import build_session
+spark = build_session("local[2]", extra={"spark.driver.memory": "3g"})
+same = "concat('one two three four', substring(string(id), 2), '\\n')"  # of a column: nothing is computed while planning
+made = [f"repeat({same}, 1000)", f"repeat({same}, 1100000)", f"repeat(concat({same}, 'five six\\n'), 550000)"]
+few, many, two = (fp.with_fingerprint(spark.range(1).selectExpr(f"{e} AS t"), F.col("t"), "f").first().f for e in made)
+df = spark.createDataFrame([(few, many, two)], "few array<long>, many array<long>, two array<long>")
+r = df.select(fp.likeness(F.col("few"), F.col("many")).alias("same"), fp.likeness(F.col("many"), F.col("two")).alias("half")).first()
+print("GOT", r.same, r.half, many[0])
+"""
+
+
+def test_counters_of_very_long_texts():
+    """More than 2^20 equal pieces: the likeness stays that of the pieces.  In a
+    session of its own, since the arrays of such a text need more than 1 GB."""
+    out = subprocess.run([sys.executable, "-c", LONG_TEXTS], capture_output=True, text=True, cwd=ROOT, timeout=300, check=True).stdout
+    same, half, lines = map(float, out.rpartition("GOT")[2].split())
+    assert same == pytest.approx(1.0, abs=1e-12) and 0.4 < half < 0.95 and lines == 1_100_000
+
+
+def test_likeness_is_the_cosine_of_sign_sums(spark):
+    """200 random pairs against sums written out in Python."""
+    rng = np.random.default_rng(9)
+    texts = [" ".join(f"w{v}" for v in rng.integers(0, 30, size=rng.integers(1, 60))) for _ in range(400)]
+    df = spark.createDataFrame([(texts[2 * k], texts[2 * k + 1]) for k in range(200)], "a string, b string")
+    step = fp.with_fingerprint(fp.with_fingerprint(df, F.col("a"), "fa"), F.col("b"), "fb")
+    hashed = step.select("*", fp.likeness(F.col("fa"), F.col("fb")).alias("like"), *[
+        F.transform(F.regexp_extract_all(c, F.lit(fp._PIECE), F.lit(0)), lambda x: F.xxhash64(x)).alias("h" + c) for c in ("a", "b")])
+
+    def signs(hashes):
+        out = np.zeros(60)
+        for h in hashes:
+            out += [1 if h >> k & 1 else -1 for k in range(60)]
+        return out
+    for r in hashed.collect():
+        x, y = signs(r.ha), signs(r.hb)
+        size = np.sqrt((x @ x) * (y @ y))
+        want = 1.0 if r.fa == r.fb else 0.0 if size == 0 else min(1.0, max(0.0, x @ y / size))
+        assert r.like == pytest.approx(want, abs=1e-9)
+        assert len(r.fa) == 10 + 30

@@ -74,3 +74,53 @@ def test_odd_rows(spark):
     by = {r.doc_id: r for r in got}
     assert by[1][1:] == by[2][1:]
     assert quality.classify(df.limit(0)).collect() == []
+
+
+def test_sample_is_bounded_in_rows(spark, monkeypatch):
+    """Hundreds of texts under one id: the driver sees SAMPLE rows."""
+    monkeypatch.setattr(quality, "SAMPLE", 50)
+    taken = []
+    real = quality.train_scorer
+    monkeypatch.setattr(quality, "train_scorer", lambda rows, targets: taken.append((len(rows), len(targets))) or real(rows, targets))
+    df = spark.range(400).selectExpr("7L AS doc_id", "concat('text number ', id, ' of one id') AS text")
+    assert len(quality.classify(df).collect()) == 400 and taken == [(50, 50)]
+
+
+def brute_em(patterns, rounds=200):
+    """The same mixture, pattern by pattern and labeller by labeller."""
+    model = quality.estimate_accuracies({}, rounds=0)
+    share, says = model.share.tolist(), model.says_bad.tolist()
+    total = sum(patterns.values())
+
+    def posterior(p):
+        weight = []
+        for c, s in enumerate(share):
+            for k, v in enumerate(p):
+                s *= says[c][k] if v == quality.BAD else 1 - says[c][k] if v == quality.GOOD else 1
+            weight.append(s)
+        return [w / sum(weight) for w in weight]
+    for _ in range(rounds):
+        q = {p: posterior(p) for p in patterns}
+        new_share = [(sum(n * q[p][c] for p, n in patterns.items()) + 1) / (total + len(share)) for c in range(len(share))]
+        new_says = []
+        for c in range(len(share)):
+            bad = [sum(n * q[p][c] for p, n in patterns.items() if p[k] == quality.BAD) for k in range(8)]
+            told = [sum(n * q[p][c] for p, n in patterns.items() if p[k] != quality.NONE) for k in range(8)]
+            new_says.append([(b + 2 * s) / (t + 2) for b, t, s in zip(bad, told, model.says_bad[c], strict=True)])
+        change = max(abs(a - b) for x, y in zip([new_share, *new_says], [share, *says], strict=True) for a, b in zip(x, y, strict=True))
+        share, says = new_share, new_says
+        if change < 1e-7:
+            break
+    return {p: posterior(p) for p in patterns}
+
+
+def test_posteriors_match_brute_force():
+    rng = np.random.default_rng(11)
+    patterns = {}
+    for _ in range(3000):
+        bad = rng.random() < 0.3
+        p = "".join("-" if rng.random() < 0.3 else quality.BAD if rng.random() < (0.7 if bad else 0.1) else quality.GOOD for _ in range(8))
+        patterns[p] = patterns.get(p, 0) + 1
+    model, want = quality.estimate_accuracies(patterns), brute_em(patterns)
+    for p in patterns:
+        assert model.posterior(p) == pytest.approx(want[p][0], abs=1e-4)

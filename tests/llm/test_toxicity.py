@@ -95,3 +95,16 @@ def test_empty_tables_and_one_kind_of_label(spark):
     one = tx.fit(spark.createDataFrame([("a b", 0), ("c", 0), (None, None)], "text string, toxic int"))
     got = tx.score(spark.createDataFrame([(1, "a", "", 1, 1.0)], SCHEMA), one).first()
     assert got.score < 1e-6
+
+
+def test_sample_is_bounded_in_rows(spark, monkeypatch):
+    """Hundreds of texts under one id: the driver sees SAMPLE feature rows."""
+    monkeypatch.setattr(tx, "SAMPLE", 60)
+    taken = []
+    real = tx._logistic
+    monkeypatch.setattr(tx, "_logistic", lambda x, y: taken.append(len(y)) or real(x, y))
+    docs = spark.range(500).selectExpr("7L AS doc_id", "concat('you idiot number ', id) AS text").union(
+        spark.range(200).selectExpr("8L AS doc_id", "concat('a kind word number ', id) AS text"))
+    labels = spark.createDataFrame([(7, 1), (8, 0)], "doc_id long, toxic int")
+    tx.fit(tx.labelled_sample(docs, labels, lambda c: F.lit(True)))
+    assert taken == [60]
