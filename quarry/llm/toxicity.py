@@ -1,15 +1,23 @@
 """Toxicity by fuzzy lexicon search in context.
 
 A lexicon of words and word beginnings is learned from labelled texts.  A
-Levenshtein automaton (one edit; the first letter must be right; entries under
-five letters exactly) is intersected with the lexicon's trie and determinised
+Levenshtein automaton is intersected with the lexicon's trie and determinised
 into one transition table, which runs over all words of a block of texts at
-once.  Hits are scored in their context: inside quotation marks they count
-apart, and hits that crowd one window of words add up.  A small logistic model
-turns exact, misspelled, quoted and crowded hits into a score from 0 to 1.
+once.  An edit is a letter put in, left out or changed, or two neighbours swapped,
+the first letter included; entries of four letters and more allow one edit, those
+of eight and more two.  Words with digits or signs inside (``id1ot``, ``st*pid``)
+run as one, those characters standing for any letter.
+
+How far an entry's misspellings speak for it is learned too: where the texts that
+hold them are as often harmless, they weigh nothing; without any such text they
+weigh a fixed share of the entry.  Hits are scored in their context: inside
+quotation marks they count apart, and hits that crowd one window of words add up.
+A small logistic model turns all hits, misspelled, quoted and crowded ones into a
+score from 0 to 1.
 
 Labels are learned from a bounded sample (``SAMPLE`` labelled rows, lowest id
-hashes).  Null and empty texts have no hits and get the model's base score;
+hashes; rows that repeat an id bring no more than ``SAMPLE`` feature rows to the
+driver).  Null and empty texts have no hits and get the model's base score;
 without labels of both kinds every score is the share of toxic labels (0 if
 there are none).
 """
@@ -19,7 +27,7 @@ from __future__ import annotations
 import math
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -28,13 +36,14 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from quarry.llm.runtime import prepare
 
 SAMPLE = 12_000        # labelled rows for lexicon and weights
-LEXICON = 300          # entries
 THRESHOLD = 0.3
 MIN_LIFT = 2.0         # log of the document-frequency ratio
 REST_LIFT = 1.3        # the same without what shorter-listed terms explain
 EVIDENCE = 14.0        # log of the odds against a chance term (millions are tried)
 WINDOW = 20            # words
 QUOTE_REACH = 80       # characters
+SOFT = 0.8             # weight of a misspelling whose entry is never misspelled in the sample
+_SIGNS = "*@$!#%&+"    # stand for letters where letters or digits are on both sides
 _QUOTES = '"“”„«»'
 _FEATURES = 6
 _OTHER = 1             # class of letters that no entry has; 0: no letter
@@ -61,42 +70,73 @@ class ToxicityModel:
         return out
 
 
-def compile_automaton(entries: list[tuple[str, bool, float]]):
-    """Determinised intersection of the one-edit automaton with the trie of
-    ``entries`` (text, is a beginning, weight).  State 0 is dead, 1 the start."""
+def edits_of(length: int) -> int:
+    """Edits that an entry of ``length`` letters allows."""
+    return 0 if length < 4 else 1 if length < 8 else 2
+
+
+def compile_automaton(entries: list[tuple[str, bool, float]], soft: list[float] | None = None):
+    """Determinised intersection of the edit automaton with the trie of ``entries``
+    (text, is a beginning, weight); ``soft`` are the weights of misspellings.  State
+    0 is dead, 1 the start."""
     chars = {c: i + 2 for i, c in enumerate(sorted({c for t, _, _ in entries for c in t}))}
+    soft = [w for _, _, w in entries] if soft is None else soft
     children: list[dict[int, int]] = [{}]
-    ends: list[list[tuple[bool, float, int]]] = [[]]
-    for text, stem, weight in entries:
+    ends: list[list[tuple[bool, float, float, int]]] = [[]]
+    below = [0]                                  # most edits of any entry from here on
+    for (text, stem, weight), weak in zip(entries, soft, strict=True):
         node = 0
+        below[0] = max(below[0], edits_of(len(text)))
         for c in text:
             k = chars[c]
             if k not in children[node]:
                 children[node][k] = len(children)
                 children.append({})
                 ends.append([])
+                below.append(0)
             node = children[node][k]
-        ends[node].append((stem, weight, len(text)))
-
-    def closure(positions: set[tuple[int, int]]) -> frozenset:
-        out = set(positions)
-        for node, e in positions:  # a letter left out, never the first
-            if node and e == 0:
-                out |= {(kid, 1) for kid in children[node].values()}
-        return frozenset(out)
+            below[node] = max(below[node], edits_of(len(text)))
+        ends[node].append((stem, weight, weak, edits_of(len(text))))
+
+    # a position is a node, the edits so far and, after the second of two swapped
+    # letters, the first one that must follow
+    def closure(positions: set[tuple[int, int, int]]) -> frozenset:
+        out, todo = set(positions), list(positions)
+        while todo:
+            node, e, due = todo.pop()
+            for kid in children[node].values() if not due else ():  # a letter left out
+                to = (kid, e + 1, 0)
+                if e < below[kid] and to not in out:
+                    out.add(to)
+                    todo.append(to)
+        least: dict[int, int] = {}
+        for node, e, due in out:
+            if not due:
+                least[node] = min(e, least.get(node, e))
+        return frozenset(x for x in out if x[2] or x[1] == least[x[0]])
 
     def move(state: frozenset, k: int) -> frozenset:
         out = set()
-        for node, e in state:
-            if k in children[node]:
-                out.add((children[node][k], e))
-            if e == 0 and node:
-                out.add((node, 1))
-                out |= {(kid, 1) for c, kid in children[node].items() if c != k}
+        for node, e, due in state:
+            if due:
+                if k == due:
+                    out.add((node, e, 0))
+                continue
+            if e < below[node]:
+                out.add((node, e + 1, 0))
+            for c, kid in children[node].items():
+                if c == k:
+                    out.add((kid, e, 0))
+                elif e < below[kid]:
+                    out.add((kid, e + 1, 0))
+                    swapped = children[kid].get(k)
+                    if swapped is not None and e < below[swapped]:
+                        out.add((swapped, e + 1, c))
         return closure(out)
 
-    number = {frozenset(): 0, frozenset({(0, 0)}): 1}
-    todo, rows = [frozenset({(0, 0)})], {0: [0] * (len(chars) + 2)}
+    start = closure({(0, 0, 0)})
+    number = {frozenset(): 0, start: 1}
+    todo, rows = [start], {0: [0] * (len(chars) + 2)}
     while todo:
         state = todo.pop()
         row = [0] * (len(chars) + 2)
@@ -110,23 +150,16 @@ def compile_automaton(entries: list[tuple[str, bool, float]]):
     table = np.array([rows[i] for i in range(len(number))], np.int32)
     outputs = np.zeros((4, len(number)), np.float32)  # word exact / fuzzy, stem exact / fuzzy
     for state, i in number.items():
-        for node, e in state:
-            for stem, weight, length in ends[node]:
-                if e == 0 or length >= 5:
-                    at = 2 * stem + e
-                    outputs[at, i] = max(outputs[at, i], weight)
+        for node, e, due in state:
+            for stem, weight, weak, most in ends[node] if not due else ():
+                if e <= most:
+                    at = 2 * stem + (e > 0)
+                    outputs[at, i] = max(outputs[at, i], weak if e else weight)
     return chars, table, outputs
 
 
-def _hits(model: ToxicityModel, classes: np.ndarray, cps: np.ndarray):
-    """Word starts and ends, and the exact and misspelled weight of each."""
-    kind = classes[np.minimum(cps, 0xFFFF)]
-    letter = kind > 0
-    before = np.concatenate(([False], letter[:-1]))
-    start = np.flatnonzero(letter & ~before)
-    end = np.flatnonzero(~letter & before)
-    if len(end) < len(start):
-        end = np.append(end, len(cps))
+def _run(model: ToxicityModel, kind: np.ndarray, start: np.ndarray, end: np.ndarray):
+    """Exact and misspelled weight of each span."""
     exact, fuzzy = np.zeros(len(start), np.float32), np.zeros(len(start), np.float32)
     live, at = np.arange(len(start)), start.copy()
     state = np.ones(len(start), np.int32)
@@ -142,11 +175,45 @@ def _hits(model: ToxicityModel, classes: np.ndarray, cps: np.ndarray):
         stay = ~done & (state > 0)
         live, at, state = live[stay], at[stay], state[stay]
     fuzzy[exact > 0] = 0
+    return exact, fuzzy
+
+
+def _spans(inside: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the runs of True."""
+    edge = np.diff(np.concatenate(([0], inside.view(np.int8), [0])))
+    return np.flatnonzero(edge > 0), np.flatnonzero(edge < 0)
+
+
+def _hits(model: ToxicityModel, classes: np.ndarray, cps: np.ndarray):
+    """Word starts and ends, and the exact and misspelled weight of each.  What a
+    word with digits or signs inside gives falls to its first run of letters."""
+    kind = classes[np.minimum(cps, 0xFFFF)]
+    letter = kind > 0
+    start, end = _spans(letter)
+    exact, fuzzy = _run(model, kind, start, end)
+    digit = (cps >= 48) & (cps <= 57)
+    plain = letter | digit
+    odd = digit.copy()
+    for lo, hi in zip(*_spans(np.isin(cps, [ord(c) for c in _SIGNS])), strict=True):
+        if lo > 0 and hi < len(cps) and plain[lo - 1] and plain[hi]:
+            odd[lo:hi] = True
+    if odd.any() and len(start):
+        mixed, over = _spans(letter | odd)
+        bad, letters = (np.concatenate(([0], np.cumsum(x))) for x in (odd, letter))
+        some = (bad[over] > bad[mixed]) & (letters[over] > letters[mixed])
+        mixed, over = mixed[some], over[some]
+        any_letter = kind.copy()
+        any_letter[odd] = _OTHER
+        whole, near = _run(model, any_letter, mixed, over)
+        first, last = np.searchsorted(start, mixed), np.searchsorted(start, over)
+        known = np.concatenate(([0], np.cumsum(exact + fuzzy)))
+        new = (near > 0) & (whole == 0) & (known[last] == known[first])
+        fuzzy[first[new]] = near[new]
     return start, end, exact, fuzzy
 
 
 def features(model: ToxicityModel, classes: np.ndarray, texts: list[str]) -> np.ndarray:
-    """Feature rows: 1, exact, misspelled, quoted, crowd, density."""
+    """Feature rows: 1, all hits, misspelled, quoted, crowd, density."""
     lowered = [t.lower() for t in texts]
     joined = "\n".join(lowered) + "\n"
     cps = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
@@ -166,8 +233,7 @@ def features(model: ToxicityModel, classes: np.ndarray, texts: list[str]) -> np.
     right = np.minimum(end[hit] + QUOTE_REACH, first[owner + 1])
     quoted = ((quote[start[hit]] - quote[left]) % 2 == 1) & (quote[right] > quote[end[hit]])
     weight = exact[hit] + fuzzy[hit]
-    for column, rows, value in ((1, ~quoted & (exact[hit] > 0), exact[hit]), (2, ~quoted & (fuzzy[hit] > 0), fuzzy[hit]),
-                                (3, quoted, weight)):
+    for column, rows, value in ((1, ~quoted, weight), (2, ~quoted & (fuzzy[hit] > 0), fuzzy[hit]), (3, quoted, weight)):
         np.add.at(out[:, column], owner[rows], value[rows])
     free, own = hit[~quoted], owner[~quoted]
     if len(free):  # hits within a window of words from each hit on
@@ -193,7 +259,7 @@ def _terms_fn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         counts = (Counter(), Counter())
         for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            words = {w for w in letters.findall((text or "").lower()) if 3 <= len(w) <= 40}
+            words = {w for w in letters.findall((text or "").lower()) if 2 <= len(w) <= 40}
             terms = {w + "$" for w in words}
             terms.update(w[:k] for w in words for k in range(4, min(len(w), 9)))
             counts[toxic].update(terms)
@@ -224,11 +290,62 @@ def choose_entries(rows, n_bad: int, n_good: int) -> list[tuple[str, bool, float
             continue
         entries.append((text, stem, _lift(bad, good, n_bad, n_good)))
         seen[text] = (bad, good)
-        if len(entries) == LEXICON:
-            break
     return entries
 
 
+def _misspelled_fn(shared):
+    """(text, toxic) to partial counts of texts by entry misspelled in them."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from quarry.llm.toxicity import _hits
+
+        model = shared.value
+        classes = model.classes()
+        for batch in batches:
+            counts: Counter = Counter()
+            for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                cps = np.frombuffer(((text or "").lower() + "\n").encode("utf-32-le", "surrogatepass"), np.uint32)
+                fuzzy = _hits(model, classes, cps)[3]
+                counts.update((int(k), toxic) for k in np.unique(fuzzy[fuzzy > 0]))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([k for k, _ in counts], pa.int32()), pa.array([t for _, t in counts], pa.int32()),
+                 pa.array(list(counts.values()), pa.int64())], names=["entry", "toxic", "n"])
+    return run
+
+
+def misspelled_weights(rows: DataFrame, entries: list[tuple[str, bool, float]], rounds: int = 6) -> list[float]:
+    """Weight of each entry's misspellings: its own, times SOFT, times what the
+    texts that hold them say (with one text's worth of prior as its exact hits).
+
+    A misspelling of several entries is the heaviest one's.  When that loses its
+    weight, the next round counts it for the next one, until nothing changes;
+    entries that still lose theirs after the last round get none.
+    """
+    weights = [w * SOFT for _, _, w in entries]
+    spark = rows.sparkSession
+    for left in range(rounds, 0, -1):
+        # misspellings tell the rank of their entry in place of a weight
+        order = sorted((k for k, w in enumerate(weights) if w > 0), key=lambda k: (weights[k], k))
+        if not order:
+            break
+        rank = {k: i + 1.0 for i, k in enumerate(order)}
+        chars, table, out = compile_automaton(entries, [rank.get(k, 0.0) for k in range(len(entries))])
+        shared = spark.sparkContext.broadcast(
+            ToxicityModel(chars, table, out[0], out[1], out[2], out[3], np.zeros(_FEATURES), entries))
+        counted = {(order[r.entry - 1], r.toxic): r.n for r in rows.mapInArrow(_misspelled_fn(shared), "entry int, toxic int, n long")
+                   .groupBy("entry", "toxic").agg(F.sum("n").alias("n")).collect()}
+        lost = False
+        for k, (_, _, weight) in enumerate(entries):
+            bad, good = counted.get((k, 1), 0), counted.get((k, 0), 0)
+            if k in rank and bad + good:
+                right = (bad + 1 / (1 + math.exp(-weight))) / (bad + good + 1)
+                now = weight * SOFT * max(0.0, 2 * right - 1)
+                lost = lost or now == 0
+                weights[k] = 0.0 if left == 1 and now < weights[k] else min(now, weights[k])
+        if not lost:
+            break
+    return weights
+
+
 def fit(train: DataFrame, text_col: str = "text", label_col: str = "toxic") -> ToxicityModel:
     """Learn from a bounded table of labelled texts (label 0 or 1)."""
     spark = train.sparkSession
@@ -245,17 +362,21 @@ def fit(train: DataFrame, text_col: str = "text", label_col: str = "toxic") -> T
     terms = (rows.mapInArrow(_terms_fn, "term string, bad long, good long")
              .groupBy("term").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
              .filter((F.col("bad") >= 3) & (lift >= MIN_LIFT) & (evidence >= EVIDENCE))
-             .orderBy(F.desc(F.col("bad") * lift), F.desc(F.length("term")), "term").limit(8 * LEXICON))
+             .orderBy(F.desc(F.col("bad") * lift), F.desc(F.length("term")), "term"))
+    # few of a bounded sample's terms have the evidence
     entries = choose_entries([tuple(r) for r in terms.collect()], n_bad, n_good) if n_bad and n_good else []
-    chars, table, out = compile_automaton(entries)
+    chars, table, out = compile_automaton(entries, misspelled_weights(rows, entries))
     model = ToxicityModel(chars, table, out[0], out[1], out[2], out[3], np.zeros(_FEATURES), entries)
     share = n_bad / (n_bad + n_good) if n_bad + n_good else 0.0
     if not entries:
         model.weights[0] = math.log(max(share, 1e-9) / max(1 - share, 1e-9)) if n_bad + n_good else -30.0
         return model
-    # bounded in rows, however many share an id: the feature rows fit the driver
+    # bounded in rows, however many share an id: the feature rows fit the driver.
+    # Learned from hits as they are spelled; misspellings then count by their
+    # entries' own weights
+    spelled = replace(model, word_fuzzy=np.zeros_like(out[1]), stem_fuzzy=np.zeros_like(out[3]))
     seen = np.array([tuple(r.x) + (r.toxic,) for r in rows.mapInArrow(
-        _features_fn(spark.sparkContext.broadcast(model)), "toxic int, x array<double>")
+        _features_fn(spark.sparkContext.broadcast(spelled)), "toxic int, x array<double>")
         .orderBy(F.xxhash64("toxic", "x")).limit(SAMPLE).collect()])
     model.weights = _logistic(seen[:, :-1], seen[:, -1])
     return model

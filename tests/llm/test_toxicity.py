@@ -12,12 +12,14 @@ SCHEMA = "doc_id long, text string, score string, c0 long, s double"
 
 
 def distance(a, b):
-    row = list(range(len(b) + 1))
-    for i, x in enumerate(a, 1):
-        last, row[0] = row[0], i
-        for j, y in enumerate(b, 1):
-            last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
-    return row[-1]
+    """Insertions, deletions, changes and swaps of neighbours."""
+    d = [[i + j if not i * j else 0 for j in range(len(b) + 1)] for i in range(len(a) + 1)]
+    for i in range(1, len(a) + 1):
+        for j in range(1, len(b) + 1):
+            d[i][j] = min(d[i - 1][j] + 1, d[i][j - 1] + 1, d[i - 1][j - 1] + (a[i - 1] != b[j - 1]))
+            if i > 1 and j > 1 and a[i - 1] == b[j - 2] and a[i - 2] == b[j - 1]:
+                d[i][j] = min(d[i][j], d[i - 2][j - 2] + 1)
+    return d[-1][-1]
 
 
 def model_of(entries, weights=None):
@@ -35,19 +37,51 @@ def hits(model, words):
 
 def test_automaton_equals_edit_distance():
     rnd = random.Random(1)
-    terms = ["".join(rnd.choice("abcé") for _ in range(rnd.randint(3, 7))) for _ in range(12)]
+    terms = ["".join(rnd.choice("abcé") for _ in range(rnd.randint(2, 10))) for _ in range(14)]
     model = model_of([(t, False, 1.0) for t in terms])
-    words = ["".join(rnd.choice("abcéx") for _ in range(rnd.randint(1, 8))) for _ in range(3000)]
+    words = ["".join(rnd.choice("abcéx") for _ in range(rnd.randint(1, 11))) for _ in range(2000)]
+    for t in terms:  # near ones too
+        for _ in range(60):
+            w = list(t)
+            for _ in range(rnd.randint(1, 3)):
+                k = rnd.randrange(len(w) + 1)
+                w[k:k + rnd.randint(0, 2)] = rnd.choice(["", "a", "x", "".join(reversed(w[k:k + 2]))])
+            words.append("".join(w) or "b")
     for w, (e, f) in zip(words, hits(model, words), strict=True):
         assert (e > 0) == (w in terms)
-        near = any(len(t) >= 5 and w[0] == t[0] and distance(w[1:], t[1:]) <= 1 for t in terms)
+        near = any(distance(w, t) <= tx.edits_of(len(t)) for t in terms)
         assert (f > 0) == (near and w not in terms), w
 
 
+def test_misspellings_are_found():
+    model = model_of([("idiot", False, 1.0), ("scum", False, 1.0), ("worthless", False, 1.0), ("abc", False, 1.0)])
+    near = ["idoit", "id1ot", "1diot", "jdiot", "diot", "sccum", "scvm", "csum", "worthles", "w0rthle5s", "wrthlss", "wortlhess", "id*ot", "i.diot"]
+    far = ["idoti5", "scv", "cm", "w0r7hl3ss", "wrthls", "abd", "ab", "id", "ot", "***", "12", "idi ot"]
+    score = lambda w: tx.features(model, model.classes(), [f"so {w} then"])[0]
+    assert [w for w in near if score(w)[2] == 0 and w != "i.diot"] == []
+    assert [w for w in far if score(w)[1:3].any()] == []
+    assert score("you!!!idiot")[1] > 0 and score("you!!!idiot")[2] == 0     # an exact word behind signs stays one
+    assert score("IDIOT!")[2] == 0 and score("idiot123")[1] > 0
+
+
+def test_misspellings_weigh_as_the_texts_say(spark):
+    """An entry whose misspellings are as often harmless gets none of its weight."""
+    rows = [(f"you idiot {i}", 1) for i in range(60)] + [(f"such trash {i}", 1) for i in range(60)]
+    rows += [(f"a crash and a bash {i}", 0) for i in range(60)] + [(f"calm words {i}", 0) for i in range(60)]
+    df = spark.createDataFrame(rows, "text string, toxic int")
+    entries = [("idiot", False, 4.0), ("trash", False, 4.0)]
+    idiot, trash = tx.misspelled_weights(df, entries)
+    assert 0.9 * 4 * tx.SOFT < idiot <= 4 * tx.SOFT and trash == 0.0
+    model = tx.fit(df)
+    got = tx.score(spark.createDataFrame([(1, "you idoit there"), (2, "calm words"), (3, "you idiot there")], "id int, text string"), model)
+    by = {r.id: r.score for r in got.collect()}
+    assert by[2] < 0.1 and by[1] > tx.THRESHOLD and by[3] >= by[1]
+
+
 def test_stems_match_beginnings_with_an_edit():
     model = model_of([("stupid", True, 2.0), ("abc", False, 1.0)])
     assert hits(model, ["stupidity", "stupd", "stxpidly", "tupid", "abc", "abcd", "stu"]) == [
-        (2, 0), (0, 2), (0, 2), (0, 0), (1, 0), (0, 0), (0, 0)]
+        (2, 0), (0, 2), (0, 2), (0, 2), (1, 0), (0, 0), (0, 0)]
 
 
 def test_quoted_hits_count_apart():
