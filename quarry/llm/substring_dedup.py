@@ -18,7 +18,10 @@ never paired with one another.
 
 Hash equality of two independent 64-bit hashes (seed and extension) stands for
 word equality.  Null texts have no words; rows are told apart by (id, text), so
-rows that repeat both share their windows and are removed alike.
+rows that repeat both share their windows and are removed alike.  Texts of any
+length are cut whole, an empty table gives no rows, and equal windows are all
+removed, whichever comes first.  A column of the documents named like a figure
+(``n_words``, ``n_removed``, ``kept_sha256``) stays and that figure is left out.
 """
 
 from __future__ import annotations
@@ -215,11 +218,12 @@ def repeated_spans(docs: DataFrame, text_col: str = "text", width: int = WINDOW,
 
 
 def cut_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WINDOW,
-                with_text: bool = True) -> DataFrame:
+                with_text: bool = True, chars_col: str | None = "n_chars") -> DataFrame:
     """Every row with n_words, n_removed and kept_sha256 (SHA-256 of the kept
     words joined by one space).  ``with_text`` keeps all columns and cuts the
-    text in place (white space after kept words stays; ``n_chars`` follows);
-    else only the id column is returned beside the figures."""
+    text in place (white space after kept words stays; ``chars_col``, if it is a
+    column of whole numbers, follows); else only the id column is returned beside
+    the figures."""
     names = docs.columns if with_text else [id_col]
     payload = [f"c{i}" for i in range(len(names))]
     text = F.coalesce(F.col(text_col), F.lit(""))
@@ -238,7 +242,8 @@ def cut_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     done = both.select(*payload, "text", "spans").mapInArrow(
         _cut_fn(width, len(payload), [*payload, "n_words", "n_removed", "kept_sha256"],
                 names.index(text_col) if with_text else None,
-                names.index("n_chars") if with_text and "n_chars" in names else None),
+                names.index(chars_col) if with_text and chars_col in names
+                and isinstance(docs.schema[chars_col].dataType, (T.IntegerType, T.LongType)) else None),
         T.StructType([*fields, *figures]))
     return done.select(*[F.col(p).alias(c) for c, p in zip(names, payload, strict=True)],
                        *[F.col(f.name).alias(f.name) for f in figures if f.name not in names])

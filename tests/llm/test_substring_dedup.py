@@ -6,6 +6,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pytest
 
 from quarry.llm import substring_dedup
 
@@ -92,3 +93,18 @@ def test_leftmost_minima():
     v = rng.integers(0, 9, 300).astype(np.uint64)
     got = substring_dedup.leftmost_minima(v, 28)
     assert got.tolist() == [i + int(np.argmin(v[i:i + 28])) for i in range(273)]
+
+
+@pytest.mark.parametrize("kind", ["string", "double", "int", "bigint", "array<int>"])
+def test_length_column_of_any_type(spark, kind):
+    """Only whole numbers follow the text; other columns of that name stay."""
+    words = [f"w{k}" for k in range(40)]
+    rows = [(1, "a " + " ".join(words)), (2, " ".join(words) + " b")]
+    value = "array(7)" if kind == "array<int>" else f"cast(7 AS {kind})"
+    df = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", f"{value} AS n_chars", "'x' AS n_words")
+    out = substring_dedup.remove_repeats(df)
+    assert out.columns == df.columns and out.schema["n_chars"].dataType == df.schema["n_chars"].dataType
+    got = {r.doc_id: r for r in out.collect()}
+    assert got[1].text.split() == ["a"] and got[2].text.split() == ["b"] and got[1].n_words == "x"
+    for r in got.values():
+        assert r.n_chars == (len(r.text) if "int" in kind and "array" not in kind else [7] if "array" in kind else type(r.n_chars)(7))
