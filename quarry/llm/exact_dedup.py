@@ -8,7 +8,9 @@ other row is a group of its own and passes straight through.
 
 Null text counts as empty.  Of equal texts the row with the largest id stays;
 null ids sort lowest, and between rows with the same id and text one is kept
-(the last in the written order of the candidate rows).
+(the last in the written order of the candidate rows).  Texts of any length are
+hashed whole; an empty table gives no rows; other columns are carried or left out,
+never read, and their names cannot clash.
 """
 
 from __future__ import annotations

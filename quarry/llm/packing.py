@@ -11,8 +11,11 @@ the displaced pieces by best fit.
 
 Pieces get their place by rank within their length (counted over salted
 buckets, so no length is gathered anywhere): the plan says which ranks of which
-length go to which sequence and offset.  Null text counts as empty; ids may be
-null or repeat.
+length go to which sequence and offset.  Null text counts as empty (its one piece
+is the end mark); ids may be null or repeat, and each row has pieces of its own;
+texts of any length are tokenised whole; pieces of equal length are
+interchangeable, so either may come first; an empty table gives no rows; other
+columns are never read.
 """
 
 from __future__ import annotations

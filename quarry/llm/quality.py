@@ -7,7 +7,10 @@ true label, and the posterior of a text's pattern is its soft label.  A hashed l
 (words, word shapes, repeats) is trained on a bounded sample of soft labels and
 scores every whole text.
 
-Null counts as empty.  Without any rows all scores are 0.5.
+Null counts as empty.  Without any rows all scores are 0.5.  Rows that repeat an id
+are judged each by its own text, and however many share one, ``SAMPLE`` rows at most
+come to the driver; a score equal to the threshold is kept; texts of any length are
+read whole; an empty table gives no rows; other columns are never read.
 """
 
 from __future__ import annotations

@@ -11,7 +11,10 @@ No piece holds a word mark after other characters, so a text's lattice falls
 apart at word marks: each distinct unit (word marks and what follows) of a block
 of texts is filtered once, and every occurrence is sampled on its own.
 Characters without a piece become byte pieces, a literal word mark too, which
-keeps decoding lossless.  Null and empty texts have no ids.
+keeps decoding lossless.  Null and empty texts have no ids.  Rows that repeat an
+id and its text get the same ids, other texts under that id the numbers of the same
+key; texts of any length are encoded whole; an empty table gives no rows; other
+columns are never read.
 """
 
 from __future__ import annotations

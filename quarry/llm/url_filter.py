@@ -15,7 +15,9 @@ rule fits allowed.
 Work is done once per distinct folded text and distinct 5-letter window, with
 counts summed before each shuffle; joins back are dealt over salts.  Null urls
 and urls without ``://`` have empty host and path, score 0 and are
-allowed.
+allowed.  Every row is returned, repeated ones and null ids too, each judged by its
+own url; a url of any length is read whole; a score equal to the threshold is
+allowed; an empty table gives no rows; other columns are never read.
 """
 
 from __future__ import annotations
