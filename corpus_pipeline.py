@@ -4,6 +4,12 @@ packing.
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; between stages
 the rows are written as Parquet below the shared checkpoint folder and read
 again.  All stages but the last return the columns of ``documents``.
+
+Every stage takes any rows: null ids, texts and other columns stay as they are (a
+null text has no toxic hit, is a copy of the empty text, near nothing, and has no passage);
+repeated rows are copies, of which one stays; an empty table stays empty, and the
+last stage then has no pieces; texts of any length are read whole; further columns
+are carried along, whatever their names.
 """
 
 from __future__ import annotations
