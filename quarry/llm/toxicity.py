@@ -8,7 +8,10 @@ the first letter included; entries of four letters and more allow one edit, thos
 of eight and more two.  Words with digits or signs inside (``id1ot``, ``st*pid``)
 run as one, those characters standing for any letter.
 
-How far an entry's misspellings speak for it is learned too: where the texts that
+Misspellings are sought of entries that at least ``COMMON`` of the toxic texts hold:
+those of a rarer term would be too rare to learn from, and chance terms, of which
+a large sample has hundreds, are rare.  How far an entry's misspellings speak for
+it is learned too: where the texts that
 hold them are as often harmless, they weigh nothing; without any such text they
 weigh a fixed share of the entry.  Hits are scored in their context: inside
 quotation marks they count apart, and hits that crowd one window of words add up.
@@ -34,8 +37,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from quarry.llm.runtime import prepare
+from quarry.plans.materialize import materialize
 
 SAMPLE = 12_000        # labelled rows for lexicon and weights
+LEXICON = 300          # entries, the strongest
 THRESHOLD = 0.3
 MIN_LIFT = 2.0         # log of the document-frequency ratio
 REST_LIFT = 1.3        # the same without what shorter-listed terms explain
@@ -43,6 +48,7 @@ EVIDENCE = 14.0        # log of the odds against a chance term (millions are tri
 WINDOW = 20            # words
 QUOTE_REACH = 80       # characters
 SOFT = 0.8             # weight of a misspelling whose entry is never misspelled in the sample
+COMMON = 0.05          # share of the toxic texts that hold an entry whose misspellings are sought
 _SIGNS = "*@$!#%&+"    # stand for letters where letters or digits are on both sides
 _QUOTES = '"“”„«»'
 _FEATURES = 6
@@ -77,16 +83,16 @@ def edits_of(length: int) -> int:
 
 def compile_automaton(entries: list[tuple[str, bool, float]], soft: list[float] | None = None):
     """Determinised intersection of the edit automaton with the trie of ``entries``
-    (text, is a beginning, weight); ``soft`` are the weights of misspellings.  State
-    0 is dead, 1 the start."""
+    (text, is a beginning, weight); ``soft`` are the weights of misspellings (0: only
+    exact ones are sought).  State 0 is dead, 1 the start."""
     chars = {c: i + 2 for i, c in enumerate(sorted({c for t, _, _ in entries for c in t}))}
     soft = [w for _, _, w in entries] if soft is None else soft
     children: list[dict[int, int]] = [{}]
     ends: list[list[tuple[bool, float, float, int]]] = [[]]
     below = [0]                                  # most edits of any entry from here on
     for (text, stem, weight), weak in zip(entries, soft, strict=True):
-        node = 0
-        below[0] = max(below[0], edits_of(len(text)))
+        node, most = 0, edits_of(len(text)) if weak > 0 else 0
+        below[0] = max(below[0], most)
         for c in text:
             k = chars[c]
             if k not in children[node]:
@@ -95,8 +101,8 @@ def compile_automaton(entries: list[tuple[str, bool, float]], soft: list[float]
                 ends.append([])
                 below.append(0)
             node = children[node][k]
-            below[node] = max(below[node], edits_of(len(text)))
-        ends[node].append((stem, weight, weak, edits_of(len(text))))
+            below[node] = max(below[node], most)
+        ends[node].append((stem, weight, weak, most))
 
     # a position is a node, the edits so far and, after the second of two swapped
     # letters, the first one that must follow
@@ -290,6 +296,8 @@ def choose_entries(rows, n_bad: int, n_good: int) -> list[tuple[str, bool, float
             continue
         entries.append((text, stem, _lift(bad, good, n_bad, n_good)))
         seen[text] = (bad, good)
+        if len(entries) == LEXICON:  # hundreds of chance terms would only blur the weights
+            break
     return entries
 
 
@@ -312,15 +320,17 @@ def _misspelled_fn(shared):
     return run
 
 
-def misspelled_weights(rows: DataFrame, entries: list[tuple[str, bool, float]], rounds: int = 6) -> list[float]:
-    """Weight of each entry's misspellings: its own, times SOFT, times what the
-    texts that hold them say (with one text's worth of prior as its exact hits).
+def misspelled_weights(rows: DataFrame, entries: list[tuple[str, bool, float]], sought: list[bool] | None = None,
+                       rounds: int = 6) -> list[float]:
+    """Weight of each entry's misspellings: 0 unless ``sought``, else its own, times
+    SOFT, times what the texts that hold them say (with one text's worth of prior as
+    its exact hits).
 
     A misspelling of several entries is the heaviest one's.  When that loses its
     weight, the next round counts it for the next one, until nothing changes;
     entries that still lose theirs after the last round get none.
     """
-    weights = [w * SOFT for _, _, w in entries]
+    weights = [w * SOFT if sought is None or sought[k] else 0.0 for k, (_, _, w) in enumerate(entries)]
     spark = rows.sparkSession
     for left in range(rounds, 0, -1):
         # misspellings tell the rank of their entry in place of a weight
@@ -351,7 +361,8 @@ def fit(train: DataFrame, text_col: str = "text", label_col: str = "toxic") -> T
     spark = train.sparkSession
     prepare(spark)
     rows = train.select(F.col(text_col).alias("text"), F.col(label_col).cast("int").alias("toxic")).filter("toxic in (0, 1)")
-    rows = rows.dropDuplicates()  # copies are no independent evidence
+    # copies are no independent evidence; the sample is read several times
+    rows, _ = materialize(rows.dropDuplicates(), "labelled")
     kinds = {r["toxic"]: r["count"] for r in rows.groupBy("toxic").count().collect()}
     n_bad, n_good = kinds.get(1, 0), kinds.get(0, 0)
     lift = F.log((F.col("bad") + 0.5) / (n_bad + 1)) - F.log((F.col("good") + 0.5) / (n_good + 1))
@@ -364,8 +375,11 @@ def fit(train: DataFrame, text_col: str = "text", label_col: str = "toxic") -> T
              .filter((F.col("bad") >= 3) & (lift >= MIN_LIFT) & (evidence >= EVIDENCE))
              .orderBy(F.desc(F.col("bad") * lift), F.desc(F.length("term")), "term"))
     # few of a bounded sample's terms have the evidence
-    entries = choose_entries([tuple(r) for r in terms.collect()], n_bad, n_good) if n_bad and n_good else []
-    chars, table, out = compile_automaton(entries, misspelled_weights(rows, entries))
+    found = [tuple(r) for r in terms.collect()]
+    entries = choose_entries(found, n_bad, n_good) if n_bad and n_good else []
+    held = {term: bad for term, bad, _ in found}
+    sought = [held[text if stem else text + "$"] >= COMMON * n_bad for text, stem, _ in entries]
+    chars, table, out = compile_automaton(entries, misspelled_weights(rows, entries, sought))
     model = ToxicityModel(chars, table, out[0], out[1], out[2], out[3], np.zeros(_FEATURES), entries)
     share = n_bad / (n_bad + n_good) if n_bad + n_good else 0.0
     if not entries:
