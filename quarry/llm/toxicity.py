@@ -305,15 +305,21 @@ def _misspelled_fn(shared):
     """(text, toxic) to partial counts of texts by entry misspelled in them."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from quarry.llm.toxicity import _hits
+        from quarry.llm.words import text_blocks
 
         model = shared.value
         classes = model.classes()
         for batch in batches:
             counts: Counter = Counter()
-            for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                cps = np.frombuffer(((text or "").lower() + "\n").encode("utf-32-le", "surrogatepass"), np.uint32)
-                fuzzy = _hits(model, classes, cps)[3]
-                counts.update((int(k), toxic) for k in np.unique(fuzzy[fuzzy > 0]))
+            toxic = batch.column(1).to_pylist()
+            for at, block in text_blocks(batch.column(0)):
+                lowered = [t.lower() for t in block.to_pylist()]
+                cps = np.frombuffer(("\n".join(lowered) + "\n").encode("utf-32-le", "surrogatepass"), np.uint32)
+                start, _, _, fuzzy = _hits(model, classes, cps)
+                hit = np.flatnonzero(fuzzy > 0)
+                owner = np.searchsorted(np.cumsum([len(t) + 1 for t in lowered]), start[hit], "right")
+                for text, entry in np.unique(np.column_stack([owner, fuzzy[hit]]).astype(np.int64), axis=0).tolist():
+                    counts[entry, toxic[at + text]] += 1
             yield pa.RecordBatch.from_arrays(
                 [pa.array([k for k, _ in counts], pa.int32()), pa.array([t for _, t in counts], pa.int32()),
                  pa.array(list(counts.values()), pa.int64())], names=["entry", "toxic", "n"])
