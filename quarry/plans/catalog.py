@@ -29,7 +29,7 @@ def q_equi_join(spark, sf_dir):
     s = table(spark, sf_dir, "supplier")
     c = table(spark, sf_dir, "customer")
     return relational.equi_join(s, c, [("s_nationkey", "c_nationkey")],
-                                ["s_name"], ["c_name"])
+                                ["s_name"], ["c_name"], split_hot=True)
 
 
 def q_equi_join_lines(spark, sf_dir):

@@ -6,7 +6,8 @@ from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from quarry.functions.palindrome import _blocks, block_radii, longest_span, radii
-from quarry.operators import cluster, graph, matrix, stats, text
+from quarry.operators import cluster, graph, matrix, relational, stats, text
+from quarry.plans import catalog
 
 
 def _cells(spark, m):
@@ -22,6 +23,42 @@ def _dense(df, shape):
     return out
 
 
+def _join_by_hand(a, b):
+    return sorted((x, y) for *k, x in a for *j, y in b if k == j and None not in k)
+
+
+@pytest.mark.parametrize("block", [1, 3, 1000])
+def test_hot_keys_in_pieces_lose_and_repeat_nothing(spark, monkeypatch, block):
+    monkeypatch.setattr(relational, "BLOCK", block)
+    a = [(1, "h", f"a{i % 30}") for i in range(40)] + [(1, "few", "x"), (2, "h", "y"), (None, "h", "z"), (3, "none", "w")]
+    b = [("h", 1, f"b{i % 9}") for i in range(11)] + [("few", 1, "u"), ("h", 2, "v"), ("h", None, "s"), (None, 3, "t")]
+    out = relational.equi_join(
+        spark.createDataFrame(a, "k int, s string, x string"), spark.createDataFrame(b, "t string, j int, y string"),
+        [("k", "j"), ("s", "t")], ["x"], ["y"], split_hot=True)
+    assert out.columns == ["x", "y"]
+    assert sorted(map(tuple, out.collect())) == _join_by_hand(a, [(j, t, y) for t, j, y in b])
+
+
+def test_hot_keys_are_dealt_over_all_partitions(spark, monkeypatch):
+    """Two keys, one with nearly all pairs: no task makes most of the rows."""
+    monkeypatch.setattr(relational, "BLOCK", 16)
+    a = spark.range(600).select(F.expr("int(id % 60 = 0)").alias("k"), F.lit("copy").alias("x"))
+    b = spark.range(200).select(F.expr("int(id % 50 = 0)").alias("k"), F.col("id").alias("y"))
+    out = relational.equi_join(a, b, "k", ["x"], ["y"], split_hot=True)
+    sizes = [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) == 590 * 196 + 10 * 4
+    assert len(sizes) == 8 and max(sizes) < 0.4 * sum(sizes)
+
+
+def test_equi_join_query_splits_its_nations(spark, monkeypatch):
+    sf = "/root/testdata/sf0.001"
+    plain = catalog.QUERIES["equi_join"](spark, sf).collect()
+    monkeypatch.setattr(relational, "BLOCK", 2)
+    pieces = catalog.QUERIES["equi_join"](spark, sf)
+    assert "_kl_piece" in pieces._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted(map(tuple, pieces.collect())) == sorted(map(tuple, plain))
+
+
 def test_matrix_algebra(spark):
     rng = np.random.default_rng(3)
     a, b = rng.normal(size=(6, 5)), rng.normal(size=(5, 4))
