@@ -4,9 +4,9 @@ One 4-letter model per language, counted over all training texts (lower case,
 everything but letters is a space).  A model is sorted arrays of n-gram codes
 with discounted probabilities and sorted arrays of context codes with
 interpolation weights.  A text gets the language of the lowest cross-entropy
-per letter; the share given to it among all languages (temperature fitted on a
-training sample) is the score, and a text above the cross-entropy that nearly
-all training texts of that language stay under is marked not accepted.
+per letter; the share given to it among all languages (temperature fitted on all
+training texts) is the score, and a text more than 0.25 above the cross-entropy that
+99.5 % of all training texts of that language stay under is marked not accepted.
 
 Codes hold 16 bits a character (higher planes are folded).  Every n-gram is
 kept.  Models of up to ``MOST_GRAMS`` n-grams reach the texts in one broadcast;
@@ -28,7 +28,7 @@ from dataclasses import dataclass, field
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from quarry.llm.runtime import prepare
 from quarry.plans.materialize import materialize
@@ -36,7 +36,8 @@ from quarry.plans.materialize import materialize
 ORDER = 4
 MOST_GRAMS = 2_000_000  # of all languages in a broadcast; more are joined
 MOST_VALUES = 4_000_000  # log probabilities worked out ahead
-SAMPLE = 2_000         # rows a language for temperature and rejection, about
+SAMPLE = 0             # not read any more (a test sets it): every training row counts
+BINS = 1_000           # of cross-entropy a nat, to find the limits in
 BLOCK = 2 << 20
 UNKNOWN = "und"
 _GAP = " " * (ORDER - 1)
@@ -263,10 +264,10 @@ def entropies(rows: DataFrame, models: LanguageModels) -> DataFrame:
 
 def fit(train: DataFrame, text_col: str = "text", lang_col: str = "lang", key_col: str = "doc_id") -> LanguageModels:
     """Models of all languages of ``train``; rows without text or language do
-    not count."""
+    not count (``key_col`` is not read any more)."""
     spark = train.sparkSession
     prepare(spark)
-    rows = (train.select(F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang"), F.col(key_col).alias("key"))
+    rows = (train.select(F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang"))
             .filter("text is not null and lang is not null"))
     counted, _ = materialize(rows.select("text", "lang").mapInArrow(_count_fn, "lang string, gram long, n long")
                              .groupBy("lang", "gram").agg(F.sum("n").alias("n")), "grams")
@@ -297,24 +298,32 @@ def fit(train: DataFrame, text_col: str = "text", lang_col: str = "lang", key_co
         order = np.argsort(grams)
         models.table = grams[order]
         models.values = np.array(ahead.logs.tolist()).reshape(-1, len(names))[order]
-    # of each language all rows or about SAMPLE fit its limit; for the temperature
-    # they weigh as all its rows
-    counts = {r.lang: r["count"] for r in rows.groupBy("lang").count().collect()}
-    weight = F.create_map(*[F.lit(v) for name in names for v in (name, max(1.0, counts[name] / SAMPLE))])[F.col("lang")]
-    sample = (rows.filter(F.expr(f"pmod(xxhash64(key, text), {1 << 30})") * weight < float(1 << 30))
-              .select(F.col("lang").alias("key"), "text"))
+    _calibrate(rows, models)
+    return models
+
+
+def _calibrate(rows: DataFrame, models: LanguageModels) -> None:
+    """Temperature and limits from every training row.  The limit of a language
+    is read from counts in bins of cross-entropy: the largest value in the bin in
+    which the 99.5 % are reached.  A language has as many bins at most as its range of
+    values has, however many rows there are."""
+    names = models.languages
     place = F.expr("int(array_position(names, key))")
     heats = (1.0, 2.0, 5.0, 10.0, 20.0, 40.0)
     loss = [F.sum(F.expr(f"ln(aggregate(h, 0D, (a, x) -> a + exp(-{t!r}D * (x - low)))) + {t!r}D * (own - low)")) for t in heats]
-    got = (entropies(sample, models).filter("letters > 0").withColumn("names", F.array(*[F.lit(n) for n in names]))
-           .withColumn("own", F.element_at("h", place)).withColumn("low", F.array_min("h"))
-           .groupBy("key").agg(F.percentile_approx("own", 0.995, 10_000).alias("limit"),
-                               *[x.alias(f"l{i}") for i, x in enumerate(loss)]).collect())
-    losses = [sum(r[f"l{i}"] * max(1.0, counts[r.key] / SAMPLE) for r in sorted(got, key=lambda r: r.key)) for i in range(len(heats))]
+    bins = (entropies(rows.select(F.col("lang").alias("key"), "text"), models).filter("letters > 0")
+            .withColumn("names", F.array(*[F.lit(n) for n in names]))
+            .withColumn("own", F.element_at("h", place)).withColumn("low", F.array_min("h"))
+            .groupBy("key", F.floor(F.col("own") * BINS).alias("bin"))
+            .agg(F.count(F.lit(1)).alias("n"), F.max("own").alias("top"), *[x.alias(f"l{i}") for i, x in enumerate(loss)]))
+    of_language = Window.partitionBy("key")
+    got = (bins.withColumn("upto", F.sum("n").over(of_language.orderBy("bin"))).withColumn("all", F.sum("n").over(of_language))
+           .groupBy("key").agg(F.min(F.expr("if(1000 * upto >= 995 * all, top, null)")).alias("limit"),
+                               *[F.sum(f"l{i}").alias(f"l{i}") for i in range(len(heats))]).collect())
+    losses = [sum(r[f"l{i}"] for r in sorted(got, key=lambda r: r.key)) for i in range(len(heats))]
     models.temperature = heats[int(np.argmin(losses))] if got else 10.0
     limits = {r.key: r.limit + 0.25 for r in got}
     models.limits = [limits.get(name, float("inf")) for name in names]
-    return models
 
 
 def predict(docs: DataFrame, models: LanguageModels, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -118,3 +118,23 @@ def test_rare_languages_get_a_rejection_limit(spark, monkeypatch):
     rows += [(1000 + i, "zq" + c * 3 + " wj" + c * 2, f"x{c}", "", 1) for i, c in enumerate("bfgkpv")]
     models = langid.fit(spark.createDataFrame(rows, SCHEMA))
     assert len(models.limits) == 7 and np.isfinite(models.limits).all()
+
+
+def test_every_training_row_counts_for_limits_and_temperature(spark):
+    """More rows a language than the old samples of 2,000: limits and temperature
+    are those of all rows, worked out by hand."""
+    rng = np.random.default_rng(5)
+    letters = {"en": "abcdefg", "de": "defghij"}
+    rows = [(i, " ".join("".join(rng.choice(list(letters[lang]), rng.integers(1, 7))) for _ in range(rng.integers(1, 4))), lang)
+            for lang, n in (("en", 6000), ("de", 3000)) for i in range(n)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+    models = langid.fit(df)
+    h = np.concatenate([-s / np.maximum(n, 1)[:, None] for s, n, *_ in [models.sums([t for _, t, _ in rows])]])
+    own = h[np.arange(len(rows)), [models.languages.index(lang) for *_, lang in rows]]
+    for i, name in enumerate(models.languages):
+        values = np.sort(own[[lang == name for *_, lang in rows]])
+        exact = values[int(np.ceil(0.995 * len(values))) - 1]
+        assert exact - 1e-9 <= models.limits[i] - 0.25 < exact + 0.0011
+    heats = (1.0, 2.0, 5.0, 10.0, 20.0, 40.0)
+    losses = [(np.log(np.exp(-t * h).sum(1)) + t * own).sum() for t in heats]
+    assert models.temperature == heats[int(np.argmin(losses))]
